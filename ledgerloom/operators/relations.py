@@ -68,6 +68,7 @@ def load_relations(spark: SparkSession, split: str, folder: str) -> DataFrame:
     """The examples of ``<split>.sent`` / ``<split>.tup`` with ``relations.txt`` in ``folder``."""
     base = folder.rstrip("/")
     pairs = pair_lines(
-        numbered_lines(spark, f"{base}/{split}.sent"), numbered_lines(spark, f"{base}/{split}.tup")
+        numbered_lines(spark, f"{base}/{split}.sent", per_file=False),
+        numbered_lines(spark, f"{base}/{split}.tup", per_file=False),
     )
     return relation_examples(pairs, line_set(spark, f"{base}/relations.txt", "relation"))
