@@ -144,4 +144,5 @@ def iso_now() -> Column:
 
 def whole_days(first: Column, last: Column) -> Column:
     """Elapsed whole days between two instants; 23 hours across midnight are 0 days."""
-    return F.floor((F.unix_micros(last) - F.unix_micros(first)) / F.lit(86_400_000_000)).cast("long")
+    micros = F.unix_micros(last.cast("timestamp")) - F.unix_micros(first.cast("timestamp"))
+    return F.floor(micros / F.lit(86_400_000_000)).cast("long")

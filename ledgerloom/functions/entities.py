@@ -22,6 +22,13 @@ def _windows_1252(byte: int) -> str:
         return chr(byte)
 
 
+# Code points that decode to nothing, and those read as windows-1252.
+_NOTHING = (
+    r"[\x01-\x08\x0b\x0e-\x1f\x7f\x{fdd0}-\x{fdef}"
+    + "".join(rf"\x{{{plane:x}fffe}}\x{{{plane:x}ffff}}" for plane in range(17))
+    + "]"
+)
+_C1_CODES = "".join(map(chr, range(0x80, 0xA0)))
 _C1 = "".join(_windows_1252(b) for b in range(0x80, 0xA0))
 _TABLE = "\x02".join(f"{name}\x01{value}" for name, value in html5.items())
 _BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
@@ -32,39 +39,21 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _character(code: Column) -> Column:
-    utf32 = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    nothing = (
-        code.between(0x1, 0x8)
-        | (code == 0xB)
-        | code.between(0xE, 0x1F)
-        | (code == 0x7F)
-        | code.between(0xFDD0, 0xFDEF)
-        | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
-    )
-    return (
-        F.when(code == 0, "�")
-        .when(code == 0xD, "\r")
-        .when(code.between(0x80, 0x9F), F.substring(F.lit(_C1), code - 0x7F, F.lit(1)))
-        .when(code.between(0xD800, 0xDFFF) | (code >= _TOO_BIG), "�")
-        .when(nothing, "")
-        .otherwise(utf32)
-    )
-
-
 def _numeric(piece: Column) -> Column:
     digits = F.regexp_extract(piece, r"^&#[xX]?0*([0-9a-fA-F]*)", 1)
-    is_hex = F.lower(F.substring(piece, 3, 1)) == "x"
+    is_hex = piece.rlike("^&#[xX]")
 
     def code(d: Column) -> Column:
-        return (
-            F.when(d == "", 0)
-            .when(F.length(d) > F.when(is_hex, 6).otherwise(7), _TOO_BIG)
-            .when(is_hex, F.conv(d, 16, 10).cast("int"))
-            .otherwise(d.cast("int"))
-        )
+        value = F.when(is_hex, F.conv(d, 16, 10)).otherwise(F.conv(d, 10, 10))
+        return F.when(F.length(d) > F.when(is_hex, 6).otherwise(7), str(_TOO_BIG)).otherwise(value)
+
+    def character(n: Column) -> Column:
+        bad = (n == 0) | (n >= _TOO_BIG) | n.between(0xD800, 0xDFFF)
+        plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.when(bad, "\ufffd").otherwise(plain)
 
-    return bind(bind(digits, code), _character)
+    one = bind(F.coalesce(bind(digits, code).cast("int"), F.lit(0)), character)
+    return F.translate(F.regexp_replace(one, _NOTHING, ""), _C1_CODES, _C1)
 
 
 def _named(piece: Column) -> Column:

@@ -41,6 +41,12 @@ NAME_AND_TICKER = rf"([A-Z][^(]*?){WS}*\(([A-Z]{{2,5}})(?:[:.](?:LON|L))?\)"
 TICKER_IN_PARENTHESES = r"\(([A-Z]{2,5})\)"
 LEADING_TICKER = rf"^([A-Z]{{2,5}}):{WS}*([^\n]+)"
 
+# The first shape again, for a backtracking matcher: each stretch between two '(' is scanned once,
+# so a long text costs linear time. The name keeps trailing white space and is stripped later.
+_NAME_AND_TICKER_LINEAR = (
+    r"(?:^|\()[^A-Z(]*+([A-Z][^(]*+)\(([A-Z]{2,5})(?:[:.](?:LON|L))?\)"
+)
+
 
 def strip(text: Column) -> Column:
     """Trim Unicode white space at both ends."""
@@ -60,8 +66,8 @@ def clean_text(text: Column) -> Column:
 
 def company_ticker(title: Column) -> Column:
     """``struct<ticker, company_name>`` read from an announcement title; '' where not found."""
-    full_ticker = F.regexp_extract(title, NAME_AND_TICKER, 2)
-    full_name = strip(F.regexp_extract(title, NAME_AND_TICKER, 1))
+    full_ticker = F.regexp_extract(title, _NAME_AND_TICKER_LINEAR, 2)
+    full_name = strip(F.regexp_extract(title, _NAME_AND_TICKER_LINEAR, 1))
     inner_ticker = F.regexp_extract(title, TICKER_IN_PARENTHESES, 1)
     inner_name = F.when(
         inner_ticker != "", strip(F.regexp_extract(title, r"^([^(]+)", 1))

@@ -41,9 +41,9 @@ def relation_examples(pairs: DataFrame, valid: DataFrame) -> DataFrame:
     formed = split_triples(pairs).where(F.size("parts") == 3)
     examples = formed.select(
         T.words(F.col("sent")).alias("tokens"),
-        F.col("parts")[0].alias("head_text"),
-        F.col("parts")[1].alias("tail_text"),
-        F.col("parts")[2].alias("relation"),
+        F.get("parts", F.lit(0)).alias("head_text"),
+        F.get("parts", F.lit(1)).alias("tail_text"),
+        F.get("parts", F.lit(2)).alias("relation"),
         "sent_id",
     )
     return examples.join(valid.select("relation"), "relation", "left_semi").select(

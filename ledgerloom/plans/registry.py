@@ -14,6 +14,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -45,7 +46,7 @@ def comparable(df: DataFrame) -> DataFrame:
             c = c.cast("long")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             c = F.round(c.cast("double"), 6)
-        elif isinstance(field.dataType, T.TimestampType):
+        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         columns.append(c.alias(field.name))
     return df.select(*columns)

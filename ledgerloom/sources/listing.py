@@ -38,7 +38,7 @@ def dataset_sizes(files: DataFrame) -> DataFrame:
     """
     folders = F.transform(
         F.sequence(F.lit(1), F.size(F.split("relative", "/")) - 1),
-        lambda depth: F.substring_index("relative", "/", depth),
+        lambda depth: F.call_function("substring_index", F.col("relative"), F.lit("/"), depth),
     )
     entry = F.when(F.contains("relative", F.lit("/")), folders).otherwise(
         F.array().cast("array<string>")

@@ -17,11 +17,13 @@ def _parsed(line: Column) -> Column:
     return F.when(F.size(array) == 1, F.get(array, F.lit(0)))
 
 
-def _json_lines(spark: SparkSession, path: str) -> DataFrame:
+# Landed files, and what this library's own sink writes.
+JSONL_FILES = "{*.jsonl,part-*.json}"
+
+
+def _json_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
     lines = (
-        spark.read.option("pathGlobFilter", "*.jsonl")
-        .option("ignoreCorruptFiles", "true")
-        .text(path)
+        spark.read.option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true").text(path)
     )
     return lines.select(F.col("_metadata.file_name").alias("file"), "value").where(
         strip(F.col("value")) != ""
@@ -29,10 +31,14 @@ def _json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_announcements(
-    spark: SparkSession, path: str, drop_metadata_rows: bool = True, keep_file: bool = False
+    spark: SparkSession,
+    path: str,
+    drop_metadata_rows: bool = True,
+    keep_file: bool = False,
+    glob: str = JSONL_FILES,
 ) -> DataFrame:
-    """Announcement records of all ``*.jsonl`` in ``path``; blank and invalid lines are skipped."""
-    lines = _json_lines(spark, path).withColumn("_r", _parsed(F.col("value")))
+    """Announcement records of all JSONL files in ``path``; blank and invalid lines are skipped."""
+    lines = _json_lines(spark, path, glob).withColumn("_r", _parsed(F.col("value")))
     good = lines.where(F.col("_r").isNotNull())
     if drop_metadata_rows:
         good = good.where(F.col("_r._metadata").isNull())
@@ -43,17 +49,17 @@ def read_announcements(
     return good.select(*(["file"] if keep_file else []), *fields)
 
 
-def jsonl_line_report(spark: SparkSession, path: str) -> DataFrame:
+def jsonl_line_report(spark: SparkSession, path: str, glob: str = JSONL_FILES) -> DataFrame:
     """Per file: records read and lines rejected."""
-    lines = _json_lines(spark, path).withColumn("_ok", _parsed(F.col("value")).isNotNull())
+    lines = _json_lines(spark, path, glob).withColumn("_ok", _parsed(F.col("value")).isNotNull())
     return lines.groupBy("file").agg(
         F.count_if("_ok").alias("records"), F.count_if(~F.col("_ok")).alias("bad_lines")
     )
 
 
-def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+def rejected_lines(spark: SparkSession, path: str, glob: str = JSONL_FILES) -> DataFrame:
     """``file, line_no (1-based), value`` of every invalid line."""
-    lines = numbered_lines(spark, f"{path.rstrip('/')}/*.jsonl")
+    lines = numbered_lines(spark, f"{path.rstrip('/')}/{glob}")
     bad = lines.where((strip(F.col("value")) != "") & _parsed(F.col("value")).isNull())
     name = F.substring_index("file", "/", -1)
     return bad.select(name.alias("file"), (F.col("line_no") + 1).alias("line_no"), "value")
@@ -82,7 +88,8 @@ def read_feed(spark: SparkSession, path: str, limit: int | None = 20) -> DataFra
 
     ``limit`` keeps the first entries of each feed file.
     """
-    items = spark.read.format("xml").option("rowTag", "item").schema(FEED_SCHEMA).load(path)
+    reader = spark.read.format("xml").option("rowTag", "item").option("mode", "DROPMALFORMED")
+    items = reader.schema(FEED_SCHEMA).load(path)
     entries = items.select(
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
