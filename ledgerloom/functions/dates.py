@@ -8,6 +8,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from ledgerloom.functions.entities import bind
+
 # The accepted shapes of a publication date, in the order they are tried.
 COMPAT_FORMATS: tuple[str, ...] = (
     "%a, %d %b %Y %H:%M:%S %Z",
@@ -39,6 +41,10 @@ _DIRECTIVES = {
 }
 
 
+# The order in which a matched value's fields are written down before they become an instant.
+_FIELDS = ("year", "month", "day", "hour", "minute", "second", "fraction", "offset")
+
+
 def format_pattern(fmt: str) -> tuple[str, dict[str, int]]:
     """The pattern a ``strptime`` format accepts, and its group numbers by field."""
     out, groups = "", {}
@@ -55,52 +61,59 @@ def format_pattern(fmt: str) -> tuple[str, dict[str, int]]:
     return rf"(?i)^{out}\z", groups
 
 
-def _parse(text: Column, fmt: str) -> Column:
+def _fields(text: Column, number: int, fmt: str) -> Column:
+    """``number|year|month|…`` if ``text`` has the shape of ``fmt``, else null."""
     pattern, groups = format_pattern(fmt)
+    line = "|".join([str(number), *[f"${groups[f]}" if f in groups else "" for f in _FIELDS]])
+    return F.when(text.rlike(pattern), F.regexp_replace(text, pattern, line))
 
-    def group(name: str, default: str = "0") -> Column:
-        if name not in groups:
-            return F.lit(default)
-        return F.regexp_extract(text, pattern, groups[name])
-
-    if "month_name" in groups:
-        month = (F.instr(F.lit(_MONTHS), F.lower(group("month_name"))) + 2) / 3
-    else:
-        month = group("month")
-    second = group("second")
-    if "fraction" in groups:
-        second = F.concat(second, F.lit("."), group("fraction"))
-    stamp = F.try_make_timestamp(
-        F.nullif(group("year").cast("int"), F.lit(0)),
-        month.cast("int"),
-        group("day").cast("int"),
-        group("hour").cast("int"),
-        group("minute").cast("int"),
+
+def _instant(parts: Column) -> Column:
+    """The instant of split ``number|year|month|…`` fields, null if there is no such day."""
+
+    def part(field: str) -> Column:
+        return parts[_FIELDS.index(field) + 1]
+
+    def whole(field: str) -> Column:
+        return F.coalesce(part(field).try_cast("int"), F.lit(0))
+
+    month = part("month")
+    by_name = ((F.instr(F.lit(_MONTHS), F.lower(month)) + 2) / 3).cast("int")
+    second = F.concat(F.lpad(part("second"), 2, "0"), F.lit("."), F.rpad(part("fraction"), 6, "0"))
+    local = F.try_make_timestamp(
+        F.nullif(whole("year"), F.lit(0)),
+        F.coalesce(month.try_cast("int"), by_name),
+        whole("day"),
+        whole("hour"),
+        whole("minute"),
         second.cast("decimal(16,6)"),
         F.lit("UTC"),
     )
-    if "offset" in groups:
-        digits = F.translate(group("offset"), ":Zz+", "")
-        sign = F.when(digits.startswith("-"), -1).otherwise(1)
-        hhmm = F.lpad(F.ltrim(digits, F.lit("-")), 4, "0")
-        seconds = sign * (
-            F.substring(hhmm, 1, 2).cast("int") * 3600 + F.substring(hhmm, 3, 2).cast("int") * 60
-        )
-        stamp = F.timestamp_micros(F.unix_micros(stamp) - seconds.cast("long") * 1_000_000)
-    return F.when(text.rlike(pattern), stamp)
+    digits = F.regexp_replace(part("offset"), "[^0-9]", "")
+    hhmm = F.rpad(digits, 4, "0").cast("int")
+    ahead = (F.floor(hhmm / 100) * 3600 + hhmm % 100 * 60) * 1_000_000
+    signed = F.when(part("offset").startswith("-"), -ahead).otherwise(ahead)
+    return F.timestamp_micros(F.unix_micros(local) - signed)
 
 
 def parse_published(text: Column, formats: Sequence[str] = DEFAULT_FORMATS) -> Column:
-    """``struct<ts timestamp, fmt string>`` for the first format that fits, null if none does.
+    """``struct<ts timestamp, fmt string>`` by the first format whose shape fits, else null.
 
+    Each format costs one pattern test until one fits; the fields are turned into an instant once.
     Zone-less values are read as UTC, so all results are comparable instants.
     """
-    def arm(fmt: str) -> Column:
-        hit = F.filter(F.array(_parse(text, fmt)), lambda stamp: stamp.isNotNull())
-        tagged = F.transform(hit, lambda stamp: F.struct(stamp.alias("ts"), F.lit(fmt).alias("fmt")))
-        return F.get(tagged, F.lit(0))
+    found = F.coalesce(*[_fields(text, i, fmt) for i, fmt in enumerate(formats)])
+    names = F.array(*[F.lit(f) for f in formats])
+
+    def dated(parts: Column) -> Column:
+        fmt = F.get(names, parts[0].cast("int"))
+        stamped = bind(
+            _instant(parts),
+            lambda ts: F.when(ts.isNotNull(), F.struct(ts.alias("ts"), fmt.alias("fmt"))),
+        )
+        return F.when(parts.isNotNull(), stamped)
 
-    return F.coalesce(*[arm(fmt) for fmt in formats])
+    return bind(F.split(found, r"\|"), dated)
 
 
 def parse_date(text: Column, date_format: str = "d/M/yyyy") -> Column:

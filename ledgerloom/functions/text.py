@@ -12,6 +12,8 @@ from ledgerloom.functions.entities import bind, unescape
 # One whitespace class for every engine: it is what str.split/str.strip treat as white space.
 WS = r"[\t\n\x0b\f\r\x1c-\x1f\x85\p{Z}]"
 
+_WS_CHARACTERS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 # Announcement types, in order of precedence, with their keywords.
 ANNOUNCEMENT_KEYWORDS: Mapping[str, Sequence[str]] = {
     "results": (
@@ -50,7 +52,7 @@ _NAME_AND_TICKER_LINEAR = (
 
 def strip(text: Column) -> Column:
     """Trim Unicode white space at both ends."""
-    return F.regexp_replace(text, rf"^{WS}+|{WS}+\z", "")
+    return F.btrim(text, F.lit(_WS_CHARACTERS))
 
 
 def clean_text(text: Column) -> Column:
@@ -211,7 +213,7 @@ def link_domain(link: Column) -> Column:
 
 def words(text: Column) -> Column:
     """White-space tokens, none of them empty; null gives an empty array."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), f"{WS}+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{WS}+"), "")
 
 
 def word_set(text: Column) -> Column:
@@ -249,7 +251,7 @@ def non_empty(value: Column) -> Column:
 
 def non_blank(value: Column) -> Column:
     """Neither null nor white space only."""
-    return strip(F.coalesce(value, F.lit(""))) != ""
+    return F.coalesce(value.rlike(f"(?!{WS})(?s:.)"), F.lit(False))
 
 
 def thousands(n: Column) -> Column:

@@ -40,7 +40,7 @@ def prefix_size(size: Column, threshold: float) -> Column:
 def word_sets(df: DataFrame, text: str, order: str) -> DataFrame:
     """``rid, ord, words, size`` per distinct non-empty word set, rare words first."""
     sets = (
-        df.select(F.col(order).alias("ord"), F.array_sort(word_set(F.col(text))).alias("words"))
+        df.select(F.col(order).alias("ord"), F.sort_array(word_set(F.col(text))).alias("words"))
         .where(F.size("words") > 0)
         .groupBy("words")
         .agg(F.min("ord").alias("ord"))
@@ -52,7 +52,7 @@ def word_sets(df: DataFrame, text: str, order: str) -> DataFrame:
     ranked = (
         tokens.join(spread, "word")
         .groupBy("rid")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("ranked"))
+        .agg(F.sort_array(F.collect_list(F.struct("df", "word"))).alias("ranked"))
     )
     ordered = ranked.join(sets.select("rid", "ord"), "rid").select(
         "rid",

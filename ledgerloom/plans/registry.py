@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ledgerloom.session import spread
+
+# Tables whose rows are costly to work on.
+TEXT_TABLES = ("documents", "pages", "conversations", "events")
+
 Query = Callable[["Tables"], DataFrame]
 
 
@@ -17,7 +22,8 @@ class Tables:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(table) if name in TEXT_TABLES else table
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
