@@ -25,7 +25,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.functions.text import word_set
+from ledgerloom.functions.text import non_blank, word_set
 from ledgerloom.session import materialize
 
 _EPS = 1e-9
@@ -39,25 +39,26 @@ def prefix_size(size: Column, threshold: float) -> Column:
 
 def word_sets(df: DataFrame, text: str, order: str) -> DataFrame:
     """``rid, ord, words, size`` per distinct non-empty word set, rare words first."""
+    # A test on the word set itself would be pushed down and build every set twice.
     sets = (
-        df.select(F.col(order).alias("ord"), F.sort_array(word_set(F.col(text))).alias("words"))
-        .where(F.size("words") > 0)
+        df.where(non_blank(F.col(text)))
+        .select(F.col(order).alias("ord"), F.sort_array(word_set(F.col(text))).alias("words"))
         .groupBy("words")
         .agg(F.min("ord").alias("ord"))
         .select(F.monotonically_increasing_id().alias("rid"), "ord", "words")
     )
     sets = materialize(sets, "sets")
-    tokens = sets.select("rid", F.explode("words").alias("word"))
+    tokens = sets.select("rid", "ord", F.explode("words").alias("word"))
     spread = tokens.groupBy("word").agg(F.count("*").alias("df"))
     ranked = (
         tokens.join(spread, "word")
-        .groupBy("rid")
+        .groupBy("rid", "ord")
         .agg(F.sort_array(F.collect_list(F.struct("df", "word"))).alias("ranked"))
     )
-    ordered = ranked.join(sets.select("rid", "ord"), "rid").select(
+    ordered = ranked.select(
         "rid",
         "ord",
-        F.transform("ranked", lambda r: r["word"]).alias("words"),
+        F.col("ranked.word").alias("words"),
         F.size("ranked").alias("size"),
     )
     return materialize(ordered, "ordered-sets")
@@ -247,7 +248,7 @@ def duplicate_status(
     kept = kept_orders(df, threshold, text, order, **tuning)
     flag = kept.select(F.col("ord").alias(order), F.lit(True).alias("_kept"))
     marked = df.join(flag, order, "left")
-    wordless = F.size(word_set(F.col(text))) == 0
+    wordless = ~non_blank(F.col(text))
     return marked.withColumn("kept", F.coalesce("_kept", wordless)).drop("_kept")
 
 
