@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 CARD_FILE = "dataset_card.json"
 
 
+def load_direct(reader: DataFrameReader, path: str, glob: str) -> DataFrame | None:
+    """The files directly in ``path`` that match ``glob``; null if there are none.
+
+    Naming the files keeps sub-folders, such as a job's own output, out of the scan.
+    """
+    try:
+        return reader.load(f"{path.rstrip('/')}/{glob}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``path, length`` of every file below ``path``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

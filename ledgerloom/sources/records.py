@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ledgerloom.functions.text import strip
 from ledgerloom.operators.extract import ANNOUNCEMENT_FIELDS
 from ledgerloom.operators.index import number_rows, numbered_lines
+from ledgerloom.sources.listing import load_direct
 
 
 def _parsed(line: Column) -> Column:
@@ -22,9 +23,10 @@ JSONL_FILES = "{*.jsonl,part-*.json}"
 
 
 def _json_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    lines = (
-        spark.read.option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true").text(path)
-    )
+    reader = spark.read.format("text").option("ignoreCorruptFiles", "true")
+    lines = load_direct(reader, path, glob)
+    if lines is None:
+        return spark.createDataFrame([], "file string, value string")
     return lines.select(F.col("_metadata.file_name").alias("file"), "value").where(
         strip(F.col("value")) != ""
     )

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.operators.lookup import union_all
-from ledgerloom.sources.listing import list_files
+from ledgerloom.sources.listing import load_direct
 
 # Cell texts read as missing.
 NA_TOKENS = (
@@ -158,9 +158,10 @@ def zip_csv_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def _zip_parts(spark: SparkSession, path: str) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-    name = F.substring_index("path", "/", -1)
-    return reader.load(path).select(name.alias("part"), "content")
+    files = load_direct(spark.read.format("binaryFile"), path, "*.zip")
+    if files is None:
+        return spark.createDataFrame([], "part string, content binary")
+    return files.select(F.substring_index("path", "/", -1).alias("part"), "content")
 
 
 def read_zip_csv(
@@ -186,9 +187,11 @@ def read_zip_csv(
         for batch in batches:
             for part, content in zip(batch["part"], batch["content"]):
                 for handle in _first_csv(content):
-                    chunks = pd.read_csv(
-                        handle, dtype=str, usecols=lambda c: c in wanted, chunksize=chunk_rows
-                    )
+                    header = list(pd.read_csv(handle, dtype=str, nrows=0).columns)
+                    handle.seek(0)
+                    # One column at least, or the part's rows would not be counted.
+                    present = [c for c in header if c in wanted] or header[:1]
+                    chunks = pd.read_csv(handle, dtype=str, usecols=present, chunksize=chunk_rows)
                     for chunk in chunks:
                         chunk = chunk.reindex(columns=wanted).astype(object)
                         chunk = chunk.where(chunk.notna(), None)
