@@ -258,5 +258,10 @@ def thousands(n: Column) -> Column:
     return F.format_number(n, 0)
 
 
+def one_decimal(x: Column) -> Column:
+    """One decimal place; an exact half goes to the even digit."""
+    return F.format_string("%.1f", F.bround(x, 1))
+
+
 def percent(share: Column) -> Column:
-    return F.format_string("%.1f%%", share * 100)
+    return F.concat(one_decimal(share * 100), F.lit("%"))

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.functions.text import one_decimal
 from ledgerloom.operators import index
 from ledgerloom.operators.profile import run_metadata
 from ledgerloom.sources.tables import PHRASEBANK_FILE
@@ -84,7 +85,7 @@ def overview(cards: DataFrame) -> DataFrame:
     return cards.select(
         F.col("name").alias("dataset"),
         F.coalesce(F.format_number("num_rows", 0), dash).alias("rows"),
-        F.format_string("%.1f", F.col("size_bytes") / 1e6).alias("size_mb"),
+        one_decimal(F.col("size_bytes") / 1e6).alias("size_mb"),
         F.coalesce("ideal_use", dash).alias("ideal_use"),
     ).orderBy("dataset")
 
