@@ -8,7 +8,7 @@ Similarity is the Jaccard ratio of lower-cased word sets. The steps, each a join
     Bayardo et al. 2007, Vernica et al. 2010), so candidates come from an equi-join on those.
 3.  A word shared by a large part of the data would make that join quadratic. Only comparisons
     with *kept* records matter, so a round compares each record with the first ``k`` open records
-    of each of its words (the leaders). A record that leads for all its words knows every earlier
+    of each of its words (the leaders; all records of a word that few share). A record that leads for all its words knows every earlier
     neighbour and is compared with every later one, so it can be decided; what it drops is gone.
     A large group of near-copies therefore costs a few comparisons per record, not one per pair.
     ``k`` grows until the rest fits one unrestricted round. No pair is ever skipped for good.
@@ -91,6 +91,27 @@ def _unrestricted(postings: DataFrame, fanout: int, max_group: int) -> bool:
     return sum(b.pairs for b in bins) <= 2 * fanout * sum(b.postings for b in bins)
 
 
+def _leaders(postings: DataFrame, k: int, small: int) -> tuple[DataFrame, DataFrame]:
+    """The first ``k`` postings of each word, or all where a word has at most ``small``; and
+    ``word, horizon``: where it has more, the order of the first one that does not lead.
+
+    The rank limit is applied before the shuffle too, so a hot word sends few rows per task.
+    """
+    top = max(k, small)
+    place = Window.partitionBy("word").orderBy("ord")
+    ranked = postings.withColumn("rank", F.row_number().over(place))
+    ranked = materialize(ranked.where(F.col("rank") <= top + 1), "leaders")
+    rank = F.col("rank")
+    if k >= small:
+        leaders, first_late = ranked.where(rank <= k), ranked.where(rank == k + 1)
+    else:
+        hot = ranked.where(rank == small + 1).select("word")
+        others = ranked.where((rank > k) & (rank <= small)).join(hot, "word", "left_anti")
+        leaders = ranked.where(rank <= k).unionByName(others)
+        first_late = ranked.where(rank == k + 1).join(hot, "word", "left_semi")
+    return leaders.drop("rank"), first_late.select("word", F.col("ord").alias("horizon"))
+
+
 def similar_pairs(
     sets: DataFrame, postings: DataFrame, leaders: DataFrame, threshold: float
 ) -> DataFrame:
@@ -195,6 +216,7 @@ def kept_orders(
     order: str = "ord",
     fanout: int = 32,
     first_leaders: int = 4,
+    small_group: int = 32,
     max_group: int = 20_000,
     local_edges: int = 100_000,
 ) -> DataFrame:
@@ -207,13 +229,7 @@ def kept_orders(
         if _unrestricted(postings, fanout, max_group):
             leaders, waiting = postings, None
         else:
-            place = Window.partitionBy("word").orderBy("ord")
-            ranked = postings.withColumn("rank", F.row_number().over(place))
-            ranked = materialize(ranked.where(F.col("rank") <= k + 1), "leaders")
-            leaders = ranked.where(F.col("rank") <= k).drop("rank")
-            horizon = ranked.where(F.col("rank") == k + 1).select(
-                "word", F.col("ord").alias("horizon")
-            )
+            leaders, horizon = _leaders(postings, k, small_group)
             late = postings.join(horizon, "word").where(F.col("ord") >= F.col("horizon"))
             waiting = materialize(late.select("rid").distinct(), "waiting")
         edges = similar_pairs(open_sets, postings, leaders, threshold)

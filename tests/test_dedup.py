@@ -52,7 +52,7 @@ def test_equals_the_greedy_loop(spark, seed, threshold):
     assert kept(spark, rows, threshold) == greedy(rows, threshold)
 
 
-TIGHT = dict(fanout=1, first_leaders=1, max_group=5)
+TIGHT = dict(fanout=1, first_leaders=1, small_group=3, max_group=5)
 
 
 @pytest.mark.parametrize("threshold", [0.7, 0.85])
