@@ -47,10 +47,8 @@ def frequencies(df: DataFrame, value: Column, name: str = "value") -> DataFrame:
 
 def with_share(counts: DataFrame) -> DataFrame:
     """Add ``pct``, each count's share of all counts."""
-    total = counts.agg(F.sum("n").alias("_total"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        *counts.columns, (F.col("n") / F.col("_total") * 100).alias("pct")
-    )
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("pct", F.col("n") / total * 100)
 
 
 def top(counts: DataFrame, k: int = 10, tie: str | Column | None = None) -> DataFrame:
@@ -75,13 +73,11 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     """
     counted = df.select(value.cast("double").alias("v")).where("v is not null")
     counted = counted.groupBy("v").agg(F.count("*").alias("c"))
-    flat = F.col("_max") == F.col("_min")
-    limits = counted.agg(F.min("v").alias("_min"), F.max("v").alias("_max")).select(
-        F.when(flat, F.col("_min") - 0.5).otherwise(F.col("_min")).alias("first"),
-        F.when(flat, F.col("_max") + 0.5).otherwise(F.col("_max")).alias("last"),
-    )
-    limits = F.broadcast(limits)
-    first, last = F.col("first"), F.col("last")
+    flat = F.min("v") == F.max("v")
+    first = F.when(flat, F.min("v") - 0.5).otherwise(F.min("v")).alias("first")
+    last = F.when(flat, F.max("v") + 0.5).otherwise(F.max("v")).alias("last")
+    limits = counted.agg(F.struct(first, last)).scalar()
+    first, last = F.col("limits.first"), F.col("limits.last")
     step = (last - first) / bins
 
     def edge(i: Column) -> Column:
@@ -97,14 +93,13 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
         .otherwise(at)
     )
     filled = (
-        counted.crossJoin(limits)
+        counted.withColumn("limits", limits)
         .withColumn("guess", guess)
         .groupBy(placed.alias("bin"))
         .agg(F.sum("c").alias("n"))
     )
-    spine = limits.where(first.isNotNull()).select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), first, last
-    )
+    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    spine = spine.withColumn("limits", limits).where(first.isNotNull())
     return spine.join(filled, "bin", "left").select(
         "bin",
         edge(F.col("bin")).alias("lo"),
@@ -192,14 +187,11 @@ def run_metadata(records: DataFrame, scraped_at: str) -> DataFrame:
         F.countDistinct(F.when(company != "", company)).alias("unique_companies"),
         F.countDistinct(F.when(ticker != "", ticker)).alias("unique_tickers"),
     )
-    sources = counter(records, "source").withColumnRenamed("source", "sources")
-    kinds = counter(records, "rns_type").withColumnRenamed("rns_type", "rns_types")
-    empty = F.create_map().cast("map<string,bigint>")
-    return totals.crossJoin(sources).crossJoin(kinds).select(
+    return totals.select(
         "total_records",
         F.lit(scraped_at).alias("scraped_at"),
-        F.coalesce("sources", empty).alias("sources"),
-        F.coalesce("rns_types", empty).alias("rns_types"),
+        counter(records, "source").scalar().alias("sources"),
+        counter(records, "rns_type").scalar().alias("rns_types"),
         "companies_identified",
         "tickers_identified",
         "unique_companies",
@@ -248,7 +240,7 @@ def dataset_card(
     spark: SparkSession = sizes.sparkSession
     card = sizes.where(F.col("dataset") == name)
     if rows is not None:
-        card = card.crossJoin(rows.select(F.col("num_rows")))
+        card = card.withColumn("num_rows", rows.select("num_rows").scalar())
     else:
         card = card.withColumn("num_rows", F.lit(None).cast("long"))
     if labels is not None:
@@ -257,7 +249,7 @@ def dataset_card(
         )
         entries = F.collect_list(F.struct("column", "counts"))
         maps = per_column.agg(F.map_from_entries(entries).alias("label_distributions"))
-        card = card.crossJoin(maps)
+        card = card.withColumn("label_distributions", maps.scalar())
     else:
         card = card.withColumn(
             "label_distributions", F.lit(None).cast("map<string,map<string,bigint>>")
