@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ledgerloom.functions import dates, text as T
 from ledgerloom.operators.lookup import ideal_use
+from ledgerloom.session import materialize
 
 PROFILE_FIELDS = ("title", "summary", "category", "author", "source")
 
@@ -68,11 +69,11 @@ def most_common(df: DataFrame, value: Column, order: Column, k: int = 10, name:
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     """Equal-width histogram ``bin, lo, hi, n`` over all bins, the last one closed.
 
-    Values are counted first, so the bins are worked out on distinct values only and the data is
-    read once. Bin edges and ties fall as in numpy.
+    Values are counted first and the counts staged: the data is read once, and the limits and
+    bins are worked out on distinct values. Bin edges and ties fall as in numpy.
     """
     counted = df.select(value.cast("double").alias("v")).where("v is not null")
-    counted = counted.groupBy("v").agg(F.count("*").alias("c"))
+    counted = materialize(counted.groupBy("v").agg(F.count("*").alias("c")), "value-counts")
     flat = F.min("v") == F.max("v")
     first = F.when(flat, F.min("v") - 0.5).otherwise(F.min("v")).alias("first")
     last = F.when(flat, F.max("v") + 0.5).otherwise(F.max("v")).alias("last")

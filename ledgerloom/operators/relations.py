@@ -26,14 +26,14 @@ def split_triples(pairs: DataFrame) -> DataFrame:
     """One row per '|'-separated triple of the non-blank lines, with its ';'-separated ``parts``."""
     line = T.strip(F.col("tup"))
     filled = pairs.where(line != "")
-    return filled.select(
-        F.col("line_no").alias("sent_id"), "sent", F.explode(F.split(line, r"[|]")).alias("triple")
-    ).select(
-        "sent_id",
-        "sent",
-        T.strip(F.col("triple")).alias("triple"),
-        F.transform(F.split("triple", ";"), T.strip).alias("parts"),
+    # Cut into parts before the rows are made, so that later filters read finished columns.
+    triples = F.transform(
+        F.split(line, r"[|]"),
+        lambda t: F.struct(
+            T.strip(t).alias("triple"), F.transform(F.split(t, ";"), T.strip).alias("parts")
+        ),
     )
+    return filled.select(F.col("line_no").alias("sent_id"), "sent", F.inline(triples))
 
 
 def relation_examples(pairs: DataFrame, valid: DataFrame) -> DataFrame:

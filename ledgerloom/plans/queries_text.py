@@ -404,6 +404,18 @@ def _(t):
     return extract.announcements_from_pages(sharecast_pages(t), SHARECAST, 20, scraped_at=F.lit(STAMP))
 
 
+@query(
+    "q1_announcement_types",
+    f"""SELECT source, rns_type, count(*) AS n, count(*) FILTER (published <> '{STAMP}') AS dated
+        FROM ({record_sql(INVESTEGATE, NEWS_SQL, PREFIX_SQL, 50)}) GROUP BY 1, 2""",
+)
+def announcement_types(t):
+    found = extract.announcements_from_pages(news_pages(t), INVESTEGATE, 50, scraped_at=F.lit(STAMP))
+    return found.groupBy("source", "rns_type").agg(
+        F.count("*").alias("n"), F.count_if(F.col("published") != STAMP).alias("dated")
+    )
+
+
 UNION_SQL = " UNION ALL ".join(
     f"SELECT source, title, link FROM ({q})"
     for q in (
