@@ -161,7 +161,7 @@ def profile_datasets(spark: SparkSession, base: str) -> DataFrame:
     for row in sizes.select("dataset", "format").orderBy("dataset").collect():
         path = f"{base.rstrip('/')}/{row.dataset}"
         if row.format == "csv":
-            df = tables.read_csv_tree(spark, path)
+            df = tables.read_csv_tree(spark, path, staged=True)
             rows = profile.row_count(df).withColumnRenamed("n", "num_rows")
             labels = profile.label_distributions(df)
             cards.append(profile.dataset_card(row.dataset, path, sizes, rows, df.columns, labels))

@@ -45,6 +45,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete this application's own tables below the checkpoint folder, once its results are
+    written elsewhere. Nothing else in that folder is touched."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(
+        f"{checkpoint_root(spark)}/{context.applicationId}"
+    )
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

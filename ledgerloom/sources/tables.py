@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.operators.lookup import union_all
+from ledgerloom.session import materialize
 from ledgerloom.sources.listing import load_direct
 
 # Cell texts read as missing.
@@ -101,9 +102,14 @@ def read_phrasebank(spark: SparkSession, folder: str, config: str = "sentences_a
         raise FileNotFoundError(f"no data for config {config!r} at {path}") from e
 
 
-def read_csv_tree(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
+def read_csv_tree(
+    spark: SparkSession, path: str, infer: bool = True, staged: bool = False
+) -> DataFrame:
     """All CSV files below ``path``, united by column name.
 
+    ``staged`` parses the files once into a Parquet table that type inference and later steps
+    read; use it when several follow.
+
     A plain multi-path read would bind columns by position, so files are grouped by header first
     and each group is one scan. Headers come from a line scan, not from opening files one by one.
     """
@@ -130,6 +136,8 @@ def read_csv_tree(spark: SparkSession, path: str, infer: bool = True) -> DataFra
     if not groups:
         return spark.createDataFrame([], T.StructType([]))
     cells = union_all([read_csv(spark, g.files, infer=False) for g in groups])
+    if staged:
+        cells = materialize(cells, "cells")
     return infer_types(cells) if infer else cells
 
 
