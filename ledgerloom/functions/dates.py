@@ -120,19 +120,25 @@ def parse_date(text: Column, date_format: str = "d/M/yyyy") -> Column:
     """Midnight timestamp of a numeric date such as ``d/M/yyyy`` or ``yyyy-MM-dd``, else null."""
     pieces = {"dd": "([0-9]{2})", "d": "([0-9]{1,2})", "MM": "([0-9]{2})", "M": "([0-9]{1,2})",
               "yyyy": "([0-9]{4})"}
-    pattern, order = "", []
+    pattern, order, between = "", [], []
     for token, literal in re.findall(r"(dd?|MM?|yyyy)|(.)", date_format):
         if token:
             order.append(token[0])
             pattern += pieces[token]
         else:
+            between.append(literal)
             pattern += re.escape(literal)
     pattern = rf"^{pattern}\z"
+    # With one separator throughout, a field is read without running the pattern again.
+    separator = between[0] if len(between) == 2 and between[0] == between[1] else None
     if sorted(order) != ["M", "d", "y"]:
         raise ValueError(f"date format needs one day, month and year: {date_format}")
 
     def field(letter: str) -> Column:
-        return F.regexp_extract(text, pattern, order.index(letter) + 1).cast("int")
+        place = order.index(letter) + 1
+        if separator:
+            return F.split_part(text, F.lit(separator), F.lit(place)).cast("int")
+        return F.regexp_extract(text, pattern, place).cast("int")
 
     stamp = F.try_make_timestamp(
         F.nullif(field("y"), F.lit(0)), field("M"), field("d"),

@@ -10,7 +10,7 @@ def test_materialized_tables_live_in_the_configured_folder(spark, tmp_path, monk
     other = tmp_path / "other"
     other.mkdir()
     df = session.materialize(spark.range(5), "numbers")
-    assert df.count() == 5 and df.inputFiles()[0].startswith("file:" + str(tmp_path))
+    assert df.count() == 5 and str(tmp_path) in df.inputFiles()[0]
     assert session.drop_scratch(spark)
     assert os.listdir(tmp_path) == ["other"]
 
