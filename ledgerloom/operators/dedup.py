@@ -179,7 +179,7 @@ def _decide_in_one_task(edges: DataFrame) -> DataFrame:
         close()
         yield pd.DataFrame({"rid": list(state), "state": list(state.values())})
 
-    ordered = edges.orderBy("b_ord", "b", "a_ord").coalesce(1)
+    ordered = edges.repartition(1).sortWithinPartitions("b_ord", "b", "a_ord")
     return ordered.select("a", "b", "a_waits", "b_waits").mapInPandas(
         walk, "rid long, state string"
     )

@@ -69,7 +69,9 @@ def staged_index(spark: SparkSession, path: str, schema, name: str = "idx") -> D
         F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.row_index").alias("_m"),
     )
-    return number_rows(rows, ["_file"], [F.first("_file")], [], name).drop("_file")
+    # Task numbers have five digits or more, so names alone would sort 100000 before 99999.
+    task = F.regexp_extract(F.first("_file"), r"part-(\d+)", 1).cast("long")
+    return number_rows(rows, ["_file"], [task, F.first("_file")], [], name).drop("_file")
 
 
 def source_order_index(df: DataFrame, source: str, name: str = "idx") -> DataFrame:

@@ -833,7 +833,7 @@ def landed_datasets(t: Tables) -> str:
     line = F.to_json(F.struct("doc_id", "lang"))
     files = landing.line_files(t.documents, "doc_id", line, 200, "d_%03d.jsonl")
     landing.land(files, f"{base}/rns_documents")
-    t.nation.write.parquet(f"{base}/px_nation")
+    t.nation.coalesce(1).write.parquet(f"{base}/px_nation")
     return base
 
 
@@ -882,6 +882,17 @@ def _(t):
     return columns.select("name", "column", F.explode("counts").alias("value", "n"))
 
 
+@query(
+    "s15_dataset_formats",
+    """SELECT * FROM (VALUES ('ch_orders', 'csv', NULL), ('boe_cls_part', 'csv', NULL),
+         ('rns_documents', 'jsonl', NULL), ('px_nation', 'other', 1)) t(dataset, format, files)""",
+)
+def _(t):
+    """Formats of folders written from the tables; the nation table is one Parquet file."""
+    sizes = listing.dataset_sizes(listing.dataset_files(t.spark, landed_datasets(t)))
+    return sizes.select("dataset", "format", "files")
+
+
 @query("s14_s15_a19_dataset_sizes")
 def _(t):
     """Sizes in bytes of landed folders: SQL cannot see them, a test compares with the disk."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.functions.text import strip
+from ledgerloom.functions.text import non_blank, strip
 from ledgerloom.operators.extract import ANNOUNCEMENT_FIELDS
 from ledgerloom.operators.index import number_rows, numbered_lines
 from ledgerloom.sources.listing import load_direct
@@ -26,10 +26,16 @@ def _json_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
     reader = spark.read.format("text").option("ignoreCorruptFiles", "true")
     lines = load_direct(reader, path, glob)
     if lines is None:
-        return spark.createDataFrame([], "file string, value string")
-    return lines.select(F.col("_metadata.file_name").alias("file"), "value").where(
-        strip(F.col("value")) != ""
+        schema = "file string, ord struct<file: string, block: long, line: long>, value string"
+        return spark.createDataFrame([], schema)
+    place = F.struct(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
     )
+    return lines.select(
+        F.col("_metadata.file_name").alias("file"), place.alias("ord"), "value"
+    ).where(non_blank(F.col("value")))
 
 
 def read_announcements(
@@ -37,9 +43,13 @@ def read_announcements(
     path: str,
     drop_metadata_rows: bool = True,
     keep_file: bool = False,
+    keep_order: bool = False,
     glob: str = JSONL_FILES,
 ) -> DataFrame:
-    """Announcement records of all JSONL files in ``path``; blank and invalid lines are skipped."""
+    """Announcement records of all JSONL files in ``path``; blank and invalid lines are skipped.
+
+    ``keep_order`` adds ``ord``, which sorts by file name and then by line.
+    """
     lines = _json_lines(spark, path, glob).withColumn("_r", _parsed(F.col("value")))
     good = lines.where(F.col("_r").isNotNull())
     if drop_metadata_rows:
@@ -48,7 +58,8 @@ def read_announcements(
         F.col(f"_r.{c}").try_cast("int").alias(c) if c == "source_priority" else F.col(f"_r.{c}")
         for c in ANNOUNCEMENT_FIELDS
     ]
-    return good.select(*(["file"] if keep_file else []), *fields)
+    extra = (["file"] if keep_file else []) + (["ord"] if keep_order else [])
+    return good.select(*extra, *fields)
 
 
 def jsonl_line_report(spark: SparkSession, path: str, glob: str = JSONL_FILES) -> DataFrame:

@@ -102,6 +102,8 @@ def test_tolerant_jsonl(spark, tmp_path):
     assert [(r.file, r.title, r.source, r.source_priority) for r in rows] == [
         ("a.jsonl", "u", None, None), ("b.jsonl", "t", "s", 1)
     ]
+    placed = records.read_announcements(spark, str(tmp_path), keep_order=True).orderBy("ord")
+    assert [r.title for r in placed.collect()] == ["u", "t"]
     kept = records.read_announcements(spark, str(tmp_path), drop_metadata_rows=False)
     assert kept.count() == 3
     report = {r.file: (r.records, r.bad_lines) for r in records.jsonl_line_report(spark, str(tmp_path)).collect()}
