@@ -325,7 +325,7 @@ SENTIMENTS = ("negative", "neutral", "positive")
 
 @query(
     "j3_f22_label_names",
-    """SELECT doc_id, quality + toxic AS label, ['negative', 'neutral', 'positive'][quality + toxic + 1] AS sentiment
+    """SELECT doc_id, CAST(quality + toxic AS BIGINT) AS label, ['negative', 'neutral', 'positive'][quality + toxic + 1] AS sentiment
        FROM labels""",
 )
 def _(t):
@@ -346,7 +346,7 @@ def _(t):
 
 @query(
     "k2_s2_q6_phrasebank",
-    """SELECT d.doc_id, text AS sentence, quality AS label, ['negative', 'neutral', 'positive'][quality + 1] AS sentiment
+    """SELECT d.doc_id, text AS sentence, CAST(quality AS BIGINT) AS label, ['negative', 'neutral', 'positive'][quality + 1] AS sentiment
        FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
 )
 def _(t):
@@ -660,7 +660,8 @@ def _(t):
 
 @query(
     "s3_u2_csv_tree",
-    """SELECT * FROM region UNION ALL BY NAME SELECT n_name AS r_name, n_nationkey FROM nation
+    """SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region
+       UNION ALL BY NAME SELECT n_name AS r_name, CAST(n_nationkey AS BIGINT) AS n_nationkey FROM nation
        UNION ALL BY NAME SELECT c_custkey, c_acctbal, c_mktsegment AS r_name FROM customer""",
 )
 def _(t):
@@ -885,7 +886,7 @@ def _(t):
 @query(
     "s15_dataset_formats",
     """SELECT * FROM (VALUES ('ch_orders', 'csv', NULL), ('boe_cls_part', 'csv', NULL),
-         ('rns_documents', 'jsonl', NULL), ('px_nation', 'other', 1)) t(dataset, format, files)""",
+         ('rns_documents', 'jsonl', NULL), ('px_nation', 'other', CAST(1 AS BIGINT))) t(dataset, format, files)""",
 )
 def _(t):
     """Formats of folders written from the tables; the nation table is one Parquet file."""

@@ -332,7 +332,7 @@ def record_sql(source: extract.PageSource, base: str, link: str, limit: int) ->
     return f"""SELECT page_id, pos, title, {link} AS link,
         CASE WHEN published <> '' THEN published ELSE '{STAMP}' END AS published, '' AS summary,
         '{source.category}' AS category, '{source.author}' AS author, {link} AS guid,
-        '{source.name}' AS source, '{source.url}' AS source_url, {source.priority} AS source_priority,
+        '{source.name}' AS source, '{source.url}' AS source_url, CAST({source.priority} AS BIGINT) AS source_priority,
         {S.ticker('title')} AS ticker, {S.company('title')} AS company_name,
         {S.classify('title')} AS rns_type, '{STAMP}' AS scraped_at
       FROM ({cascade_sql(source, base, limit)})"""
@@ -451,7 +451,7 @@ SOURCE_VALUES = ", ".join(f"('{n}', '{k}', '{u}', {p})" for n, k, u, p in extrac
 
 @query(
     "p11_source_constants",
-    f"""SELECT e.event_id, e.source, r.type, r.source_url, r.source_priority
+    f"""SELECT e.event_id, e.source, r.type, r.source_url, CAST(r.source_priority AS BIGINT) AS source_priority
         FROM (SELECT event_id, CASE event_type WHEN 'click' THEN 'Investegate_Direct'
                 WHEN 'view' THEN 'Yahoo_Finance_UK' WHEN 'error' THEN 'Proactive_UK'
                 ELSE event_type END AS source FROM events) e
