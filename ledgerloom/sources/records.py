@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerloom.functions.entities import bind
 from ledgerloom.functions.text import non_blank, strip
 from ledgerloom.operators.extract import ANNOUNCEMENT_FIELDS
 from ledgerloom.operators.index import number_rows, numbered_lines
@@ -11,11 +12,16 @@ from ledgerloom.sources.listing import load_direct
 
 
 def _parsed(line: Column) -> Column:
-    """The one JSON object on a line, or null. All fields are read as text, so a badly typed
-    field does not lose its record; the brackets make trailing text an error."""
+    """The one JSON object on a line as an array of one, or an empty array.
+
+    All fields are read as text, so a badly typed field does not lose its record; the brackets
+    make trailing text an error.
+    """
     fields = ", ".join(f"{c} string" for c in [*ANNOUNCEMENT_FIELDS, "_metadata"])
     array = F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<struct<{fields}>>")
-    return F.when(F.size(array) == 1, F.get(array, F.lit(0)))
+    none = F.array().cast(f"array<struct<{fields}>>")
+    one = bind(array, lambda a: F.when((F.size(a) == 1) & F.get(a, F.lit(0)).isNotNull(), a))
+    return F.coalesce(one, none)
 
 
 # Landed files, and what this library's own sink writes.
@@ -50,10 +56,11 @@ def read_announcements(
 
     ``keep_order`` adds ``ord``, which sorts by file name and then by line.
     """
-    lines = _json_lines(spark, path, glob).withColumn("_r", _parsed(F.col("value")))
-    good = lines.where(F.col("_r").isNotNull())
+    found = _parsed(F.col("value"))
     if drop_metadata_rows:
-        good = good.where(F.col("_r._metadata").isNull())
+        found = F.filter(found, lambda r: r["_metadata"].isNull())
+    # Filtered inside the array, so that each line is parsed once.
+    good = _json_lines(spark, path, glob).select("file", "ord", F.explode(found).alias("_r"))
     fields = [
         F.col(f"_r.{c}").try_cast("int").alias(c) if c == "source_priority" else F.col(f"_r.{c}")
         for c in ANNOUNCEMENT_FIELDS
@@ -64,7 +71,7 @@ def read_announcements(
 
 def jsonl_line_report(spark: SparkSession, path: str, glob: str = JSONL_FILES) -> DataFrame:
     """Per file: records read and lines rejected."""
-    lines = _json_lines(spark, path, glob).withColumn("_ok", _parsed(F.col("value")).isNotNull())
+    lines = _json_lines(spark, path, glob).withColumn("_ok", F.size(_parsed(F.col("value"))) == 1)
     return lines.groupBy("file").agg(
         F.count_if("_ok").alias("records"), F.count_if(~F.col("_ok")).alias("bad_lines")
     )
@@ -73,7 +80,7 @@ def jsonl_line_report(spark: SparkSession, path: str, glob: str = JSONL_FILES) -
 def rejected_lines(spark: SparkSession, path: str, glob: str = JSONL_FILES) -> DataFrame:
     """``file, line_no (1-based), value`` of every invalid line."""
     lines = numbered_lines(spark, f"{path.rstrip('/')}/{glob}")
-    bad = lines.where((strip(F.col("value")) != "") & _parsed(F.col("value")).isNull())
+    bad = lines.where(non_blank(F.col("value")) & (F.size(_parsed(F.col("value"))) == 0))
     name = F.substring_index("file", "/", -1)
     return bad.select(name.alias("file"), (F.col("line_no") + 1).alias("line_no"), "value")
 
