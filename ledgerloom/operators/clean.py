@@ -22,9 +22,11 @@ def in_date_range(
         return df.withColumn("date", F.lit(None).cast("string"))
     upper = dates.today() if as_of is None else as_of
     upper = F.lit(upper).cast("timestamp") if isinstance(upper, str) else upper
-    parsed = dates.parse_date(F.col(column), date_format)
-    dated = df.withColumn("_date", parsed)
-    kept = dated.where(F.col("_date").between(F.lit(min_date).cast("timestamp"), upper))
+    lower = F.lit(min_date).cast("timestamp")
+    # Tested inside an array of one: a filter on the parsed column would parse every date twice.
+    parsed = F.array(dates.parse_date(F.col(column), date_format))
+    fitting = F.filter(parsed, lambda d: d.between(lower, upper))
+    kept = df.select("*", F.explode(fitting).alias("_date"))
     return kept.withColumn("date", dates.iso_date(F.col("_date"))).drop("_date")
 
 

@@ -54,8 +54,8 @@ def plan(df):
 def test_only_needed_columns_are_scanned(spark):
     text = plan(QUERIES["f8_link_domains"](spark, FOLDER))
     assert "ReadSchema: struct<page_id:bigint,url:string>" in text
-    text = plan(QUERIES["a7_document_lengths"](spark, FOLDER))
-    assert "ReadSchema: struct<text:string>" in text
+    text = plan(QUERIES["f5_previews"](spark, FOLDER))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
 
 
 @pytest.mark.parametrize("name", ["s10_p11_announcements", "f3_extract_ticker", "p2_optional_columns"])
