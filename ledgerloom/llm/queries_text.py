@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm.bpe import decode_documents, encode_documents, token_digests
+from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.quality import score_documents
 from ledgerloom.llm.registry import query, table
 
@@ -22,3 +23,9 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path(RANKS)
     encoded = encode_documents(table(spark, folder, "documents"), ranks)
     return token_digests(decode_documents(encoded, ranks))
+
+
+@query("op10_source_mixing")
+def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix_sources(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "repeats", "taken")
