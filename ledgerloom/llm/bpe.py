@@ -377,37 +377,44 @@ def encode_documents(
     return rows.mapInArrow(run, "doc_id long, ids array<int>, offsets array<int>")
 
 
+class Decoder:
+    """Writes token bytes at their offsets."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.every = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray, first: np.ndarray) -> pa.Array:
+        """One binary value per text; ``first`` is the number of ids before each text."""
+        counts = self.lengths[ids]
+        # A text's size is where its last token ends.
+        filled = first[1:] > first[:-1]
+        sizes = np.zeros(len(first) - 1, np.int64)
+        last = first[1:][filled] - 1
+        sizes[filled] = offsets[last] + counts[last]
+        start = np.concatenate(([0], np.cumsum(sizes)))
+        out = np.zeros(int(start[-1]), np.uint8)
+        goal = offsets + np.repeat(start[:-1], np.diff(first))
+        out[_spans(goal, counts)] = self.every[_spans(self.begins[ids], counts)]
+        buffers = [None, pa.py_buffer(start.astype(np.int32)), pa.py_buffer(out)]
+        return pa.Array.from_buffers(pa.binary(), len(sizes), buffers)
+
+
 def decode_documents(encoded: DataFrame, rank_file: str) -> DataFrame:
     """``doc_id, ids, decoded`` per row of ``encode_documents``; ``decoded`` is binary."""
     vocabulary = encoded.sparkSession.sparkContext.broadcast(load_tokens(rank_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = vocabulary.value
-        lengths = np.array([len(t) for t in tokens], np.int64)
-        begins = np.cumsum(lengths) - lengths
-        every = np.frombuffer(b"".join(tokens), np.uint8)
+        decoder = Decoder(vocabulary.value)
         for batch in batches:
             lists = batch.column(1)
             ids = lists.flatten().to_numpy()
             offsets = batch.column(2).flatten().to_numpy().astype(np.int64)
             first = np.concatenate(([0], np.cumsum(np.diff(lists.offsets.to_numpy()))))
-            counts = lengths[ids]
-            # A text's size is where its last token ends.
-            filled = first[1:] > first[:-1]
-            sizes = np.zeros(len(lists), np.int64)
-            last = first[1:][filled] - 1
-            sizes[filled] = offsets[last] + counts[last]
-            start = np.concatenate(([0], np.cumsum(sizes)))
-            out = np.zeros(int(start[-1]), np.uint8)
-            goal = offsets + np.repeat(start[:-1], np.diff(first))
-            out[_spans(goal, counts)] = every[_spans(begins[ids], counts)]
-            decoded = pa.Array.from_buffers(
-                pa.binary(),
-                len(lists),
-                [None, pa.py_buffer(start.astype(np.int32)), pa.py_buffer(out)],
-            )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lists, decoded], ["doc_id", "ids", "decoded"]
+                [batch.column(0), lists, decoder.decode(ids, offsets, first)],
+                ["doc_id", "ids", "decoded"],
             )
 
     return encoded.select("doc_id", "ids", "offsets").mapInArrow(
@@ -415,6 +422,36 @@ def decode_documents(encoded: DataFrame, rank_file: str) -> DataFrame:
     )
 
 
+def round_trip(
+    docs: DataFrame,
+    rank_file: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    most_pieces: int = CACHE_PIECES,
+) -> DataFrame:
+    """``decode_documents(encode_documents(docs))`` in one Python process per task."""
+    vocabulary = docs.sparkSession.sparkContext.broadcast(tuple(load_vocabulary(rank_file)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Vocabulary(*vocabulary.value)
+        encoder, decoder = Encoder(held, most_pieces), Decoder(held.tokens)
+        for batch in batches:
+            for piece in pieces(batch.column(1)):
+                ids, offsets, first = encoder.encode(piece)
+                at = pa.array(first.astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(piece.begin, piece.end - piece.begin),
+                        pa.ListArray.from_arrays(at, pa.array(ids)),
+                        decoder.decode(ids, offsets.astype(np.int64), first),
+                    ],
+                    ["doc_id", "ids", "decoded"],
+                )
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+
+
 def token_digests(decoded: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of ``decode_documents``."""
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm.bpe import decode_documents, encode_documents, token_digests
+from ledgerloom.llm.bpe import round_trip, token_digests
 from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.quality import score_documents
 from ledgerloom.llm.registry import query, table
@@ -20,9 +20,8 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_byte_bpe")
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    ranks = public_tokenizers.path(RANKS)
-    encoded = encode_documents(table(spark, folder, "documents"), ranks)
-    return token_digests(decode_documents(encoded, ranks))
+    documents = table(spark, folder, "documents")
+    return token_digests(round_trip(documents, public_tokenizers.path(RANKS)))
 
 
 @query("op10_source_mixing")
