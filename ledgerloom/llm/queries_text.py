@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm.bpe import round_trip, token_digests
+from ledgerloom.llm.jaccard_join import similarity_classes
 from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.quality import score_documents
 from ledgerloom.llm.registry import query, table
@@ -28,3 +29,8 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix_sources(table(spark, folder, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "repeats", "taken")
+
+
+@query("op5_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return similarity_classes(table(spark, folder, "documents"))
