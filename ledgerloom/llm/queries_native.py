@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm.exact_dedup import mark_duplicates
 from ledgerloom.llm.registry import query, table
+from ledgerloom.llm.secret_scan import BASE, names, scan_secrets, span_text
 from ledgerloom.llm.url_filter import judge_urls
 
 RULES = (
@@ -64,3 +65,19 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_exact_dedup", EXACT_SQL)
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return mark_duplicates(table(spark, folder, "documents"))
+
+
+@query("op6_secret_scan")
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(BASE))
+    number = {
+        f"n_{name}": F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long")
+        for i, name in enumerate(names())
+    }
+    return found.select(
+        "doc_id",
+        *[n.alias(c) for c, n in number.items()],
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"),
+    )
