@@ -1,6 +1,6 @@
 """All queries of this subpackage, imported for their registration."""
 
-from ledgerloom.llm import queries_native, queries_text  # noqa: F401
+from ledgerloom.llm import queries_native, queries_text, queries_vectors  # noqa: F401
 from ledgerloom.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
