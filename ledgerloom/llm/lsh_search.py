@@ -35,7 +35,7 @@ TABLES = 2
 HASHES = 4
 WIDTH = 1.5
 CELLS = 8
-SUCCESS = 0.82
+SUCCESS = 0.9
 BLOCK_ROWS = 4096
 FIT_QUERIES = 128
 _SEED = 97
