@@ -39,6 +39,7 @@ SKETCH_BITS = 18
 _CHUNKS = 64
 _SALTS = 64
 COLUMN_PAIRS = 64  # columns with more entries go to the blocks without pairs
+SALTED_ENTRIES = 100_000  # columns that may have more are dealt out over several tasks
 BLOCK_ROWS = 512
 _SLICE = 4096
 
@@ -115,10 +116,9 @@ def _entries(
     docs: DataFrame, doc_id: str, text: str, width: int, least: int, sketch: np.ndarray
 ) -> DataFrame:
     """``g, node, place, salt``: the entries of the first columns of every row; ``place`` holds
-    size and position, ``salt`` is not 0 where the sketch cannot exclude that the column is hot."""
+    size and position, ``salt`` is not 0 where the sketch cannot exclude that the column is huge."""
     cells = docs.sparkSession.sparkContext.broadcast(sketch)
-    usual = float(sketch.mean())
-    hot = usual + 8 * usual**0.5 + COLUMN_PAIRS
+    hot = float(sketch.mean()) + SALTED_ENTRIES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, counts, seen = Hasher(), cells.value, set()
@@ -148,14 +148,27 @@ def _entries(
 
 
 def _candidates(entries: DataFrame, least: int) -> DataFrame:
-    """``a, b, g``: pairs that the bounds cannot exclude (``g`` null), or members ``a`` of a column
-    ``g`` with too many entries for pairs (``b`` null)."""
+    """``a, b, g``: a spanning forest, per task, of the pairs that the bounds cannot exclude (``g``
+    null), or members ``a`` of a column ``g`` with too many entries for pairs (``b`` null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "g"]
         kept = np.zeros((0, 4), np.int64)
         crowded: int | None = None  # the last column, if it is known to have many entries
 
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
+
+        def join(a: int, b: int) -> bool:
+            """Whether the pair connects what this task had not connected yet."""
+            a, b = top(a), top(b)
+            parent[a] = b
+            return a != b
+
         def members(rows: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [_long(rows[:, 1].copy()), pa.nulls(len(rows), pa.int64()), _long(rows[:, 0].copy())],
@@ -183,13 +196,11 @@ def _candidates(entries: DataFrame, least: int) -> DataFrame:
                     (100 + least) * most >= least * (n + m)
                 )
                 found.append(np.sort(np.column_stack((x[fits, 1], y[fits, 1])), axis=1))
-            pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays(
-                    [_long(pairs[:, 0].copy()), _long(pairs[:, 1].copy()), pa.nulls(len(pairs), pa.int64())],
-                    names,
-                )
+            pairs = np.unique(np.concatenate(found), axis=0).tolist() if found else []
+            new = [(a, b) for a, b in pairs if join(a, b)]
+            if new:
+                sides = [pa.array(x, pa.int64()) for x in zip(*new)]
+                yield pa.RecordBatch.from_arrays([*sides, pa.nulls(len(new), pa.int64())], names)
 
         for batch in batches:
             rows = np.column_stack([c.to_numpy() for c in batch.columns])
@@ -372,9 +383,9 @@ def similarity_classes(
     rows, sketch = signatures(docs, doc_id, text, width)
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = known.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("class"))
-    of_class = materialize(
-        known.join(classes, ["n", "hi", "lo"]).select("doc_id", "class").distinct(), "classes"
-    )
+    # The explicit exchange lets Spark split a hot class in the join below it.
+    of_class = known.join(classes, ["n", "hi", "lo"]).select("doc_id", "class")
+    of_class = materialize(of_class.repartition("doc_id", "class").distinct(), "classes")
     found = materialize(
         _candidates(_entries(docs, doc_id, text, width, least, sketch), least), "candidates"
     )
