@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm.bpe import round_trip, token_digests
 from ledgerloom.llm.jaccard_join import similarity_classes
 from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.quality import score_documents
 from ledgerloom.llm.registry import query, table
+from ledgerloom.llm.suffix_dedup import remove_repeats
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -34,3 +35,18 @@ def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_ngram_jaccard")
 def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return similarity_classes(table(spark, folder, "documents"))
+
+
+@query("op7_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate(
+        "removed", F.lit(0).cast("long"), lambda total, r: total + r["high"] - r["low"]
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

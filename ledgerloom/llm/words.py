@@ -92,11 +92,16 @@ class Hasher:
                 steps[0] = 1
                 setattr(self, name, np.cumprod(steps))
 
-    def ranges(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hashes of ``data[start:end]``, all non-empty: a polynomial by prefix sums, mod 2^64."""
-        self._grow(len(data))
+    def prefix_sums(self, data: np.ndarray) -> np.ndarray:
+        """``sums[e] - sums[s]`` times ``inverse[s]`` identifies ``data[s:e]``."""
+        self._grow(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.values[data] * self.power[: len(data)], out=sums[1:])
+        return sums
+
+    def ranges(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of ``data[start:end]``, all non-empty: a polynomial by prefix sums, mod 2^64."""
+        sums = self.prefix_sums(data)
         return mix((sums[ends] - sums[starts]) * self.inverse[starts])
 
     def windows(self, words: np.ndarray, width: int) -> np.ndarray:
