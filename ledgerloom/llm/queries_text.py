@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm.bpe import round_trip, token_digests
 from ledgerloom.llm.jaccard_join import similarity_classes
+from ledgerloom.llm.line_dedup import remove_aligned_lines
 from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.quality import score_documents
 from ledgerloom.llm.registry import query, table
@@ -50,3 +51,11 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op2_line_dedup")
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_aligned_lines(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
