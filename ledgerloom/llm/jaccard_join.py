@@ -409,3 +409,12 @@ def similarity_classes(
         F.col("n").alias("n_shingles"),
         F.coalesce("found", "doc_id").alias("component_id"),
     )
+
+
+def keep_one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component, all columns as they were.
+    Rows without an id stay."""
+    found = similarity_classes(docs, doc_id, text, **how)
+    dropped = found.where("doc_id != component_id").select(F.col("doc_id").alias("_dropped_id")).distinct()
+    dropped = materialize(dropped, "near-duplicates")
+    return docs.join(dropped, F.col(doc_id).cast("long") == F.col("_dropped_id"), "left_anti")

@@ -243,3 +243,29 @@ def score_documents(
 
     scored = vectors.mapInArrow(run, "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= keep_score).cast("int"))
+
+
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+    keep_score: float = KEEP_SCORE,
+) -> DataFrame:
+    """The rows of ``docs`` that score ``keep_score`` or more, all columns as they were.
+
+    The vectors are computed again where the rows are, so no text is shuffled.
+    """
+    vectors = materialize(document_statistics(docs, doc_id, text), "document-statistics")
+    model = fit(vectors, labels, doc_id, label)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, kinds = Hasher(), _kinds()
+        for batch in batches:
+            for piece in pieces(batch.column(at).cast(pa.string())):
+                good = model.score(statistics(piece, hasher, kinds)) >= keep_score
+                yield batch.slice(piece.begin, len(good)).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
