@@ -41,6 +41,7 @@ _SALTS = 64
 COLUMN_PAIRS = 64  # columns with more entries go to the blocks without pairs
 SALTED_ENTRIES = 100_000  # columns that may have more are dealt out over several tasks
 BLOCK_ROWS = 512
+NODE_BUCKETS = 1 << 20
 _SLICE = 4096
 
 
@@ -290,64 +291,83 @@ def _links(least: int):
     return run
 
 
-def _family_sets(
-    docs: DataFrame, family: DataFrame, doc_id: str, text: str, width: int, least: int
-) -> DataFrame:
-    """``node, family, band, hashes``; two documents that link are in the same or adjacent bands."""
+def _placed(family: DataFrame, rows: DataFrame, least: int, block_rows: int) -> DataFrame:
+    """``node, n, family, band, block, blocks, large``, without texts. Two documents that link are
+    in the same or adjacent bands of size; ``blocks`` is how many the band has."""
+    # A hair under the exact border, so rounding never skips a band.
+    ratio = float(np.log(100 / least)) if least < 100 else 1.0
+    band = F.floor(F.log(F.col("n").cast("double")) * F.lit((1 - 1e-9) / ratio)).alias("band")
+    of = rows.where("n > 0").select(F.col("doc_id").alias("node"), "n")
+    nodes = family.join(of, "node").select("node", "n", "family", band).distinct()
+    nodes = materialize(nodes, "family-nodes")
+    sizes = nodes.groupBy("family", "band").agg(F.count("*").alias("m"))
+    total = sizes.groupBy("family").agg(F.sum("m").alias("all"))
+    sizes = sizes.join(total, "family").select(
+        "family",
+        "band",
+        (F.col("all") > block_rows).alias("large"),
+        F.ceil(F.col("m") / F.lit(block_rows)).alias("blocks"),
+    )
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")
+    return nodes.join(sizes, ["family", "band"]).select(
+        "node", "n", "family", "band", block, "blocks", "large"
+    )
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """``node, family, band, block, hashes`` of the given nodes.
+
+    Texts are first thinned out by a table of at most ``NODE_BUCKETS`` numbers, which is small
+    enough to broadcast whatever the corpus; the exact join then shuffles what is left.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, ratio = Hasher(), np.log(100 / least) if least < 100 else 1.0
+        hasher = Hasher()
+        names = ["node", "family", "band", "block", "hashes"]
         for batch in batches:
-            for piece in pieces(batch.column(2)):
+            sizes = batch.column(1).to_pylist()
+            for piece in pieces(batch.column(5)):
                 sets = list(hasher.shingle_sets(piece, width))
-                ids = [c.slice(piece.begin, len(sets)) for c in batch.columns[:2]]
-                # A hair under the exact border, so rounding never skips a band.
-                bands = [int(np.log(max(len(s), 1)) / ratio * (1 - 1e-9)) for s in sets]
-                hashes = pa.array([s.tobytes() for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [*ids, pa.array(bands, pa.int64()), hashes], ["node", "family", "band", "hashes"]
-                )
-
-    of = family.select(F.col("node").alias("doc_id"), "family")
-    rows = _rows(docs, doc_id, text).join(of, "doc_id").select("doc_id", "family", "text")
-    return rows.mapInArrow(run, "node long, family long, band long, hashes binary")
+                # Rows that repeat an id meet each other's places.
+                own = pa.array([len(s) == n for s, n in zip(sets, sizes[piece.begin : piece.end])])
+                columns = [batch.column(c).slice(piece.begin, len(sets)) for c in (0, 2, 3, 4)]
+                columns.append(pa.array([s.tobytes() for s in sets], pa.binary()))
+                yield pa.RecordBatch.from_arrays([c.filter(own) for c in columns], names)
+
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(NODE_BUCKETS))
+    places = nodes.withColumnRenamed("node", "doc_id").select("doc_id", "n", "family", "band", "block")
+    buckets = places.select(bucket.alias("bucket")).distinct()
+    thin = _rows(docs, doc_id, text).withColumn("bucket", bucket)
+    thin = thin.join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket")
+    rows = thin.hint("merge").join(places, "doc_id").select(*places.columns, "text")
+    return rows.mapInArrow(
+        run, "node long, family long, band long, block long, hashes binary"
+    )
 
 
-def _block_links(sets: DataFrame, least: int, block_rows: int) -> DataFrame:
+def _block_links(
+    docs: DataFrame, placed: DataFrame, doc_id: str, text: str, width: int, least: int, block_rows: int
+) -> DataFrame:
     """``a, b``: enough links to connect all that are linked."""
     schema = "a long, b long"
-    sizes = sets.groupBy("family", "band").agg(F.count("*").alias("m"))
-    total = sizes.groupBy("family").agg(F.sum("m").alias("all"))
-    sizes = sizes.join(total, "family").select(
-        "family", "band", "all", F.ceil(F.col("m") / F.lit(block_rows)).alias("blocks")
-    )
-    sizes = materialize(sizes, "family-sizes")
-    placed = sets.join(sizes, ["family", "band"])
-    small = placed.where(F.col("all") <= block_rows)
-    done = materialize(
-        small.groupBy("family").applyInArrow(_links(least), schema), "links"
-    )
-    large = sizes.where(F.col("all") > block_rows)
+    small = _sets(docs, placed.where("NOT large"), doc_id, text, width)
+    done = materialize(small.groupBy("family").applyInArrow(_links(least), schema), "links")
+    large = placed.where("large")
     if large.isEmpty():
         return done
-    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    own = materialize(
-        placed.where(F.col("all") > block_rows).select(
-            "family", "band", block.alias("block"), "node", "hashes"
-        ),
-        "large-families",
-    )
-    blocks = large.select("family", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    own = materialize(_sets(docs, large, doc_id, text, width), "large-families")
+    blocks = large.groupBy("family", "band").agg(F.max("blocks").alias("blocks"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    blocks = blocks.select("family", "band", each)
     near = F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band")
     anchors = own.where("block = 0").select("family", near, "node", "hashes")
-    anchored = anchors.join(blocks, ["family", "band"]).select(own.columns)
     keys = ["family", "band", "block"]
-    within = materialize(
-        own.unionByName(anchored).groupBy(*keys).applyInArrow(_links(least), schema), "links"
-    )
+    columns = [*keys, "node", "hashes"]
+    anchored = anchors.join(blocks, ["family", "band"]).select(columns)
+    within = own.select(columns).unionByName(anchored)
+    within = materialize(within.groupBy(*keys).applyInArrow(_links(least), schema), "links")
     # What is not in its family's largest component meets all blocks it can link with.
-    label = components(within)
-    labelled = own.select(*keys, "node").join(label, "node", "left")
+    labelled = own.select("family", "node").distinct().join(components(within), "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
     share = labelled.groupBy("family", "component").agg(F.count("*").alias("m"))
     largest = share.groupBy("family").agg(F.max(F.struct("m", "component")).alias("top"))
@@ -355,16 +375,12 @@ def _block_links(sets: DataFrame, least: int, block_rows: int) -> DataFrame:
     rest = materialize(rest.select("family", "node"), "outside-largest")
     parts = rest.groupBy("family").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("parts"))
     around = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
-    outside = (
-        own.join(rest, ["family", "node"], "left_semi")
-        .join(parts, "family")
-        .select("family", around, F.pmod(F.xxhash64("node", F.lit(1)), "parts").alias("part"), "node", "hashes")
-        .join(blocks, ["family", "band"])
-    )
-    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    inside = own.join(parts, "family").select(*keys, each, "node", "hashes")
-    keys = [*keys, "part"]
-    columns = [*keys, "node", "hashes"]
+    part = F.pmod(F.xxhash64("node", F.lit(1)), "parts").alias("part")
+    outside = own.join(rest, ["family", "node"], "left_semi").join(parts, "family")
+    outside = outside.select("family", around, part, "node", "hashes").join(blocks, ["family", "band"])
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    inside = own.join(parts, "family").select(*keys, every, "node", "hashes")
+    keys, columns = [*keys, "part"], [*keys, "part", "node", "hashes"]
     across = outside.select(columns).unionByName(inside.select(columns))
     across = materialize(across.groupBy(*keys).applyInArrow(_links(least), schema), "links")
     return done.unionByName(within).unionByName(across)
@@ -390,8 +406,8 @@ def similarity_classes(
         _candidates(_entries(docs, doc_id, text, width, least, sketch), least), "candidates"
     )
     family = materialize(families(found), "families")
-    sets = materialize(_family_sets(docs, family, doc_id, text, width, least), "family-sets")
-    links = _block_links(sets, least, block_rows)
+    placed = materialize(_placed(family, rows, least, block_rows), "family-places")
+    links = _block_links(docs, placed, doc_id, text, width, least, block_rows)
     for side in ("a", "b"):
         of = of_class.select(F.col("doc_id").alias(side), F.col("class").alias(f"{side}_class"))
         links = links.join(of, side)
