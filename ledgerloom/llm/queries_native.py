@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm.exact_dedup import mark_duplicates
 from ledgerloom.llm.registry import query, table
@@ -71,13 +71,13 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_secrets(table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
-    number = {
-        f"n_{name}": F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long")
-        for i, name in enumerate(names())
-    }
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
     return found.select(
         "doc_id",
-        *[n.alias(c) for c, n in number.items()],
+        *[number(i).alias(f"n_{name}") for i, name in enumerate(names())],
         F.sha2(span_text(base), 256).alias("base_sha256"),
         span_text(F.col("spans")).alias("spans"),
     )
