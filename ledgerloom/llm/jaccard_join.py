@@ -40,7 +40,7 @@ _CHUNKS = 64
 _SALTS = 64
 COLUMN_PAIRS = 64  # columns with more entries go to the blocks without pairs
 SALTED_ENTRIES = 100_000  # columns that may have more are dealt out over several tasks
-BLOCK_ROWS = 512
+BLOCK_ROWS = 1024
 NODE_BUCKETS = 1 << 20
 _SLICE = 4096
 
@@ -356,9 +356,11 @@ def _block_links(
     if large.isEmpty():
         return done
     own = materialize(_sets(docs, large, doc_id, text, width), "large-families")
-    blocks = large.groupBy("family", "band").agg(F.max("blocks").alias("blocks"))
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
-    blocks = blocks.select("family", "band", each)
+    shape = materialize(
+        large.groupBy("family", "band").agg(F.max("blocks").alias("blocks")), "family-shapes"
+    )
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    blocks = shape.select("family", "band", numbers(F.col("blocks")).alias("block"))
     near = F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band")
     anchors = own.where("block = 0").select("family", near, "node", "hashes")
     keys = ["family", "band", "block"]
@@ -366,24 +368,32 @@ def _block_links(
     anchored = anchors.join(blocks, ["family", "band"]).select(columns)
     within = own.select(columns).unionByName(anchored)
     within = materialize(within.groupBy(*keys).applyInArrow(_links(least), schema), "links")
-    # What is not in its family's largest component meets all blocks it can link with.
-    labelled = own.select("family", "node").distinct().join(components(within), "node", "left")
+    # What is not in its family's largest component meets all blocks it can link with, but for
+    # those it has met: a band of one block is its own anchor.
+    nodes = large.select("node", "family", "band", "block", "blocks")
+    labelled = nodes.join(components(within), "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
     share = labelled.groupBy("family", "component").agg(F.count("*").alias("m"))
     largest = share.groupBy("family").agg(F.max(F.struct("m", "component")).alias("top"))
     rest = labelled.join(largest, "family").where(F.col("component") != F.col("top.component"))
-    rest = materialize(rest.select("family", "node"), "outside-largest")
-    parts = rest.groupBy("family").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("parts"))
-    around = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
-    part = F.pmod(F.xxhash64("node", F.lit(1)), "parts").alias("part")
-    outside = own.join(rest, ["family", "node"], "left_semi").join(parts, "family")
-    outside = outside.select("family", around, part, "node", "hashes").join(blocks, ["family", "band"])
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
-    inside = own.join(parts, "family").select(*keys, every, "node", "hashes")
-    keys, columns = [*keys, "part"], [*keys, "part", "node", "hashes"]
-    across = outside.select(columns).unionByName(inside.select(columns))
-    across = materialize(across.groupBy(*keys).applyInArrow(_links(least), schema), "links")
-    return done.unionByName(within).unionByName(across)
+    goal = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("goal")
+    goals = shape.select("family", F.col("band").alias("goal"), F.col("blocks").alias("goal_blocks"))
+    open_pair = F.when(F.col("goal") < F.col("band"), F.col("goal_blocks") > 1)
+    rest = rest.select("node", "family", "band", "blocks", goal).join(goals, ["family", "goal"])
+    rest = materialize(rest.where(open_pair.otherwise(F.col("blocks") > 1)), "outside-largest")
+    if rest.isEmpty():
+        return done.unionByName(within)
+    parts = rest.groupBy("family", "goal").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).alias("part")
+    meets = ["family", "goal", "block", "part"]
+    outside = rest.join(parts, ["family", "goal"]).select(
+        "node", "family", "goal", numbers(F.col("goal_blocks")).alias("block"), part
+    )
+    inside = nodes.withColumnRenamed("band", "goal").join(parts, ["family", "goal"])
+    inside = inside.select("node", "family", "goal", "block", numbers(F.col("parts")).alias("part"))
+    meeting = outside.unionByName(inside).join(own.select("node", "hashes"), "node")
+    across = meeting.groupBy(*meets).applyInArrow(_links(least), schema)
+    return done.unionByName(within).unionByName(materialize(across, "links"))
 
 
 def similarity_classes(
@@ -399,7 +409,8 @@ def similarity_classes(
     rows, sketch = signatures(docs, doc_id, text, width)
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = known.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("class"))
-    # The explicit exchange lets Spark split a hot class in the join below it.
+    # A written table on one side and an exchange above let Spark split a hot class in the join.
+    classes = materialize(classes, "set-classes")
     of_class = known.join(classes, ["n", "hi", "lo"]).select("doc_id", "class")
     of_class = materialize(of_class.repartition("doc_id", "class").distinct(), "classes")
     found = materialize(

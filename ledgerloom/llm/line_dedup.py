@@ -134,8 +134,9 @@ def document_pairs(lines: DataFrame) -> DataFrame:
     )
     held = lines.select(F.struct("doc_id", "k").alias("doc"), F.explode(F.array_distinct(telling)).alias("h"))
     first = held.groupBy("h").agg(F.min("doc").alias("source"), F.count("*").alias("m"))
-    later = held.join(first.where("m > 1"), "h").where(F.col("doc") > F.col("source"))
-    # The explicit exchange lets Spark split a hot line in the join below it.
+    first = materialize(first.where("m > 1").drop("m"), "first-holders")
+    later = held.join(first, "h").where(F.col("doc") > F.col("source"))
+    # A written table on one side and an exchange above let Spark split a hot line in the join.
     return later.select("source", "doc").repartition("source", "doc").distinct()
 
 
