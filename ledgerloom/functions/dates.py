@@ -151,14 +151,15 @@ def iso_date(stamp: Column) -> Column:
     return F.date_format(stamp, "yyyy-MM-dd")
 
 
-def today() -> Column:
-    """Midnight at the start of the current day."""
-    return F.current_date().cast("timestamp")
+def today(now: Column | None = None) -> Column:
+    """Midnight at the start of the day of ``now``, by default the current day."""
+    day = F.current_date() if now is None else F.to_date(now)
+    return day.cast("timestamp")
 
 
-def iso_now() -> Column:
-    """The current instant as an ISO string with microseconds."""
-    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+def iso_now(now: Column | None = None) -> Column:
+    """``now``, by default the current instant, as an ISO string with microseconds."""
+    return F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
 def whole_days(first: Column, last: Column) -> Column:

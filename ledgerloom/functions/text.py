@@ -259,8 +259,20 @@ def thousands(n: Column) -> Column:
 
 
 def one_decimal(x: Column) -> Column:
-    """One decimal place; an exact half goes to the even digit."""
-    return F.format_string("%.1f", F.bround(x, 1))
+    """One decimal place of the double itself, not of its printed form: 0.15 is a little less than
+    0.15, so it gives 0.1. An exact half goes to the even digit."""
+    x = x.cast("double")
+    size = F.abs(x)
+    whole = F.floor(size)
+    # Doubles from 1/32 on are multiples of 2^-57, so the scaled fraction is an exact integer.
+    ten = ((size - whole) * F.lit(2.0**57)).cast("long") * 10
+    digit, rest = F.shiftright(ten, 57), ten.bitwiseAND(F.lit(2**57 - 1))
+    half = F.lit(2**56)
+    up = (rest > half) | ((rest == half) & (digit % 2 == 1))
+    tenths = whole.cast("long") * 10 + digit + up.cast("long")
+    sign = F.when(x < 0, "-").otherwise("")
+    exact = F.concat(sign, (F.floor(tenths / 10)).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+    return F.when(size < 1e15, exact).otherwise(F.format_string("%.1f", x))
 
 
 def percent(share: Column) -> Column:

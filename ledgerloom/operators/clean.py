@@ -31,11 +31,11 @@ def in_date_range(
 
 
 def in_length_range(
-    df: DataFrame, column: str = "CompanyName", max_len: int = 80, null_name: str | None = None
+    df: DataFrame, column: str = "CompanyName", max_len: int = 80, null_name: str | None = "nan"
 ) -> DataFrame:
     """Keep rows whose text has 1 to ``max_len`` characters.
 
-    A missing text is dropped, or replaced by ``null_name`` if that is given.
+    A missing text becomes ``null_name`` and stays; with ``None`` it is dropped.
     """
     if column not in df.columns:
         return df
@@ -51,7 +51,7 @@ def clean_companies(
     min_date: str = "1900-01-01",
     as_of: Column | str | None = None,
     date_format: str = "d/M/yyyy",
-    null_name: str | None = None,
+    null_name: str | None = "nan",
 ) -> DataFrame:
     """Date range, then name length, then the constant ``source``."""
     dated = in_date_range(df, "IncorporationDate", min_date, as_of, date_format)

@@ -3,7 +3,7 @@
 Similarity is the Jaccard ratio of lower-cased word sets. The steps, each a join or an aggregate:
 
 1.  Records with equal word sets are one set with the smallest order; copies can never stay.
-2.  Words are ordered rare to common. Two sets above the threshold share a word among the first
+2.  Words are ordered rare to common, by counts in a hash table of fixed size. Two sets above the threshold share a word among the first
     ``size - floor(threshold * size)`` of either (prefix filtering: Chaudhuri et al. 2006,
     Bayardo et al. 2007, Vernica et al. 2010), so candidates come from an equi-join on those.
 3.  A word shared by a large part of the data would make that join quadratic. Only comparisons
@@ -13,22 +13,23 @@ Similarity is the Jaccard ratio of lower-cased word sets. The steps, each a join
     A large group of near-copies therefore costs a few comparisons per record, not one per pair.
     ``k`` grows until the rest fits one unrestricted round. No pair is ever skipped for good.
 4.  Verified pairs are a small graph in record order; it is resolved by rounds of "no open earlier
-    neighbour: keep; a kept earlier neighbour: drop", or in one task once few edges are left.
+    neighbour: keep; a kept earlier neighbour: drop".
 
 Every round ends in a table in the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.text import non_blank, word_set
 from ledgerloom.session import materialize
 
 _EPS = 1e-9
+ORDER_CELLS = 1 << 14
 
 
 def prefix_size(size: Column, threshold: float) -> Column:
@@ -48,18 +49,23 @@ def word_sets(df: DataFrame, text: str, order: str) -> DataFrame:
         .select(F.monotonically_increasing_id().alias("rid"), "ord", "words")
     )
     sets = materialize(sets, "sets")
-    tokens = sets.select("rid", "ord", F.explode("words").alias("word"))
-    spread = tokens.groupBy("word").agg(F.count("*").alias("df"))
-    ranked = (
-        tokens.join(spread, "word")
-        .groupBy("rid", "ord")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "word"))).alias("ranked"))
+    # Any fixed order of words is lossless, so counts by hash cell do: a table of fixed size, and
+    # no word is shuffled to be counted or put back in its set.
+    cell = lambda word: F.pmod(F.xxhash64(word), F.lit(ORDER_CELLS))
+    counts = sets.select(F.explode("words").alias("word")).groupBy(cell("word").alias("cell"))
+    numbers = [0] * ORDER_CELLS
+    for row in counts.agg(F.count("*").alias("n")).collect():
+        numbers[row.cell] = row.n
+    # A constant, folded into an array when the plan is made.
+    table = F.from_json(F.lit(json.dumps(numbers)), "array<bigint>")
+    ranked = F.sort_array(
+        F.transform(
+            "words",
+            lambda w: F.struct(F.element_at(table, cell(w).cast("int") + 1).alias("n"), w.alias("word")),
+        )
     )
-    ordered = ranked.select(
-        "rid",
-        "ord",
-        F.col("ranked.word").alias("words"),
-        F.size("ranked").alias("size"),
+    ordered = sets.select(
+        "rid", "ord", F.transform(ranked, lambda r: r["word"]).alias("words"), F.size("words").alias("size")
     )
     return materialize(ordered, "ordered-sets")
 
@@ -149,43 +155,7 @@ def similar_pairs(
     )
 
 
-def _decide_in_one_task(edges: DataFrame) -> DataFrame:
-    """``rid, state`` ('dropped' or 'open') for edges few enough to be held by one task."""
-
-    def walk(batches):
-        state: dict[int, str] = {}
-        done: set[int] = set()
-        current, current_waits, seen = None, False, []
-
-        def close():
-            if current is None:
-                return
-            if "kept" in seen:
-                state[current] = "dropped"
-            elif current_waits or "open" in seen:
-                state[current] = "open"
-            done.add(current)
-
-        for batch in batches:
-            columns = (batch[c] for c in ("a", "b", "a_waits", "b_waits"))
-            for a, b, a_waits, b_waits in zip(*columns):
-                if b != current:
-                    close()
-                    current, current_waits, seen = b, b_waits, []
-                if a in state:
-                    seen.append(state[a])
-                else:
-                    seen.append("open" if a_waits and a not in done else "kept")
-        close()
-        yield pd.DataFrame({"rid": list(state), "state": list(state.values())})
-
-    ordered = edges.repartition(1).sortWithinPartitions("b_ord", "b", "a_ord")
-    return ordered.select("a", "b", "a_waits", "b_waits").mapInPandas(
-        walk, "rid long, state string"
-    )
-
-
-def resolve(edges: DataFrame, local_edges: int) -> tuple[list[DataFrame], DataFrame]:
+def resolve(edges: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Tables of dropped ``rid`` and the ``rid`` still open after no edge can be decided.
 
     ``edges`` has ``a, b, a_ord, b_ord, a_waits, b_waits``; a waiting record may be dropped here
@@ -193,10 +163,6 @@ def resolve(edges: DataFrame, local_edges: int) -> tuple[list[DataFrame], DataFr
     """
     dropped: list[DataFrame] = []
     while True:
-        if edges.count() <= local_edges:
-            states = materialize(_decide_in_one_task(edges), "states")
-            dropped.append(states.where("state = 'dropped'").select("rid"))
-            return dropped, states.where("state = 'open'").select("rid")
         blocked = edges.select(F.col("b").alias("a")).distinct()
         heads = edges.where(~F.col("a_waits")).select("a").distinct().join(blocked, "a", "left_anti")
         drop = materialize(edges.join(heads, "a", "left_semi").select("b").distinct(), "dropped")
@@ -218,7 +184,6 @@ def kept_orders(
     first_leaders: int = 4,
     small_group: int = 32,
     max_group: int = 20_000,
-    local_edges: int = 100_000,
 ) -> DataFrame:
     """``ord`` of the records with a non-empty word set that stay."""
     open_sets = word_sets(df, text, order)
@@ -239,7 +204,7 @@ def kept_orders(
             for side in ("a", "b"):
                 flag = waiting.select(F.col("rid").alias(side), F.lit(True).alias(f"{side}_waits"))
                 edges = edges.join(flag, side, "left").fillna(False, [f"{side}_waits"])
-        dropped, still_open = resolve(materialize(edges, "edges"), local_edges)
+        dropped, still_open = resolve(materialize(edges, "edges"))
         rest = reduce(lambda s, d: s.join(d, "rid", "left_anti"), dropped, open_sets)
         undecided = still_open if waiting is None else still_open.union(waiting).distinct()
         kept.append(materialize(rest.join(undecided, "rid", "left_anti").select("ord"), "kept"))

@@ -178,10 +178,14 @@ def first_non_empty(arrays: Sequence[Column]) -> Column:
 
 
 def page_links(
-    pages: DataFrame, source: PageSource, limit: int = 50, html: str = "html", compat: bool = False
+    pages: DataFrame,
+    source: PageSource,
+    limit: int | None = None,
+    html: str = "html",
+    compat: bool = False,
 ) -> DataFrame:
     """One row per surviving link: the page's other columns, ``pos``, ``link``, ``title``,
-    ``published``.
+    ``published``. ``limit`` looks only at a page's first matches; without it at all.
 
     ``compat`` reads a pattern's third group as the date even where it is the anchor text.
     """
@@ -200,7 +204,9 @@ def page_links(
     ]
     if source.any_link:
         cascade.append(
-            links_by_pattern(page, source.any_link, "", limit, T.announcement_like, 2 * limit)
+            links_by_pattern(
+                page, source.any_link, "", limit, T.announcement_like, 2 * limit if limit else None
+            )
         )
     others = [c for c in pages.columns if c != html]
     hits = pages.select(*others, F.posexplode(first_non_empty(cascade)).alias("pos", "hit"))
@@ -210,7 +216,7 @@ def page_links(
 def announcements_from_pages(
     pages: DataFrame,
     source: PageSource,
-    limit: int = 50,
+    limit: int | None = None,
     html: str = "html",
     scraped_at: Column | None = None,
     compat: bool = False,

@@ -3,7 +3,7 @@
 The rows of one input split (or one Parquet file) are numbered inside their task. A table with one
 row per split then gets a running total, and the index is offset plus place in the split. That
 small table is the size of the split list the Spark driver already holds; it is broadcast only
-below ``BROADCAST_ROWS`` rows and joined otherwise.
+or joined as Spark sees fit.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.session import materialize, scratch_path
 
-BROADCAST_ROWS = 200_000
-
 
 def number_rows(rows: DataFrame, keys: list[str], order: list, per: list[str], name: str):
     """``rows`` has ``keys`` and ``_m``, increasing within each key's rows without gaps."""
@@ -26,8 +24,6 @@ def number_rows(rows: DataFrame, keys: list[str], order: list, per: list[str], n
         *keys, (F.coalesce(running, F.lit(0)) - F.col("_m0")).alias("_offset")
     )
     offsets = materialize(offsets, "offsets")
-    if offsets.count() <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
     joined = rows.join(offsets, keys)
     return joined.withColumn(name, F.col("_m") + F.col("_offset")).drop("_m", "_offset")
 
@@ -69,20 +65,29 @@ def staged_index(spark: SparkSession, path: str, schema, name: str = "idx") -> D
         F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.row_index").alias("_m"),
     )
-    # Task numbers have five digits or more, so names alone would sort 100000 before 99999.
-    task = F.regexp_extract(F.first("_file"), r"part-(\d+)", 1).cast("long")
-    return number_rows(rows, ["_file"], [task, F.first("_file")], [], name).drop("_file")
+    order = [F.first(_task()), F.first("_file")]
+    return number_rows(rows, ["_file"], order, [], name).drop("_file")
+
+
+def _task():
+    """The task that wrote ``_file``; names alone would sort 100000 before 99999."""
+    return F.regexp_extract("_file", r"part-(\d+)", 1).cast("long")
 
 
 def source_order_index(df: DataFrame, source: str, name: str = "idx") -> DataFrame:
     """Number rows in ``source`` name order, keeping the order in which each source was read.
 
-    For narrow pipelines over unsplittable inputs: every source's rows lie together in one staged
-    file, so nothing is sorted or shuffled.
+    For narrow pipelines over unsplittable inputs: a source's rows lie together in one or more
+    staged files in the order of their names, so nothing is sorted or shuffled.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "staged")
     df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
-    rows = staged.select("*", F.col("_metadata.row_index").alias("_m"))
-    return number_rows(rows, [source], [F.first(source)], [], name)
+    rows = staged.select(
+        "*",
+        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.row_index").alias("_m"),
+    )
+    order = [F.first(source), F.first(_task()), F.first("_file")]
+    return number_rows(rows, [source, "_file"], order, [], name).drop("_file")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions import text as T
@@ -64,6 +67,19 @@ def rejected_triples(pairs: DataFrame, valid: DataFrame) -> DataFrame:
     )
 
 
+def load_splits(
+    spark: SparkSession, folder: str, splits: Sequence[str] = ("train", "dev", "test")
+) -> DataFrame:
+    """The examples of several splits, with a column ``split``."""
+    parts = [load_relations(spark, s, folder).withColumn("split", F.lit(s)) for s in splits]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def examples_per_split(examples: DataFrame) -> DataFrame:
+    """``split, n``."""
+    return examples.groupBy("split").agg(F.count("*").alias("n"))
+
+
 def load_relations(spark: SparkSession, split: str, folder: str) -> DataFrame:
     """The examples of ``<split>.sent`` / ``<split>.tup`` with ``relations.txt`` in ``folder``."""
     base = folder.rstrip("/")

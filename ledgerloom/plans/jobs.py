@@ -32,7 +32,7 @@ def collect_announcements(
     out_dir: str,
     feed: DataFrame | None = None,
     sources: Sequence[str] = ("all",),
-    limit: int = 50,
+    limit: int | None = None,
     threshold: float = 0.7,
     scraped_at: Column | None = None,
 ) -> Collection:

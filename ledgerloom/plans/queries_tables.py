@@ -237,6 +237,22 @@ def _(t):
     )
 
 
+@query(
+    "f21_rounded_doubles",
+    """SELECT o_orderkey, format('{:.1f}', CAST(o_orderkey AS DOUBLE) / 20) AS twentieth,
+          format('{:.1f}', -CAST(o_orderkey AS DOUBLE) / 40) AS fortieth,
+          format('{:.1f}', o_totalprice) AS price FROM orders""",
+)
+def _(t):
+    key = F.col("o_orderkey").cast("double")
+    return t.orders.select(
+        "o_orderkey",
+        T.one_decimal(key / 20).alias("twentieth"),
+        T.one_decimal(-key / 40).alias("fortieth"),
+        T.one_decimal(F.col("o_totalprice")).alias("price"),
+    )
+
+
 @query(
     "f21_formatted_counts",
     """SELECT o_orderpriority, format('{:,}', count(*)) AS n_text,
@@ -358,19 +374,20 @@ def _(t):
 
 
 def conversation_configs(t: Tables) -> dict[str, dict[str, DataFrame]]:
-    """Three configs with splits train and val, by conversation number and role."""
-    split = lambda rest, role: t.conversations.where(
-        (F.col("conv_id") % 3 == rest) & (F.col("role") == role)
-    )
+    """Three configs with splits train, val and test, by conversation number and role."""
+    split_of = F.when(F.col("role") == "user", "train").when(F.col("role") == "assistant", "val")
+    turns = t.conversations.withColumn("_split", split_of.otherwise("test"))
+    split = lambda rest, name: turns.where(
+        (F.col("conv_id") % 3 == rest) & (F.col("_split") == name)
+    ).drop("_split")
     return {
-        config: {"train": split(i, "user"), "val": split(i, "assistant")}
+        config: {name: split(i, name) for name in ("train", "val", "test")}
         for i, config in enumerate(jobs.POLICY_CONFIGS)
     }
 
 
 SPLITS_SQL = """SELECT *, ['5768', '78516', '944601'][conv_id % 3 + 1] AS config,
-    CASE role WHEN 'user' THEN 'train' ELSE 'val' END AS split FROM conversations
-    WHERE role IN ('user', 'assistant')"""
+    CASE role WHEN 'user' THEN 'train' WHEN 'assistant' THEN 'val' ELSE 'test' END AS split FROM conversations"""
 
 
 @query("u3_union_splits", f"SELECT conv_id, turn, config, split FROM ({SPLITS_SQL})")
@@ -515,12 +532,15 @@ def relation_lines(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", sent.alias("sent"), tup.alias("tup"))
 
 
-def landed_relations(t: Tables) -> str:
-    """A folder with train.sent, train.tup and relations.txt."""
+def landed_relations(t: Tables, splits: tuple[str, ...] = ("train",)) -> str:
+    """A folder with ``<split>.sent``, ``<split>.tup`` and relations.txt; parts go to the splits
+    in turn."""
     folder = scratch_path(t.spark, "relations")
-    lines = relation_lines(t).repartitionByRange("p_partkey").sortWithinPartitions("p_partkey")
-    lines.select("sent").write.text(f"{folder}/train.sent")
-    lines.select("tup").write.text(f"{folder}/train.tup")
+    for i, split in enumerate(splits):
+        lines = relation_lines(t).where(F.col("p_partkey") % len(splits) == i)
+        lines = lines.repartitionByRange("p_partkey").sortWithinPartitions("p_partkey")
+        lines.select("sent").write.text(f"{folder}/{split}.sent")
+        lines.select("tup").write.text(f"{folder}/{split}.tup")
     names = t.region.select(F.lower(F.concat("r_name", F.lit("  "))).alias("value"))
     names.union(t.region.select(F.lit(" "))).write.text(f"{folder}/relations.txt")
     return folder
@@ -555,6 +575,18 @@ def _(t):
     return profile.frequencies(examples, F.col("relation"), "relation")
 
 
+@query(
+    "a23_examples_per_split",
+    f"""SELECT ['train', 'dev', 'test'][sent_id % 3 + 1] AS split, count(*) AS n FROM ({TRIPLES_SQL})
+        WHERE len(parts) = 3 AND parts[3] IN (SELECT lower(r_name) FROM region) GROUP BY 1""",
+)
+def _(t):
+    splits = ("train", "dev", "test")
+    return relations.examples_per_split(
+        relations.load_splits(t.spark, landed_relations(t, splits), splits)
+    )
+
+
 @query(
     "p8_rejected_triples",
     f"""SELECT sent_id, triple, CASE WHEN len(parts) <> 3 THEN 'malformed' ELSE 'unknown relation' END AS reason
@@ -801,6 +833,33 @@ def _(t):
     return records.read_feed(t.spark, landed_feed(t), limit=None)
 
 
+def landed_odd_feed(t: Tables) -> str:
+    """A feed in which every seventh entry has a bare ampersand."""
+    mark = F.when(F.col("n_nationkey") % 7 == 0, " & ").otherwise(" &amp; ")
+    item = F.concat(F.lit("<item><title>"), "n_name", mark, F.lit("x</title><link>l"), "n_nationkey", F.lit("</link></item>"))
+    folder = scratch_path(t.spark, "odd-feed")
+    files = landing.line_files(t.nation, "n_nationkey", item, 10, "odd_%03d.xml", "<rss><channel>\n", "</channel></rss>\n")
+    landing.land(files, folder)
+    return folder
+
+
+ODD_FEED_SQL = """SELECT 'odd_' || lpad(CAST(n_nationkey // 10 AS VARCHAR), 3, '0') || '.xml' AS file, n_nationkey % 7 = 0 AS odd,
+    n_name || ' & x' AS title, 'l' || n_nationkey AS link FROM nation"""
+
+
+@query("s13_entries_beside_rejects", f"SELECT file, title, link FROM ({ODD_FEED_SQL}) WHERE NOT odd")
+def _(t):
+    return records.read_feed(t.spark, landed_odd_feed(t)).select("file", "title", "link")
+
+
+@query(
+    "s13_rejected_entries",
+    f"SELECT file, '<item><title>' || title || '</title><link>' || link || '</link></item>' AS value FROM ({ODD_FEED_SQL}) WHERE odd",
+)
+def _(t):
+    return records.rejected_entries(t.spark, landed_odd_feed(t))
+
+
 @query(
     "s13_feed_announcements",
     f"""SELECT file, pos, {S.clean('title')} AS title, {S.clean('summary')} AS summary, link, category, guid,
@@ -827,17 +886,33 @@ def _(t):
     return back.select("title", "ticker", "company_name", "rns_type", "source")
 
 
+ORDERS_HEAD, PART_HEAD = "o_orderkey,o_orderstatus,o_orderpriority", "p_partkey,p_type,p_brand"
+
+
 def landed_datasets(t: Tables) -> str:
+    """Files of known bytes, some hidden or nested."""
     base = scratch_path(t.spark, "raw")
-    writers.write_csv(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"), f"{base}/ch_orders")
-    writers.write_csv(t.part.select("p_partkey", "p_type", "p_brand"), f"{base}/boe_cls_part/deep")
-    line = F.to_json(F.struct("doc_id", "lang"))
-    files = landing.line_files(t.documents, "doc_id", line, 200, "d_%03d.jsonl")
-    landing.land(files, f"{base}/rns_documents")
-    t.nation.coalesce(1).write.parquet(f"{base}/px_nation")
+    comma = lambda head: F.concat_ws(",", *[F.col(c).cast("string") for c in head.split(",")])
+    for df, key, line, size, name, head in (
+        (t.orders, "o_orderkey", comma(ORDERS_HEAD), 5000, "ch_orders/o_%05d.csv", ORDERS_HEAD),
+        (t.part, "p_partkey", comma(PART_HEAD), 1000, "boe_cls_part/deep/p_%05d.csv", PART_HEAD),
+        (t.documents, "doc_id", F.to_json(F.struct("doc_id", "lang")), 200, "rns_documents/_d_%05d.jsonl", ""),
+        (t.nation, "n_nationkey", F.col("n_name"), 10, "px_nation/raw/x/.n_%05d.txt", ""),
+    ):
+        head = f"{head}\n" if head else ""
+        landing.land(landing.line_files(df, key, line, size, name, head), base)
     return base
 
 
+SIZES_SQL = f"""SELECT 'ch_orders' AS dataset, 'csv' AS format, CAST(NULL AS BIGINT) AS files,
+    CAST(sum(strlen(concat_ws(',', {ORDERS_HEAD})) + 1) + count(DISTINCT o_orderkey // 5000) * {len(ORDERS_HEAD) + 1} AS BIGINT) AS size_bytes FROM orders
+  UNION ALL SELECT 'boe_cls_part', 'csv', NULL,
+    sum(strlen(concat_ws(',', {PART_HEAD})) + 1) + count(DISTINCT p_partkey // 1000) * {len(PART_HEAD) + 1} FROM part
+  UNION ALL SELECT 'rns_documents', 'jsonl', NULL,
+    sum(strlen('{{"doc_id":' || doc_id || ',"lang":"' || lang || '"}}') + 1) FROM documents
+  UNION ALL SELECT 'px_nation', 'other', count(DISTINCT n_nationkey // 10) + 2, sum(strlen(n_name) + 1) FROM nation"""
+
+
 def use_of(name: str) -> str:
     return next(v for k, v in reversed(list(lookup.IDEAL_USES.items())) if k in name)
 
@@ -845,7 +920,8 @@ def use_of(name: str) -> str:
 @query(
     "q7_k6_overview",
     " UNION ALL ".join(
-        f"SELECT '{name}' AS dataset, {rows} AS rows, '{use_of(name)}' AS ideal_use{source}"
+        f"SELECT '{name}' AS dataset, {rows} AS rows, '{use_of(name)}' AS ideal_use, "
+        f"(SELECT format('{{:.1f}}', size_bytes / 1e6) FROM ({SIZES_SQL}) WHERE dataset = '{name}') AS size_mb{source}"
         for name, rows, source in (
             ("ch_orders", "format('{:,}', count(*))", " FROM orders"),
             ("boe_cls_part", "format('{:,}', count(*))", " FROM part"),
@@ -856,7 +932,7 @@ def use_of(name: str) -> str:
 )
 def _(t):
     cards = jobs.profile_datasets(t.spark, landed_datasets(t))
-    return writers.overview(cards).drop("size_mb")
+    return writers.overview(cards)
 
 
 @query(
@@ -883,20 +959,16 @@ def _(t):
     return columns.select("name", "column", F.explode("counts").alias("value", "n"))
 
 
-@query(
-    "s15_dataset_formats",
-    """SELECT * FROM (VALUES ('ch_orders', 'csv', NULL), ('boe_cls_part', 'csv', NULL),
-         ('rns_documents', 'jsonl', NULL), ('px_nation', 'other', CAST(1 AS BIGINT))) t(dataset, format, files)""",
-)
+@query("s15_dataset_formats", f"SELECT dataset, format, files FROM ({SIZES_SQL})")
 def _(t):
-    """Formats of folders written from the tables; the nation table is one Parquet file."""
+    """Formats of folders written from the tables, with files and folders of the nation's."""
     sizes = listing.dataset_sizes(listing.dataset_files(t.spark, landed_datasets(t)))
     return sizes.select("dataset", "format", "files")
 
 
-@query("s14_s15_a19_dataset_sizes")
+@query("s14_s15_a19_dataset_sizes", SIZES_SQL)
 def _(t):
-    """Sizes in bytes of landed folders: SQL cannot see them, a test compares with the disk."""
+    """Sizes in bytes of landed folders; a test compares with the disk as well."""
     return listing.dataset_sizes(listing.dataset_files(t.spark, landed_datasets(t)))
 
 
@@ -926,10 +998,13 @@ def _(t):
     )
 
 
-@query("f11_f12_run_stamps", "SELECT count(*) AS n, true AS midnight, true AS iso FROM orders")
+@query(
+    "f11_f12_run_stamps",
+    """SELECT event_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS midnight,
+          strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso FROM events""",
+)
 def _(t):
-    stamp = F.date_format(dates.today(), "HH:mm:ss") == "00:00:00"
-    iso = dates.iso_now().rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\z")
-    return t.orders.agg(
-        F.count("*").alias("n"), F.bool_and(stamp).alias("midnight"), F.bool_and(iso).alias("iso")
-    )
+    """The run's day and instant, taken from each event's time."""
+    now = F.col("ts")
+    midnight = F.date_format(dates.today(now), "yyyy-MM-dd HH:mm:ss")
+    return t.events.select("event_id", midnight.alias("midnight"), dates.iso_now(now).alias("iso"))

@@ -65,12 +65,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where a scan's few splits would leave at least half of them idle.
-
-    For CPU-bound work on small or badly split inputs; an input with enough splits is left as is.
-    Filters and column pruning still reach the scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df

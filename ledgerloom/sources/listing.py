@@ -30,48 +30,50 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 
 
 def dataset_files(spark: SparkSession, base: str) -> DataFrame:
-    """``dataset, relative, length`` for the files of each folder in ``base``.
+    """``dataset, relative, length, folder`` for all files and folders in each folder of ``base``.
 
-    Cards written by an earlier run are left out, so profiling twice gives the same sizes.
+    The file system itself is asked, as Spark's readers pass over names that begin with ``_`` or
+    ``.`` and over empty folders. Like any listing it is done by the driver; it holds paths and
+    sizes, nothing of the files. A folder of ``base`` without files has one row with an empty
+    ``relative``. Cards written by an earlier run are left out, so profiling twice gives the same
+    sizes.
     """
-    files = list_files(spark, base)
-    marker = base.rstrip("/").rsplit("/", 1)[-1] + "/"
-    below = F.substring_index("path", "/" + marker, -1)
-    pieces = files.select(below.alias("_below"), "length").where(F.contains("_below", F.lit("/")))
-    dataset = F.split_part("_below", F.lit("/"), F.lit(1))
-    relative = F.regexp_replace("_below", "^[^/]*/", "")
-    return pieces.select(dataset.alias("dataset"), relative.alias("relative"), "length").where(
-        ~F.col("relative").endswith(CARD_FILE)
-    )
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(base)
+    system = root.getFileSystem(context._jsc.hadoopConfiguration())
+    rows: list[tuple[str, str, int, bool]] = []
+    todo = [(entry, "", "") for entry in system.listStatus(root) if entry.isDirectory()]
+    while todo:
+        entry, dataset, relative = todo.pop()
+        name = entry.getPath().getName()
+        folder = entry.isDirectory()
+        if not dataset:
+            dataset, relative = name, ""
+        else:
+            relative = f"{relative}/{name}" if relative else name
+        # Checksum files belong to the local file system's driver, not to the data.
+        if folder:
+            todo += [(e, dataset, relative) for e in system.listStatus(entry.getPath())]
+        if relative != CARD_FILE:
+            rows.append((dataset, relative, 0 if folder else entry.getLen(), folder))
+    return spark.createDataFrame(rows, "dataset string, relative string, length long, folder boolean")
 
 
 def dataset_sizes(files: DataFrame) -> DataFrame:
     """Per dataset: bytes, and the format that decides how it is profiled.
 
-    CSV wins over JSONL; otherwise ``files`` counts files and the folders they lie in.
+    CSV wins over JSONL; otherwise ``files`` counts all files and folders below.
     """
-    folders = F.transform(
-        F.sequence(F.lit(1), F.size(F.split("relative", "/")) - 1),
-        lambda depth: F.call_function("substring_index", F.col("relative"), F.lit("/"), depth),
-    )
-    entry = F.when(F.contains("relative", F.lit("/")), folders).otherwise(
-        F.array().cast("array<string>")
-    )
-    nested = (
-        files.select("dataset", F.explode(entry).alias("folder"))
-        .groupBy("dataset")
-        .agg(F.countDistinct("folder").alias("folders"))
-    )
+    has = lambda end: F.max(F.col("relative").endswith(end) & ~F.col("folder"))
     sizes = files.groupBy("dataset").agg(
         F.sum("length").alias("size_bytes"),
-        F.count("*").alias("_files"),
-        F.max(F.col("relative").endswith(".csv")).alias("_csv"),
-        F.max(F.col("relative").endswith(".jsonl")).alias("_jsonl"),
+        F.count_if(F.col("relative") != "").alias("_entries"),
+        has(".csv").alias("_csv"),
+        has(".jsonl").alias("_jsonl"),
     )
     kind = F.when(F.col("_csv"), "csv").when(F.col("_jsonl"), "jsonl").otherwise("other")
-    total = F.col("_files") + F.coalesce(F.col("folders"), F.lit(0))
-    return sizes.join(nested, "dataset", "left").select(
-        "dataset",
+    total = F.col("_entries")
+    return sizes.select(        "dataset",
         "size_bytes",
         kind.alias("format"),
         F.when(kind == "other", total).alias("files"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ledgerloom.functions.entities import bind
 from ledgerloom.functions.text import non_blank, strip
 from ledgerloom.operators.extract import ANNOUNCEMENT_FIELDS
-from ledgerloom.operators.index import number_rows, numbered_lines
+from ledgerloom.operators.index import numbered_lines
 from ledgerloom.sources.listing import load_direct
 
 
@@ -69,6 +69,18 @@ def read_announcements(
     return good.select(*extra, *fields)
 
 
+def unread_files(spark: SparkSession, path: str, glob: str = JSONL_FILES) -> DataFrame:
+    """``file`` of every file that holds bytes but gave no line: skipped as unreadable."""
+    reader = spark.read.format("binaryFile")
+    files = load_direct(reader, path, glob)
+    if files is None:
+        return spark.createDataFrame([], "file string")
+    names = files.where("length > 0").select(F.substring_index("path", "/", -1).alias("file"))
+    text = load_direct(spark.read.format("text").option("ignoreCorruptFiles", "true"), path, glob)
+    read = text.select(F.col("_metadata.file_name").alias("file")).distinct()
+    return names.join(read, "file", "left_anti")
+
+
 def jsonl_line_report(spark: SparkSession, path: str, glob: str = JSONL_FILES) -> DataFrame:
     """Per file: records read and lines rejected."""
     lines = _json_lines(spark, path, glob).withColumn("_ok", F.size(_parsed(F.col("value"))) == 1)
@@ -103,25 +115,45 @@ FEED_SCHEMA = (
 )
 
 
-def read_feed(spark: SparkSession, path: str, limit: int | None = 20) -> DataFrame:
-    """RSS entries as ``file, pos, title, link, published, summary, category, guid``.
+def _feed_items(spark: SparkSession, path: str) -> DataFrame:
+    """``file, pos, value, item`` per entry; ``item._corrupt`` is set where it is not well-formed.
 
-    ``limit`` keeps the first entries of each feed file.
+    A feed is one fetched document, so it is one row. Each entry is parsed on its own: a broken one
+    takes nothing else with it.
     """
-    reader = spark.read.format("xml").option("rowTag", "item").option("mode", "DROPMALFORMED")
-    items = reader.schema(FEED_SCHEMA).load(path)
-    entries = items.select(
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_m"),
-        "title",
-        "link",
-        F.col("pubDate").alias("published"),
-        F.col("description").alias("summary"),
-        F.get("category", F.lit(0)).alias("category"),
-        F.col("guid._VALUE").alias("guid"),
+    feeds = spark.read.option("wholetext", True).text(path)
+    begun = F.filter(F.split("value", r"(?=<item[\s>])"), lambda p: p.rlike(r"^<item[\s>]"))
+    whole = lambda p: F.regexp_extract(p, r"(?s)^.*?</item\s*>", 0)
+    entries = F.transform(begun, lambda p: F.coalesce(F.nullif(whole(p), F.lit("")), p))
+    rows = feeds.select(
+        F.col("_metadata.file_name").alias("file"), F.posexplode(entries).alias("pos", "value")
     )
-    placed = number_rows(entries, ["file", "_block"], [F.first("_block")], ["file"], "pos")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "rowTag": "item"}
+    item = F.from_xml("value", f"{FEED_SCHEMA}, _corrupt string", options)
+    return rows.withColumn("item", item)
+
+
+def rejected_entries(spark: SparkSession, path: str) -> DataFrame:
+    """``file, value`` of the entries that are not well-formed."""
+    return _feed_items(spark, path).where("item._corrupt IS NOT NULL").select("file", "value")
+
+
+def read_feed(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """RSS entries as ``file, pos, title, link, published, summary, category, guid``.
+
+    ``limit`` keeps the first entries of each feed file. What cannot be parsed is in
+    :func:`rejected_entries`; it keeps its place in ``pos``.
+    """
+    placed = _feed_items(spark, path).where("item._corrupt IS NULL")
     if limit is not None:
         placed = placed.where(F.col("pos") < limit)
-    return placed.select("file", "pos", "title", "link", "published", "summary", "category", "guid")
+    return placed.select(
+        "file",
+        F.col("pos").cast("long").alias("pos"),
+        F.col("item.title").alias("title"),
+        F.col("item.link").alias("link"),
+        F.col("item.pubDate").alias("published"),
+        F.col("item.description").alias("summary"),
+        F.get("item.category", F.lit(0)).alias("category"),
+        F.col("item.guid._VALUE").alias("guid"),
+    )

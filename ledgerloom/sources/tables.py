@@ -42,7 +42,11 @@ def read_csv(
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is not None:
-        return reader.option("nullValue", "").schema(schema).csv(path)
+        typed = reader.option("nullValue", "").schema(schema).csv(path)
+        text = {f.name for f in typed.schema if isinstance(f.dataType, T.StringType)}
+        return typed.select(
+            *[_missing_to_null(c) if c in text else F.col(f"`{c}`") for c in typed.columns]
+        )
     raw = reader.csv(path)
     cells = raw.select(*[_missing_to_null(c) for c in raw.columns])
     return infer_types(cells) if infer else cells
@@ -128,9 +132,22 @@ def read_csv_tree(
         lines.where(F.col("block") == 0)
         .groupBy("file")
         .agg(F.min_by("value", "place").alias("header"))
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("file")).alias("files"))
     )
+    headers = materialize(headers, "csv-headers")
+    # An odd number of quotes: the header goes on in the next line, so it is read as a record.
+    open_end = F.regexp_count("header", F.lit('"')) % 2 == 1
+    broken = [r.file for r in headers.where(open_end).collect()]
+    if broken:
+        cells = spark.read.option("escape", '"').option("multiLine", True).csv(broken)
+        record = F.to_json(F.array(*[F.col(f"`{c}`") for c in cells.columns]))
+        records = cells.select(
+            F.col("_metadata.file_path").alias("file"),
+            F.monotonically_increasing_id().alias("place"),
+            record.alias("value"),
+        )
+        whole = records.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+        headers = headers.where(~open_end).unionByName(whole)
+    headers = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
     # One row per distinct header; the file names are what the driver lists for any scan.
     groups = sorted(headers.collect(), key=lambda g: g.files[0])
     if not groups:
@@ -215,8 +232,14 @@ SPLIT_ALIASES = {"val": "val", "validation": "val"}
 
 
 def read_split(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """A split-partitioned table, whole or one split; other splits' files are not read."""
+    """A split-partitioned table, whole or one split; other splits' files are not read.
+
+    A split that the table does not have is an error.
+    """
     table = spark.read.parquet(path)
     if not split:
         return table
-    return table.where(F.col("split") == SPLIT_ALIASES.get(split, split))
+    chosen = table.where(F.col("split") == SPLIT_ALIASES.get(split, split))
+    if chosen.isEmpty():
+        raise ValueError(f"no split {split!r} in {path}")
+    return chosen

@@ -56,11 +56,10 @@ TIGHT = dict(fanout=1, first_leaders=1, small_group=3, max_group=5)
 
 
 @pytest.mark.parametrize("threshold", [0.7, 0.85])
-@pytest.mark.parametrize("local_edges", [0, 10_000])
-def test_hot_group_of_near_copies_in_leader_rounds(spark, threshold, local_edges):
+def test_hot_group_of_near_copies_in_leader_rounds(spark, threshold):
     rows = random_rows(7, 200) + near_copies(120, 200)
     random.Random(1).shuffle(rows)
-    assert kept(spark, rows, threshold, local_edges=local_edges, **TIGHT) == greedy(rows, threshold)
+    assert kept(spark, rows, threshold, **TIGHT) == greedy(rows, threshold)
 
 
 def test_hot_word_among_dissimilar_records(spark):
@@ -85,7 +84,7 @@ def test_leader_round_compares_linearly_many_pairs(spark):
 
 def test_chain_is_resolved_by_distributed_rounds(spark):
     rows = [(i, " ".join(f"t{j}" for j in range(i, i + 10))) for i in range(12)]
-    assert kept(spark, rows, 0.7, local_edges=0) == greedy(rows, 0.7)
+    assert kept(spark, rows, 0.7) == greedy(rows, 0.7)
 
 
 def test_whole_texts_against_brute_force(spark):

@@ -21,13 +21,6 @@ def test_folder_comes_from_the_session(spark):
     assert root == configured.rstrip("/") if configured else os.path.isdir(root)
 
 
-def test_spread_leaves_well_split_inputs_alone(spark):
-    assert session.spread(spark.range(0, 100, 1, 8)).rdd.getNumPartitions() == 8
-    cores = spark.sparkContext.defaultParallelism
-    assert session.spread(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == cores
-    assert session.spread(spark.range(0, 100, 1, 3 * cores)).rdd.getNumPartitions() == 3 * cores
-
-
 @pytest.mark.parametrize("master", ["local[8]"])
 def test_session_defaults(spark, master):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"

@@ -78,7 +78,7 @@ def test_company_parts_become_ordered_shards(spark, tmp_path):
         body = "".join(f"n{part}{i},{1 + i}/1/2000\n" for i in range(4))
         extra = "old,1/1/1800\nbad,31/02/2001\n,1/1/2000\n" + "x" * 81 + ",1/1/2000\n"
         put_zip(tmp_path / f"p{part}.zip", [("d.csv", "CompanyName,IncorporationDate\n" + extra + body)])
-    out = jobs.clean_company_parts(spark, str(tmp_path), str(tmp_path / "out"), shard_size=5)
+    out = jobs.clean_company_parts(spark, str(tmp_path), str(tmp_path / "out"), shard_size=5, null_name=None)
     df = spark.read.parquet(out)
     assert df.columns == ["CompanyName", "IncorporationDate", "date", "source", "part"]
     shards = {}
@@ -86,7 +86,7 @@ def test_company_parts_become_ordered_shards(spark, tmp_path):
         shards.setdefault(r.part, set()).add(r.CompanyName)
     names = [f"n{p}{i}" for p in range(3) for i in range(4)]
     assert shards == {f"part_{k:05d}": set(names[5 * k : 5 * k + 5]) for k in range(3)}
-    missing = jobs.clean_company_parts(spark, str(tmp_path), str(tmp_path / "o2"), null_name="nan")
+    missing = jobs.clean_company_parts(spark, str(tmp_path), str(tmp_path / "o2"))
     assert spark.read.parquet(missing).where("CompanyName = 'nan'").count() == 3
 
 
@@ -113,6 +113,46 @@ def test_tolerant_jsonl(spark, tmp_path):
     assert records.jsonl_line_count(spark, str(tmp_path)).first().num_rows == 9
 
 
+def test_rejected_entries_and_unread_files(spark, tmp_path):
+    (tmp_path / "f.xml").write_text("<rss><channel><item><title>a & b</title></item><item><title>c</title></item></channel></rss>")
+    assert [r.title for r in records.read_feed(spark, str(tmp_path)).collect()] == ["c"]
+    bad = records.rejected_entries(spark, str(tmp_path)).collect()
+    assert [(r.file, r.value) for r in bad] == [("f.xml", "<item><title>a & b</title></item>")]
+    (tmp_path / "good.jsonl").write_text("{}\n")
+    (tmp_path / "none.jsonl").write_text("")
+    (tmp_path / "bad.jsonl.gz").write_bytes(b"no gzip at all")
+    found = records.unread_files(spark, str(tmp_path), "*.jsonl*").collect()
+    assert [r.file for r in found] == ["bad.jsonl.gz"]
+
+
+def test_headers_with_quoted_newlines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"n\n1",x\n1,2\n')
+    (tmp_path / "b.csv").write_text('"n\n2",x\n3,4\n')
+    (tmp_path / "c.csv").write_text('"n\nz",y\n5,6\n')
+    df = tables.read_csv_tree(spark, str(tmp_path))
+    assert sorted(df.columns) == sorted(["n\n1", "x", "n\n2", "n\nz", "y"])
+    got = sorted((tuple(r[c] for c in ("n\n1", "n\n2", "n\nz", "x", "y")) for r in df.collect()), key=str)
+    assert got == sorted([(1, None, None, 2, None), (None, 3, None, 4, None), (None, None, 5, None, 6)], key=str)
+
+
+def test_missing_values_with_a_schema(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("s,i\nNA,1\nx,NA\n")
+    df = tables.read_csv(spark, str(tmp_path / "a.csv"), "s string, i int")
+    assert sorted(map(tuple, df.collect()), key=str) == sorted([(None, 1), ("x", None)], key=str)
+
+
+def test_source_order_with_several_files_per_task(spark, tmp_path):
+    from ledgerloom.operators.index import source_order_index
+
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 3)
+    try:
+        df = spark.range(0, 20, 1, 2).select((F.col("id") / 10).cast("int").alias("s"), "id")
+        found = source_order_index(df, "s").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sorted((r.idx, r.id) for r in found) == [(i, i) for i in range(20)]
+
+
 def test_feed(spark, tmp_path):
     items = "".join(
         f"<item><title>T{i} &amp;amp; x</title><link>l{i}</link><pubDate>p</pubDate>"
@@ -149,6 +189,8 @@ def test_splits_prune_partitions(spark, tmp_path):
     plan = val._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan
     assert tables.read_split(spark, str(tmp_path / "s")).count() == 6
+    with pytest.raises(ValueError, match="trian"):
+        tables.read_split(spark, str(tmp_path / "s"), "trian")
 
 
 def test_listing_sizes_equal_the_disk(spark, tmp_path):
@@ -164,6 +206,20 @@ def test_listing_sizes_equal_the_disk(spark, tmp_path):
              listing.dataset_sizes(listing.dataset_files(spark, str(base))).collect()}
     # c holds two files and two folders
     assert sizes == {"a": (7, "csv", None), "b": (6, "jsonl", None), "c": (6, "other", 4)}
+    for name, data in {"a/raw/x.csv": "123", "a/_x": "12", "a/.x": "1", "b/my_dataset_card.json": "12345"}.items():
+        (base / name).parent.mkdir(parents=True, exist_ok=True)
+        (base / name).write_text(data)
+    (base / "e" / "f").mkdir(parents=True)
+    (base / "empty").mkdir()
+    more = {r.dataset: (r.size_bytes, r.format, r.files) for r in
+            listing.dataset_sizes(listing.dataset_files(spark, str(base))).collect()}
+    assert more["a"] == (13, "csv", None) and more["b"] == (11, "jsonl", None)
+    assert more["e"] == (0, "other", 1) and more["empty"] == (0, "other", 0)
+    for name in ("a/raw/x.csv", "a/_x", "a/.x", "b/my_dataset_card.json"):
+        (base / name).unlink()
+    (base / "e" / "f").rmdir()
+    (base / "e").rmdir()
+    (base / "empty").rmdir()
     cards = jobs.profile_datasets(spark, str(base))
     lines = [r.line for r in writers.overview_markdown(cards).collect()]
     assert lines[4:] == ["| `a` | 1 | 0.0 | - |", "| `b` | 2 | 0.0 | - |", "| `c` | - | 0.0 | - |"]
