@@ -14,7 +14,7 @@
     In a larger one every block also meets an anchor block; afterwards only the documents outside
     the family's largest component meet all blocks of sizes that they can link with. So a large
     group of near copies costs its blocks, not its pairs, and no link between components is missed.
-4.  A task returns a spanning forest of its links. Components come from these.
+4.  A task returns what its links connect, as links to the smallest. Components come from these.
 
 Defined results: null texts and texts without words have an empty set and link with nothing. Rows
 without an id get their size and no component. Rows that repeat an id are one document, linked by
@@ -149,14 +149,13 @@ def _entries(
 
 
 def _candidates(entries: DataFrame, least: int) -> DataFrame:
-    """``a, b, g``: a spanning forest, per task, of the pairs that the bounds cannot exclude (``g``
-    null), or members ``a`` of a column ``g`` with too many entries for pairs (``b`` null)."""
+    """``a, b, g``: per task, what the pairs connect that the bounds cannot exclude (``g`` null), or
+    members ``a`` of a column ``g`` with too many entries for pairs (``b`` null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "g"]
         kept = np.zeros((0, 4), np.int64)
         crowded: int | None = None  # the last column, if it is known to have many entries
-
         parent: dict[int, int] = {}
 
         def top(x: int) -> int:
@@ -164,11 +163,16 @@ def _candidates(entries: DataFrame, least: int) -> DataFrame:
                 parent[x] = x = parent[up]
             return x
 
-        def join(a: int, b: int) -> bool:
-            """Whether the pair connects what this task had not connected yet."""
-            a, b = top(a), top(b)
-            parent[a] = b
-            return a != b
+        def join(a: int, b: int) -> None:
+            a, b = sorted((top(a), top(b)))
+            parent[b] = a
+
+        def stars() -> Iterator[pa.RecordBatch]:
+            """All that the task's pairs connect, as links to the smallest."""
+            nodes = [x for x in parent if top(x) != x]
+            if nodes:
+                sides = [pa.array([top(x) for x in nodes]), pa.array(nodes)]
+                yield pa.RecordBatch.from_arrays([*sides, pa.nulls(len(nodes), pa.int64())], names)
 
         def members(rows: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -197,11 +201,8 @@ def _candidates(entries: DataFrame, least: int) -> DataFrame:
                     (100 + least) * most >= least * (n + m)
                 )
                 found.append(np.sort(np.column_stack((x[fits, 1], y[fits, 1])), axis=1))
-            pairs = np.unique(np.concatenate(found), axis=0).tolist() if found else []
-            new = [(a, b) for a, b in pairs if join(a, b)]
-            if new:
-                sides = [pa.array(x, pa.int64()) for x in zip(*new)]
-                yield pa.RecordBatch.from_arrays([*sides, pa.nulls(len(new), pa.int64())], names)
+            for a, b in np.unique(np.concatenate(found), axis=0).tolist() if found else ():
+                join(a, b)
 
         for batch in batches:
             rows = np.column_stack([c.to_numpy() for c in batch.columns])
@@ -225,6 +226,7 @@ def _candidates(entries: DataFrame, least: int) -> DataFrame:
                 crowded, kept = int(kept[0, 0]), kept[:0]
         if len(kept):
             yield from finish(kept)
+        yield from stars()
 
     sorted_rows = entries.repartition("g", "salt").sortWithinPartitions("g")
     return sorted_rows.mapInArrow(run, "a long, b long, g long")
@@ -284,8 +286,9 @@ def _links(least: int):
                     found = np.flatnonzero(linked[i] & left).tolist()
                     left[found] = False
                     queue += found
-                    a += [int(nodes[i])] * len(found)
-                    b += [int(nodes[j]) for j in found]
+                # Nodes are in order, so the root is the smallest of its component.
+                a += [int(nodes[root])] * (len(queue) - 1)
+                b += [int(nodes[j]) for j in queue[1:]]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
