@@ -270,7 +270,7 @@ def one_decimal(x: Column) -> Column:
     half = F.lit(2**56)
     up = (rest > half) | ((rest == half) & (digit % 2 == 1))
     tenths = whole.cast("long") * 10 + digit + up.cast("long")
-    sign = F.when(x < 0, "-").otherwise("")
+    sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")  # a negative zero too
     exact = F.concat(sign, (F.floor(tenths / 10)).cast("string"), F.lit("."), (tenths % 10).cast("string"))
     return F.when(size < 1e15, exact).otherwise(F.format_string("%.1f", x))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions import dates, text as T
@@ -325,6 +327,31 @@ def _(t):
     )
 
 
+@query(
+    "q4_company_eda_job",
+    f"""WITH c AS MATERIALIZED (SELECT *, CASE WHEN o_orderkey % 5 NOT IN (2, 3) THEN strptime(IncorporationDate, '%d/%m/%Y') END AS d,
+            length(CompanyName) AS l FROM ({COMPANIES_SQL})),
+          h AS ({histogram_sql('l', 'c', 50)})
+        SELECT 'rows' AS stat, '' AS key, count(*) AS n FROM c
+        UNION ALL SELECT 'date_range', strftime(min(d), '%Y-%m-%d') || ' ' || strftime(max(d), '%Y-%m-%d'),
+          date_diff('day', min(d), max(d)) FROM c
+        UNION ALL SELECT 'per_date', strftime(d, '%Y-%m-%d'), count(*) FROM c WHERE d IS NOT NULL GROUP BY 2
+        UNION ALL SELECT 'name_lengths', CAST(bin AS VARCHAR), n FROM h""",
+)
+def _(t):
+    """All four statistics of the job in long form."""
+    eda = jobs.company_eda(companies(t))
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    span = F.concat(day("first"), F.lit(" "), day("last")).alias("key")
+    parts = [
+        ("rows", eda["rows"].select(F.lit("").alias("key"), "n")),
+        ("date_range", eda["date_range"].select(span, F.col("span_days").alias("n"))),
+        ("per_date", eda["per_date"].select(day("date").alias("key"), "n")),
+        ("name_lengths", eda["name_lengths"].select(F.col("bin").cast("string").alias("key"), "n")),
+    ]
+    return reduce(DataFrame.union, [df.select(F.lit(s).alias("stat"), "key", "n") for s, df in parts])
+
+
 @query(
     "q4_company_eda",
     f"""SELECT CAST(strptime(IncorporationDate, '%d/%m/%Y') AS DATE) AS date, count(*) AS n
@@ -609,12 +636,26 @@ def _(t):
 # --- near-duplicates --------------------------------------------------------------------------
 
 
-def dedup_sql(base: str, select: str) -> str:
-    """Greedy keep-first over ``base`` (``ord, title``, ``ord`` a number)."""
+PAIRS_SQL = """e AS (SELECT b.ord, list(a.ord) AS nb FROM s a JOIN s b ON a.ord < b.ord AND len(a.w) > 0 AND len(b.w) > 0
+            WHERE CAST({shared} AS DOUBLE) / (len(a.w) + len(b.w) - {shared}) > 0.7 GROUP BY 1)"""
+
+
+def dedup_sql(base: str, select: str, by_word: bool = False) -> str:
+    """Greedy keep-first over ``base`` (``ord, title``, ``ord`` a number). ``by_word`` finds the
+    similar pairs by an equi-join on words, for texts too long to compare all pairs of."""
     shared = "len(list_intersect(a.w, b.w))"
+    if by_word:
+        return dedup_sql(base, select).replace(
+            PAIRS_SQL.format(shared=shared),
+            """e AS (SELECT ord, list(a_ord) AS nb FROM (
+                 SELECT b.ord, a.ord AS a_ord, count(*) AS c, any_value(a.n) AS an, any_value(b.n) AS bn
+                 FROM (SELECT ord, len(w) AS n, unnest(w) AS x FROM s) a
+                 JOIN (SELECT ord, len(w) AS n, unnest(w) AS x FROM s) b
+                   ON a.x = b.x AND a.ord < b.ord AND least(a.n, b.n) >= 0.7 * greatest(a.n, b.n)
+                 GROUP BY 1, 2) WHERE CAST(c AS DOUBLE) / (an + bn - c) > 0.7 GROUP BY 1)""",
+        )
     return f"""WITH RECURSIVE base AS MATERIALIZED ({base}), s AS MATERIALIZED (SELECT ord, {S.word_set('title')} AS w FROM base),
-      e AS (SELECT b.ord, list(a.ord) AS nb FROM s a JOIN s b ON a.ord < b.ord AND len(a.w) > 0 AND len(b.w) > 0
-            WHERE CAST({shared} AS DOUBLE) / (len(a.w) + len(b.w) - {shared}) > 0.7 GROUP BY 1),
+      {PAIRS_SQL.format(shared=shared)},
       n AS MATERIALIZED (SELECT s.ord, row_number() OVER (ORDER BY s.ord) AS i, coalesce(nb, []) AS nb
             FROM s LEFT JOIN e ON s.ord = e.ord),
       r AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS kept
@@ -653,9 +694,15 @@ def _(t):
     return dedup.dedup_counts(page_title_status(t))
 
 
-@query("u6_dedup_documents")
+@query(
+    "u6_dedup_documents",
+    dedup_sql(
+        "SELECT doc_id AS ord, text AS title FROM documents",
+        "SELECT ord AS doc_id FROM k",
+        by_word=True,
+    ),
+)
 def _(t):
-    """Whole document texts: SQL over all pairs takes too long, see the brute-force test."""
     rows = t.documents.select("doc_id", "text")
     return dedup.remove_near_duplicates(rows, 0.7, "text", "doc_id").select("doc_id")
 
@@ -675,6 +722,41 @@ def _(t):
     return dedup.remove_near_duplicates(found, 0.7).select("source", "title", "link")
 
 
+@query(
+    "q1_collection_job",
+    dedup_sql(
+        COLLECTED_SQL.replace("SELECT row_number() OVER (ORDER BY rank, page_id, pos) AS ord, source, title, link FROM (", "SELECT row_number() OVER (ORDER BY rank, page_id, pos) AS ord, source, title, link, rns_type, company_name FROM (")
+        .replace("page_id, pos, source, title, link FROM", "page_id, pos, source, title, link, rns_type, company_name FROM"),
+        """, u AS (SELECT * FROM base WHERE ord IN (SELECT ord FROM k))
+           SELECT 'before' AS stat, '' AS key, count(*) AS n FROM base
+           UNION ALL SELECT 'after', '', count(*) FROM u
+           UNION ALL SELECT 'removed', '', (SELECT count(*) FROM base) - (SELECT count(*) FROM u)
+           UNION ALL SELECT 'source', source, count(*) FROM u GROUP BY 2
+           UNION ALL SELECT 'type', rns_type, count(*) FROM u GROUP BY 2
+           UNION ALL SELECT * FROM (SELECT 'company', company_name, count(*) AS n FROM u WHERE company_name <> ''
+                                    GROUP BY 2 ORDER BY n DESC, 2 LIMIT 10)
+           UNION ALL SELECT 'stored', '', count(*) FROM u""",
+    ),
+)
+def _(t):
+    """The collection job from pages to files: what its summary counts, and what it stored."""
+    pages = {"investegate": X.news_pages(t), "lse": X.lse_pages(t), "sharecast": X.sharecast_pages(t)}
+    run = jobs.collect_announcements(
+        pages, scratch_path(t.spark, "runs"), limit=50, scraped_at=F.lit(X.STAMP)
+    )
+    counts = run.counts.unpivot([], ["before", "after", "removed"], "stat", "n")
+    parts = [
+        counts.select("stat", F.lit("").alias("key"), "n"),
+        run.by_source.select(F.lit("source").alias("stat"), F.col("source").alias("key"), "n"),
+        run.by_type.select(F.lit("type"), "rns_type", "n"),
+        run.top_companies.select(F.lit("company"), "company_name", "n"),
+        records.read_announcements(t.spark, f"{run.path}/records").agg(
+            F.lit("stored"), F.lit(""), F.count("*")
+        ),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 # --- sources and sinks ------------------------------------------------------------------------
 
 
@@ -896,7 +978,7 @@ def landed_datasets(t: Tables) -> str:
     for df, key, line, size, name, head in (
         (t.orders, "o_orderkey", comma(ORDERS_HEAD), 5000, "ch_orders/o_%05d.csv", ORDERS_HEAD),
         (t.part, "p_partkey", comma(PART_HEAD), 1000, "boe_cls_part/deep/p_%05d.csv", PART_HEAD),
-        (t.documents, "doc_id", F.to_json(F.struct("doc_id", "lang")), 200, "rns_documents/_d_%05d.jsonl", ""),
+        (t.documents, "doc_id", F.to_json(F.struct("doc_id", "lang")), 200, "rns_documents/d_%05d.jsonl", ""),
         (t.nation, "n_nationkey", F.col("n_name"), 10, "px_nation/raw/x/.n_%05d.txt", ""),
     ):
         head = f"{head}\n" if head else ""

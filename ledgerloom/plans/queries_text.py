@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.functions import dates, text as T
 from ledgerloom.operators import extract, lookup, manifest, profile
 from ledgerloom.operators.extract import INVESTEGATE, LSE, SHARECAST
-from ledgerloom.plans import sqltext as S
+from ledgerloom.plans import jobs, sqltext as S
 from ledgerloom.plans.registry import Tables, query
 
 TITLE = "<title>([^<]*)"
@@ -520,6 +520,21 @@ def _(t):
     return manifest.completeness(manifest.snapshot_manifest(register_pages(t)), landed_parts(t))
 
 
+@query(
+    "q9_snapshot_report",
+    f"""SELECT 'announced' AS stat, filename AS value FROM ({MANIFEST_SQL})
+        UNION ALL SELECT 'missing', filename FROM ({MANIFEST_SQL}) WHERE filename NOT IN ({LANDED_SQL})
+        UNION ALL SELECT 'totals', count(*) FILTER (filename IN ({LANDED_SQL})) || ' of ' || count(*) FROM ({MANIFEST_SQL})""",
+)
+def _(t):
+    """All outputs of the job in long form."""
+    report = jobs.snapshot_report(register_pages(t), landed_parts(t))
+    totals = F.concat(F.col("landed").cast("string"), F.lit(" of "), F.col("total").cast("string"))
+    announced = report["manifest"].select(F.lit("announced").alias("stat"), F.col("filename").alias("value"))
+    missing = report["missing"].select(F.lit("missing"), "filename")
+    return announced.union(missing).union(report["totals"].select(F.lit("totals"), totals))
+
+
 USE_CASES = " ".join(
     f"WHEN contains(name, '{k}') THEN '{v}'" for k, v in reversed(list(lookup.IDEAL_USES.items()))
 )

@@ -121,7 +121,7 @@ def _feed_items(spark: SparkSession, path: str) -> DataFrame:
     A feed is one fetched document, so it is one row. Each entry is parsed on its own: a broken one
     takes nothing else with it.
     """
-    feeds = spark.read.option("wholetext", True).text(path)
+    feeds = spark.read.text(path, wholetext=True)
     begun = F.filter(F.split("value", r"(?=<item[\s>])"), lambda p: p.rlike(r"^<item[\s>]"))
     whole = lambda p: F.regexp_extract(p, r"(?s)^.*?</item\s*>", 0)
     entries = F.transform(begun, lambda p: F.coalesce(F.nullif(whole(p), F.lit("")), p))

@@ -12,7 +12,7 @@ TABLES = (
 ).split()
 QUERIES = __spark_entry__.queries()
 ORACLES = __spark_entry__.oracle_sql()
-NO_SQL = {"u6_dedup_documents"}
+NO_SQL = set()
 
 
 @pytest.fixture(scope="module")

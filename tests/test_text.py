@@ -117,7 +117,7 @@ def test_jaccard(column):
 
 
 def test_one_decimal_equals_the_standard_library(spark):
-    values = [0.15, 0.25, 0.35, 0.45, 0.75, 1.05, 2.45, 0.05, 0.03, 0.95, 9.95, 99.95, 1e14 + 0.25, 1e17, -0.05, -2.45, 0.0]
+    values = [0.15, 0.25, 0.35, 0.45, 0.75, 1.05, 2.45, 0.05, 0.03, 0.95, 9.95, 99.95, 1e14 + 0.25, 1e17, -0.05, -2.45, 0.0, -0.0]
     values += [i / 20 for i in range(400)] + [i / 7 for i in range(400)]
     df = spark.createDataFrame([(v,) for v in values], "x double")
     found = df.select("x", T.one_decimal(F.col("x")).alias("s")).collect()
