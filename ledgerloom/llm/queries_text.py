@@ -33,7 +33,32 @@ def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "repeats", "taken")
 
 
-@query("op5_ngram_jaccard")
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) >= 4
+      THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM words),
+entries AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c, any_value(x.n) AS n, any_value(y.n) AS m
+    FROM entries x JOIN entries y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+  WHERE 100 * c >= 85 * (n + m - c)),
+reach AS (
+  SELECT a, b FROM links
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, len(s) AS n_shingles,
+  least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id
+FROM sets
+"""
+
+
+@query("op5_ngram_jaccard", JACCARD_SQL)
 def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return similarity_classes(table(spark, folder, "documents"))
 
