@@ -12,6 +12,9 @@ from ledgerloom.session import materialize
 
 PROFILE_FIELDS = ("title", "summary", "category", "author", "source")
 
+# Distinct values a counter map may hold.
+MOST_COUNTED = 10_000
+
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n"))
@@ -169,15 +172,20 @@ def completeness(df: DataFrame, required: Sequence[str] = ("title", "published",
 
 
 def counter(df: DataFrame, column: str, default: str = "") -> DataFrame:
-    """One row, one map of value counts."""
+    """One row, one map of value counts; more than ``MOST_COUNTED`` values are an error, as a map
+    in one row is no place for them."""
     counted = frequencies(df, F.coalesce(F.col(column), F.lit(default)), "k")
-    return counted.agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias(column))
+    counted = counted.limit(MOST_COUNTED + 1)
+    entries = F.map_from_entries(F.collect_list(F.struct("k", "n")))
+    error = F.raise_error(F.lit(f"{column} has over {MOST_COUNTED} values"))
+    many = F.when(F.count("*") > MOST_COUNTED, error.cast("string"))
+    return counted.agg(F.when(many.isNull(), entries).alias(column))
 
 
 def run_metadata(records: DataFrame, scraped_at: str) -> DataFrame:
     """The one-row description of a collection run.
 
-    The maps have one entry per source and per announcement type, a handful by construction.
+    The maps have one entry per source and per announcement type.
     Distinct names are counted exactly by grouping, not by holding them in one place.
     """
     company, ticker = F.col("company_name"), F.col("ticker")

@@ -1,4 +1,6 @@
-"""SQL fragments for the oracle queries, written independently of the operators."""
+"""SQL fragments for the oracle queries. Word lists and patterns are the operators' own, so that
+they stand in one place; the logic around them is written again in SQL, and literal cases in the
+tests check the lists."""
 
 from __future__ import annotations
 

@@ -45,6 +45,14 @@ def test_fallback_looks_at_twice_the_limit_and_keeps_the_limit(spark):
     assert links(spark, quiet, limit=2) == []
 
 
+def test_without_a_limit_every_link_counts(spark):
+    many = "".join(f'<h2><a href="/{i}">A long enough title {i}</a></h2><span class="date">d</span>' for i in range(70))
+    assert [l for l, _, _ in links(spark, many)] == [f"/{i}" for i in range(70)]
+    anchors = "".join(f'<a href="u{i}">Firm {i} announces a thing</a>' for i in range(70))
+    quiet = '<a href="n">nothing of note here</a>' * 200 + anchors
+    assert [l for l, _, _ in links(spark, quiet)] == [f"u{i}" for i in range(70)]
+
+
 def test_every_lse_shape(spark):
     json = '{"url":"/n/1","x":2,"title":"A json headline"}'
     assert links(spark, json, LSE) == [("/n/1", "A json headline", "")]

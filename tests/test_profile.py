@@ -185,3 +185,21 @@ def test_company_eda(spark):
     assert eda["name_lengths"].agg(F.sum("n")).first()[0] == 3
     assert set(jobs.company_eda(df.select(F.col("CompanyName").alias("x")))) == {"rows"}
     assert dates.today() is not None
+
+
+def test_counter_maps_are_bounded(spark, monkeypatch):
+    df = spark.range(5).selectExpr("cast(id as string) as source")
+    monkeypatch.setattr(profile, "MOST_COUNTED", 5)
+    assert profile.counter(df, "source").first().source == {str(i): 1 for i in range(5)}
+    monkeypatch.setattr(profile, "MOST_COUNTED", 4)
+    with pytest.raises(Exception, match="source has over 4 values"):
+        profile.counter(df, "source").collect()
+
+
+def test_examples_of_several_splits(spark, tmp_path):
+    for split, n in (("train", 2), ("dev", 1)):
+        (tmp_path / f"{split}.sent").write_text("s\n" * n)
+        (tmp_path / f"{split}.tup").write_text("a ; b ; r\n" * n)
+    (tmp_path / "relations.txt").write_text("r\n")
+    found = relations.load_splits(spark, str(tmp_path), ("train", "dev"))
+    assert {r.split: r.n for r in relations.examples_per_split(found).collect()} == {"train": 2, "dev": 1}
