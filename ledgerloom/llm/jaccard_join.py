@@ -35,7 +35,7 @@ from ledgerloom.session import materialize
 
 WIDTH = 4
 LEAST_PERCENT = 85
-SKETCH_BITS = 18
+SKETCH_BITS = 20
 _CHUNKS = 64
 _SALTS = 64
 COLUMN_PAIRS = 64  # columns with more entries go to the blocks without pairs
@@ -84,7 +84,7 @@ def signatures(
                 nothing = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns + nothing, names)
         if cells.any():
-            parts = [x.tobytes() for x in np.split(cells, _CHUNKS)]
+            parts = [x.tobytes() for x in np.split(cells.astype(np.uint32), _CHUNKS)]
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(_CHUNKS, pa.int64())] * 4
                 + [pa.array(range(_CHUNKS), pa.int64()), pa.array(parts, pa.binary())],
@@ -103,14 +103,17 @@ def signatures(
 def _sum_chunks(parts: DataFrame) -> DataFrame:
     """One row of summed counts per chunk: first within salts, then over them."""
 
-    def add(table: pa.Table) -> pa.Table:
-        arrays = (np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist())
-        total = sum(arrays).tobytes()
-        return table.slice(0, 1).select(["chunk"]).append_column("counts", pa.array([total]))
+    def add(kind: type):
+        def run(table: pa.Table) -> pa.Table:
+            arrays = (np.frombuffer(x, kind) for x in table.column("counts").to_pylist())
+            total = sum(arrays, np.int64(0)).tobytes()
+            return table.slice(0, 1).select(["chunk"]).append_column("counts", pa.array([total]))
+
+        return run
 
-    salted = parts.withColumn("salt", F.spark_partition_id() % _SALTS)
     schema = "chunk long, counts binary"
-    return salted.groupBy("chunk", "salt").applyInArrow(add, schema).groupBy("chunk").applyInArrow(add, schema)
+    salted = parts.withColumn("salt", F.spark_partition_id() % _SALTS).groupBy("chunk", "salt")
+    return salted.applyInArrow(add(np.uint32), schema).groupBy("chunk").applyInArrow(add(np.int64), schema)
 
 
 def _entries(
