@@ -84,7 +84,10 @@ def test_clean_companies(spark):
     rows = [("A", "1/1/1900"), ("B", "31/12/1899"), ("C", "2/1/2024"), ("D", "3/1/2024"), ("", "1/1/2000"), (None, "1/1/2000")]
     df = spark.createDataFrame(rows, "CompanyName string, IncorporationDate string")
     kept = clean.clean_companies(df, as_of="2024-01-02").orderBy("CompanyName").collect()
-    assert [(r.CompanyName, r.date, r.source) for r in kept] == [("A", "1900-01-01", "ch"), ("C", "2024-01-02", "ch")]
+    named = [("A", "1900-01-01", "ch"), ("C", "2024-01-02", "ch")]
+    assert [(r.CompanyName, r.date, r.source) for r in kept] == [*named, ("nan", "2000-01-01", "ch")]
+    kept = clean.clean_companies(df, as_of="2024-01-02", null_name=None).orderBy("CompanyName").collect()
+    assert [(r.CompanyName, r.date, r.source) for r in kept] == named
     bare = clean.clean_companies(spark.createDataFrame([("x",)], "other string")).first()
     assert (bare.other, bare.date, bare.source) == ("x", None, "ch")
 
