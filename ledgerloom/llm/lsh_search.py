@@ -5,12 +5,16 @@
     table has at most ``CELLS ** hashes`` buckets, whatever the data.
 2.  *Probes.* If a neighbour of cosine ``c`` has projection ``c p + sqrt(1 - c^2) N(0, 1)`` given the
     query's ``p``, a bucket's chance to hold it is a product over the hashes. A query visits
-    occupied buckets in falling order of that chance until it adds up to ``success``. ``c`` is fitted:
-    the middle cosine of the k-th neighbour of ``FIT_QUERIES`` queries, searched exhaustively.
+    occupied buckets in falling order of that chance until it adds up to ``success``. For a first
+    round ``c`` is fitted: the middle cosine of the k-th neighbour of ``FIT_QUERIES`` queries,
+    searched exhaustively.
 3.  *Reranking.* Buckets are split into blocks of bounded size and queries into parts, so no task
     holds a hot bucket whole. A task multiplies its block with its queries and returns the best k
     per query by the exact measure on the original vectors; these are merged over all tables.
-4.  A query that found fewer than k visits all buckets of one table.
+4.  The k-th cosine a query has found is never above its true one. In a second round every query
+    visits what this cosine, and those between it and 1, ask for beyond its first visits: so a query
+    whose neighbours are farther than the middle one's is not left with too few buckets.
+5.  A query that found fewer than k visits all buckets of one table.
 
 Nothing is capped: every vector is indexed, and every vector of a visited bucket is compared.
 
@@ -38,6 +42,8 @@ CELLS = 8
 SUCCESS = 0.9
 BLOCK_ROWS = 4096
 FIT_QUERIES = 128
+# From a query's k-th cosine up to 1: nearer neighbours lie in buckets of their own.
+RISES = (0.0, 0.5, 0.9)
 _SEED = 97
 _TIE = 1e-9
 
@@ -82,12 +88,12 @@ class Projections:
     def buckets(self, unit: np.ndarray, t: int) -> np.ndarray:
         return self.cells(unit, t) @ self.code
 
-    def chances(self, unit: np.ndarray, t: int, cosine: float) -> np.ndarray:
-        """Per query and bucket, the chance that a neighbour of that cosine is in it."""
-        spread = max(1 - cosine * cosine, 1e-6) ** 0.5
+    def chances(self, unit: np.ndarray, t: int, cosine: np.ndarray) -> np.ndarray:
+        """Per query and bucket, the chance that a neighbour of the query's cosine is in it."""
+        spread = np.sqrt(np.maximum(1 - cosine * cosine, 1e-6))
         edges = (np.arange(1, CELLS) - CELLS // 2) * self.width
-        middle = cosine * (unit @ self.a[t])
-        z = (edges[None, None, :] - self.b[t][None, :, None] - middle[:, :, None]) / spread
+        middle = cosine[:, None] * (unit @ self.a[t])
+        z = (edges[None, None, :] - self.b[t][None, :, None] - middle[:, :, None]) / spread[:, None, None]
         below = 0.5 * (1 + np.vectorize(erf)(z / 2**0.5)) if z.size else z
         low = np.concatenate((np.zeros((*z.shape[:2], 1)), below), axis=2)
         high = np.concatenate((below, np.ones((*z.shape[:2], 1))), axis=2)
@@ -98,6 +104,16 @@ class Projections:
         return out
 
 
+def likeliest(chance: np.ndarray, success: float) -> np.ndarray:
+    """The buckets of each row, in falling order of chance, until these add up to ``success``."""
+    order = np.argsort(-chance, axis=1, kind="stable")
+    sums = np.cumsum(np.take_along_axis(chance, order, axis=1), axis=1)
+    before = np.concatenate((np.zeros((len(chance), 1)), sums[:, :-1]), axis=1)
+    taken = np.zeros(chance.shape, bool)
+    np.put_along_axis(taken, order, before < success * np.minimum(sums[:, -1:], 1), axis=1)
+    return taken
+
+
 def exact_best(
     ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -206,27 +222,29 @@ def nearest(
     sizes = indexed.groupBy("lsh", "bucket").count().collect()
     blocks = {(r.lsh, r.bucket): -(-r["count"] // block_rows) for r in sizes}
     occupied = [np.array(sorted(b for u, b in blocks if u == t), np.int64) for t in range(tables)]
-    queries = rows.where(is_query)
+    queries = rows.where(is_query).select("vec_id", "v", F.lit(None).cast("double").alias("kth"))
     parts = max(1, -(-queries.count() // block_rows))
 
-    def probes(everywhere: bool):
+    def probes(everywhere: bool, again: bool):
+        def visited(unit: np.ndarray, kth: np.ndarray, t: int) -> np.ndarray:
+            def wanted(cosine: np.ndarray) -> np.ndarray:
+                return likeliest(functions.chances(unit, t, cosine)[:, occupied[t]], success)
+
+            if everywhere:
+                return np.ones((len(unit), len(occupied[t])), bool)
+            first = wanted(np.full(len(unit), mean))
+            if not again:
+                return first
+            steps = [wanted(np.clip(kth + (1 - kth) * x, 0.05, 0.999)) for x in RISES]
+            return np.logical_or.reduce(steps) & ~first
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x = _matrix(batch.column(1))
+                x, kth = _matrix(batch.column(1)), batch.column(2).to_numpy(zero_copy_only=False)
                 for low in range(0, len(x), 256):
                     unit = _unit(x[low : low + 256])
                     for t in range(1 if everywhere else tables):
-                        chance = functions.chances(unit, t, mean)[:, occupied[t]]
-                        if everywhere:
-                            taken = np.ones(chance.shape, bool)
-                        else:
-                            order = np.argsort(-chance, axis=1, kind="stable")
-                            sums = np.cumsum(np.take_along_axis(chance, order, axis=1), axis=1)
-                            before = np.concatenate((np.zeros((len(unit), 1)), sums[:, :-1]), axis=1)
-                            taken = np.zeros(chance.shape, bool)
-                            goal = success * np.minimum(sums[:, -1:], 1)
-                            np.put_along_axis(taken, order, before < goal, axis=1)
-                        of, at = np.nonzero(taken)
+                        of, at = np.nonzero(visited(unit, kth[low : low + 256], t))
                         bucket = occupied[t][at]
                         count = np.array([blocks[t, b] for b in bucket.tolist()], np.int64)
                         of, bucket = np.repeat(of, count), np.repeat(bucket, count)
@@ -264,20 +282,24 @@ def nearest(
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part")
     keys = ["lsh", "bucket", "block", "part"]
 
-    def search(asked: DataFrame, everywhere: bool) -> DataFrame:
+    def search(asked: DataFrame, everywhere: bool = False, again: bool = False) -> DataFrame:
         schema = "lsh long, bucket long, block long, query_id long, q array<double>"
         part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).alias("part")
-        visits = asked.mapInArrow(probes(everywhere), schema).select(*keys[:3], part, "query_id", "q")
+        visits = asked.mapInArrow(probes(everywhere, again), schema).select(*keys[:3], part, "query_id", "q")
         entries = indexed.join(shapes, ["lsh", "bucket"]).select(*keys[:2], block, "vec_id", "v")
         entries = entries.select(*keys[:3], each, "vec_id", "v")
         pairs = entries.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(score, _SCHEMA)
         return ranked(pairs, k)
 
-    best = materialize(search(queries, False), "lsh-found")
-    full = best.groupBy("query_id").count().where(F.col("count") >= k)
-    short = queries.join(full.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")
-    short = materialize(short, "lsh-short")
+    once = materialize(search(queries), "lsh-found")
+    of = once.groupBy("query_id").agg(F.count("*").alias("count"), F.min("score").alias("kth"))
+    of = of.where(F.col("count") >= k).select(F.col("query_id").alias("vec_id"), "kth")
+    # The middle cosine is no query's own: each goes on with what it has found.
+    more = search(queries.drop("kth").join(of, "vec_id"), again=True)
+    best = once.select("query_id", "vec_id", "score").unionByName(more.drop("rank"))
+    best = materialize(ranked(best, k), "lsh-found-again")
+    short = materialize(queries.join(of.select("vec_id"), "vec_id", "left_anti"), "lsh-short")
     if short.isEmpty():
         return best
-    again = search(short, True)
-    return best.join(short.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(again)
+    everywhere = search(short, everywhere=True)
+    return best.join(short.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(everywhere)

@@ -56,6 +56,26 @@ def test_recall(spark):
     assert len(got) == sum(i % 50 == 0 for i, _ in rows) and hits / total >= 0.9
 
 
+def test_recall_among_copies(spark):
+    """Production parameters; 60% of the rows in clusters of near copies, the others in loose ones."""
+    rng = np.random.default_rng(5)
+    n, d, size = 20_000, 64, 10
+    middle = np.repeat(rng.normal(size=(n // size, d)), size, axis=0)
+    tight = np.arange(n) < 0.6 * n
+    x = middle + rng.normal(size=(n, d)) * np.where(tight, 0.05, 0.8)[:, None]
+    ids = rng.permutation(n)
+    got = run(spark.createDataFrame([(int(i), v.tolist(), 1) for i, v in zip(ids, x)], SCHEMA), 50)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    hits = {True: [], False: []}
+    for row in np.flatnonzero(ids % 50 == 0):
+        near = unit @ unit[row]
+        near[row] = -2
+        best = {int(i) for i in ids[np.argsort(-near)[:5]]}
+        hits[bool(tight[row])].append(len(best & {i for i, _ in got[int(ids[row])]}) / 5)
+    print("recall", {kind: np.mean(h) for kind, h in hits.items()})
+    assert all(np.mean(h) >= 0.9 for h in hits.values())
+
+
 def test_copies_ties_and_invalid_rows(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [1.0, 2.0, -1.0]) for i in range(60)] + [(i, rng.normal(size=3).tolist()) for i in range(60, 120)]
