@@ -49,14 +49,14 @@ _TIE = 1e-9
 
 
 def valid_vectors(table: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """``vec_id, v`` with ``v`` as doubles of the commonest length."""
+    """``vec_id, v`` with ``v`` as doubles of the commonest length, each such row once."""
     v = F.col(vector).cast("array<double>")
     usable = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable &= F.exists(v, lambda x: x != 0)
     rows = table.where(F.col(vec_id).isNotNull() & F.coalesce(usable, F.lit(False)))
     rows = rows.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"))
     length = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("v") == (length.d if length else 0))
+    return rows.where(F.size("v") == (length.d if length else 0)).dropDuplicates(["vec_id", "v"])
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -117,20 +117,25 @@ def likeliest(chance: np.ndarray, success: float) -> np.ndarray:
 def exact_best(
     ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``query_id, vec_id, score`` of every query's best k rows, ties to the smaller id."""
+    """``query_id, vec_id, score`` of every query's best k ids, ties to the smaller id. An id with
+    several vectors counts by its best."""
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if len(ids) and len(query_ids):
         near = _unit(q) @ _unit(x).T
         near[query_ids[:, None] == ids[None, :]] = -np.inf
+        by_id = np.argsort(ids, kind="stable")
+        starts = np.flatnonzero(np.diff(ids[by_id], prepend=ids[by_id[0]] - 1))
+        single = len(starts) == len(ids)
         for i, row in enumerate(near):
-            usable = int(np.isfinite(row).sum())
+            each = row if single else np.maximum.reduceat(row[by_id], starts)
+            usable = int(np.isfinite(each).sum())
             if not usable:
                 continue
-            least = -np.partition(-row, min(k, usable) - 1)[min(k, usable) - 1] - _TIE
+            least = -np.partition(-each, min(k, usable) - 1)[min(k, usable) - 1] - _TIE
             some = np.flatnonzero(row >= least)
             # Sums in one order for every pair, so equal vectors get equal scores.
             score = cosine(q[i], x[some])
-            order = np.lexsort((ids[some], -score))[: k + len(some)]
+            order = np.lexsort((ids[some], -score))
             _, first = np.unique(ids[some][order], return_index=True)
             order = order[np.sort(first)][:k]
             found.append((np.full(len(order), query_ids[i]), ids[some][order], score[order]))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.lsh_search import nearest
+from ledgerloom.llm.lsh_search import exact_best, nearest
 from ledgerloom.llm.registry import table
 
 SCHEMA = "vec_id long, embedding array<double>, label int"
@@ -85,6 +85,19 @@ def test_copies_ties_and_invalid_rows(spark):
     same(run(df, 20, success=1.0, block_rows=16), brute(rows, 20))
 
 
+@pytest.mark.parametrize("times", [2, 5])
+def test_repeated_rows(spark, times):
+    """Rows that all stand several times are one candidate each; so is an id with several vectors."""
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(80)]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows for _ in range(times)], SCHEMA).repartition(3)
+    same(run(df, 20, success=1.0), brute(rows, 20))
+    ids = np.repeat(np.arange(1, 9), times)
+    x = np.array([[1.0, 0.1 * i + 1e-3 * j] for i in range(1, 9) for j in range(times)])
+    _, found, _ = exact_best(ids, x, np.array([0]), np.array([[1.0, 0.0]]), 5)
+    assert found.tolist() == [1, 2, 3, 4, 5]
+
+
 def test_fewer_candidates_than_asked(spark):
     rows = [(0, [1.0, 0.0]), (1, [-1.0, 0.1]), (2, [0.0, 1.0]), (3, [0.5, -1.0])]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA)
