@@ -9,6 +9,9 @@
     of the *rarest* lines, those that occur once on either side, and the gaps between them again.
 4.  Aligned runs of lines that hold a telling line are deleted from the later document. All
     documents are aligned as they came, so the order of the work does not matter.
+5.  With ``every_holder``, a telling line that is still there goes on to its other earlier holders,
+    in rounds of 1, 2, 4, … holders, until it is aligned with one or none is left. Documents of
+    equal lines count as one holder, and no pair is aligned twice.
 
 Order is by id. Defined results: null text is empty; documents without telling lines stay whole.
 Rows that repeat an id and a text are one document, and are treated alike; other texts of one id
@@ -21,12 +24,14 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.llm.words import Hasher, pieces, word_bounds
+from ledgerloom.operators.index import dense_index
 from ledgerloom.session import materialize
 
 LEAST_WORDS = 5
@@ -127,15 +132,29 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def document_pairs(lines: DataFrame) -> DataFrame:
-    """``source, doc``: every document with the first holders of its telling lines."""
-    telling = F.transform(
+def _telling() -> Column:
+    """The hashes of a row's telling lines."""
+    return F.transform(
         F.filter(F.arrays_zip("hashes", "telling"), lambda x: x["telling"]), lambda x: x["hashes"]
     )
-    held = lines.select(F.struct("doc_id", "k").alias("doc"), F.explode(F.array_distinct(telling)).alias("h"))
-    first = held.groupBy("h").agg(F.min("doc").alias("source"), F.count("*").alias("m"))
-    first = materialize(first.where("m > 1").drop("m"), "first-holders")
-    later = held.join(first, "h").where(F.col("doc") > F.col("source"))
+
+
+def _held(lines: DataFrame) -> DataFrame:
+    """``doc, h``: the telling lines of every row of ``lines``."""
+    return lines.select(
+        F.struct("doc_id", "k").alias("doc"), F.explode(F.array_distinct(_telling())).alias("h")
+    )
+
+
+def first_holders(lines: DataFrame) -> DataFrame:
+    """``h, source`` of the telling lines with several holders."""
+    first = _held(lines).groupBy("h").agg(F.min("doc").alias("source"), F.count("*").alias("m"))
+    return materialize(first.where("m > 1").drop("m"), "first-holders")
+
+
+def document_pairs(lines: DataFrame, first: DataFrame) -> DataFrame:
+    """``source, doc``: every document with the first holders of its telling lines."""
+    later = _held(lines).join(first, "h").where(F.col("doc") > F.col("source"))
     # A written table on one side and an exchange above let Spark split a hot line in the join.
     return later.select("source", "doc").repartition("source", "doc").distinct()
 
@@ -160,13 +179,75 @@ def _aligned_pairs(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return found.where(F.size("gone") > 0)
 
 
+def _left(lines: DataFrame, gone: DataFrame) -> DataFrame:
+    """``doc, h``: the telling lines that stand in a document at a place not yet deleted."""
+    of = gone.groupBy("doc_id", "k").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    kept = lines.join(of, ["doc_id", "k"], "left")
+    stays = F.transform(
+        F.col("telling"), lambda t, i: t & ~F.coalesce(F.array_contains("gone", i), F.lit(False))
+    )
+    return _held(kept.select("doc_id", "k", "hashes", stays.alias("telling")))
+
+
+def _other_holders(lines: DataFrame, first: DataFrame, pairs: DataFrame, gone: DataFrame) -> DataFrame:
+    """What goes besides ``gone`` once every telling line left has met all its earlier holders."""
+    left = _left(lines, gone).join(first, "h").where(F.col("doc") > F.col("source"))
+    left = materialize(left.select("doc", "h").distinct(), "lines-left")
+    if left.isEmpty():
+        return gone
+    one = lines.withColumn("doc", F.struct("doc_id", "k")).dropDuplicates(["doc"])
+    content = F.struct(F.xxhash64("hashes"), F.xxhash64(F.reverse("hashes"), F.size("hashes")))
+    # Where the first document of the same lines is not itself, that is aligned with all of it.
+    same = one.select(content.alias("c"), "doc")
+    same = same.join(same.groupBy("c").agg(F.min("doc").alias("source")), "c").select("source", "doc")
+    same = materialize(same, "equal-lines")
+    docs = left.select("doc").distinct()
+    copies = same.where(F.col("doc") > F.col("source")).join(docs, "doc", "left_semi")
+    of_copies = _aligned_pairs(copies.select("source", "doc"), lines)
+    found = [gone, materialize(of_copies, "aligned-copies")]
+
+    holders = same.where(F.col("doc") == F.col("source")).select("doc")
+    held = _held(one).join(left.select("h").distinct(), "h", "left_semi").join(holders, "doc", "left_semi")
+    held = materialize(dense_index(held.select("h", "doc"), ["h", "doc"], "at"), "line-holders")
+    start = held.groupBy("h").agg(F.min("at").alias("start"))
+    # A line's holders have consecutive numbers; those from ``start`` to ``at`` are earlier.
+    todo = held.join(left, ["h", "doc"], "left_semi").join(start, "h")
+    todo = materialize(todo.where(F.col("at") > F.col("start") + 1), "lines-to-pair")
+    docs = todo.select("doc").distinct()
+    open_lines = materialize(one.join(docs, "doc", "left_semi").select(*lines.columns), "open-lines")
+    tried = materialize(pairs.join(docs, "doc", "left_semi").select("source", "doc"), "pairs-tried")
+    low, step = 1, 1  # the first holder is behind
+    while not todo.isEmpty():
+        until = F.least(F.col("start") + low + step, F.col("at")) - 1
+        asked = todo.select("doc", F.explode(F.sequence(F.col("start") + low, until)).alias("at"))
+        source = held.select("at", F.col("doc").alias("source"))
+        new = asked.join(source, "at").select("source", "doc").distinct()
+        new = materialize(new.join(tried, ["source", "doc"], "left_anti"), "more-pairs")
+        found.append(materialize(_aligned_pairs(new, lines), "more-aligned-lines"))
+        tried = tried.unionByName(new)
+        low, step = low + step, 2 * step
+        still = _left(open_lines, reduce(DataFrame.unionByName, found).join(
+            open_lines.select("doc_id", "k"), ["doc_id", "k"], "left_semi"
+        ))
+        todo = todo.where(F.col("at") > F.col("start") + low).join(still, ["doc", "h"], "left_semi")
+        todo = materialize(todo, "lines-to-pair")
+    return reduce(DataFrame.unionByName, found)
+
+
 def remove_aligned_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    least_words: int = LEAST_WORDS,
+    every_holder: bool = False,
 ) -> DataFrame:
     """``doc_id, n_lines, n_removed, kept`` per row; ``kept`` is the text of the other lines."""
     lines = materialize(document_lines(docs, doc_id, text, least_words), "document-lines")
-    pairs = materialize(document_pairs(lines), "line-pairs")
+    first = first_holders(lines)
+    pairs = materialize(document_pairs(lines, first), "line-pairs")
     gone = materialize(_aligned_pairs(pairs, lines), "aligned-lines")
+    if every_holder:
+        gone = _other_holders(lines, first, pairs, gone)
     # A document's lines, at most once each however many sources they have.
     each = gone.select("doc_id", "k", F.explode("gone").alias("line")).distinct()
     of = each.groupBy("doc_id", "k").agg(F.collect_set("line").alias("gone"))

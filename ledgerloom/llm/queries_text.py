@@ -80,7 +80,7 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_line_dedup")
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = remove_aligned_lines(table(spark, folder, "documents"))
+    found = remove_aligned_lines(table(spark, folder, "documents"), every_holder=True)
     return found.select(
         "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )

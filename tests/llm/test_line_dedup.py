@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 from ledgerloom.llm import line_dedup as op
+from ledgerloom.llm.queries_text import line_dedup
 from tests.llm.conftest import ODD, words
 
 
@@ -38,6 +40,48 @@ def test_against_brute_force(spark):
     assert all(found[200 + i][1] > 0 for i in range(20) if any(len(x.split()) >= 5 for x in rows[i][1].split("\n")))
 
 
+def telling_left(rows, kept):
+    """Telling lines still kept in ``kept`` that some earlier document would have been aligned with."""
+    lines = {i: [strip(x) for x in t.split("\n")] for i, t in rows}
+    out = []
+    for i, t in rows:
+        telling = [len(x.split()) >= 5 for x in lines[i]]
+        gone = {j for s in lines if s < i for j in op.removed_lines(lines[s], lines[i], telling)}
+        still = Counter(strip(x) for x in kept[i].split("\n"))
+        whole = Counter(x for j, x in enumerate(lines[i]) if j not in gone)
+        out += [(i, x) for j, x in enumerate(lines[i]) if j in gone and telling[j] and still[x] > whole[x]]
+    return out
+
+
+def test_every_earlier_holder(spark):
+    """A line that does not align with its first holder goes on to the others."""
+    a, b, c = "a line of five words", "b line of five words", "c line of five words"
+    rows = [(1, f"{a}\n{b}\n{c}"), (2, f"{c}\n{b}\n{a}"), (3, f"{b}\n{a}\nx"), (4, f"{b}\n{a}\n{c}\ny")]
+    rows += [(10 + i, f"{a}\n{i} {a}\n{a}\n{i}") for i in range(9)] + [(30, f"{a}\nz\n{a}\n5")]
+    rng = random.Random(7)
+    pool = [" ".join(words(rng, rng.randrange(3, 9))) for _ in range(30)]
+    rows += [(100 + i, "\n".join(rng.choices(pool, k=rng.randrange(1, 15)))) for i in range(80)]
+    rows += [(200 + i, rows[20 + i][1]) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    first = {r.doc_id: r.kept for r in op.remove_aligned_lines(df).collect()}
+    found = {r.doc_id: r.kept for r in op.remove_aligned_lines(df, every_holder=True).collect()}
+    assert found[3] == "x"
+    assert telling_left(rows, first) and not telling_left(rows, found)
+    # Nothing goes that no earlier document shows, and exact copies go whole.
+    lines = {i: [strip(x) for x in t.split("\n")] for i, t in rows}
+    for i, t in rows:
+        removed = Counter(lines[i]) - Counter(found[i].split("\n"))
+        assert all(any(x in lines[s] for s in lines if s < i) for x in removed if x)
+    assert all(found[200 + i] == "" for i in range(10) if any(len(x.split()) >= 5 for x in lines[200 + i]))
+
+
+def test_query_meets_every_holder(spark, tmp_path):
+    a, b = "a line of five words", "b line of five words"
+    rows = [(1, f"{a}\n{b}"), (2, f"{b}\n{a}"), (3, f"{b}\n{a}\nx")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.n_removed for r in line_dedup(spark, str(tmp_path)).collect()}[3] == 2
+
+
 def test_alignment():
     for seed in range(300):
         rng = random.Random(seed)
