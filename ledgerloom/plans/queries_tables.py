@@ -722,10 +722,9 @@ def _(t):
     return dedup.remove_near_duplicates(found, 0.7).select("source", "title", "link")
 
 
-@query(
-    "q1_collection_job",
-    dedup_sql(
-        COLLECTED_SQL.replace("SELECT row_number() OVER (ORDER BY rank, page_id, pos) AS ord, source, title, link FROM (", "SELECT row_number() OVER (ORDER BY rank, page_id, pos) AS ord, source, title, link, rns_type, company_name FROM (")
+def collection_sql(collected: str) -> str:
+    return dedup_sql(
+        collected.replace("SELECT row_number() OVER (ORDER BY rank, page_id, pos) AS ord, source, title, link FROM (", "SELECT row_number() OVER (ORDER BY rank, page_id, pos) AS ord, source, title, link, rns_type, company_name FROM (")
         .replace("page_id, pos, source, title, link FROM", "page_id, pos, source, title, link, rns_type, company_name FROM"),
         """, u AS (SELECT * FROM base WHERE ord IN (SELECT ord FROM k))
            SELECT 'before' AS stat, '' AS key, count(*) AS n FROM base
@@ -736,13 +735,39 @@ def _(t):
            UNION ALL SELECT * FROM (SELECT 'company', company_name, count(*) AS n FROM u WHERE company_name <> ''
                                     GROUP BY 2 ORDER BY n DESC, 2 LIMIT 10)
            UNION ALL SELECT 'stored', '', count(*) FROM u""",
-    ),
+    )
+
+
+WHOLE_COLLECTED_SQL = f"""SELECT row_number() OVER (ORDER BY rank, page_id, pos) AS ord, source, title, link FROM (
+    SELECT 0 AS rank, page_id, pos, source, title, link FROM ({X.record_sql(X.INVESTEGATE, X.NEWS_SQL, X.PREFIX_SQL, None)})
+    UNION ALL SELECT 1, page_id, pos, source, title, link FROM ({X.record_sql(X.LSE, X.LSE_SQL, X.join_sql(X.LSE.site), None)})
+    UNION ALL SELECT 3, page_id, pos, source, title, link FROM ({X.record_sql(X.SHARECAST, X.SHARECAST_SQL, X.join_sql(X.SHARECAST.site), None)}))"""
+
+
+@query(
+    "q1_w3_unique_announcements_whole",
+    dedup_sql(WHOLE_COLLECTED_SQL, "SELECT source, title, link FROM base WHERE ord IN (SELECT ord FROM k)"),
 )
 def _(t):
+    found = materialize(extract.collect_sources(X.all_branches(t, None)), "found")
+    return dedup.remove_near_duplicates(found, 0.7).select("source", "title", "link")
+
+
+@query("q1_collection_job", collection_sql(COLLECTED_SQL))
+def _(t):
+    return collection_job(t, 50)
+
+
+@query("q1_collection_job_whole", collection_sql(WHOLE_COLLECTED_SQL))
+def _(t):
+    return collection_job(t, None)
+
+
+def collection_job(t: Tables, limit: int | None) -> DataFrame:
     """The collection job from pages to files: what its summary counts, and what it stored."""
     pages = {"investegate": X.news_pages(t), "lse": X.lse_pages(t), "sharecast": X.sharecast_pages(t)}
     run = jobs.collect_announcements(
-        pages, scratch_path(t.spark, "runs"), limit=50, scraped_at=F.lit(X.STAMP)
+        pages, scratch_path(t.spark, "runs"), limit=limit, scraped_at=F.lit(X.STAMP)
     )
     counts = run.counts.unpivot([], ["before", "after", "removed"], "stat", "n")
     parts = [
@@ -957,6 +982,21 @@ def _(t):
     )
 
 
+@query(
+    "s13_feed_announcements_whole",
+    f"""SELECT file, pos, {S.clean('title')} AS title, {S.clean('summary')} AS summary, link, category, guid,
+          {S.ticker(S.clean('title'))} AS ticker, {S.company(S.clean('title'))} AS company_name,
+          {S.classify(S.clean('title') + " || ' ' || " + S.clean('summary'))} AS rns_type
+        FROM ({FEED_SQL})""",
+)
+def _(t):
+    entries = records.read_feed(t.spark, landed_feed(t), limit=None)
+    found = extract.announcements_from_feed(entries, F.lit(X.STAMP))
+    return found.select(
+        "file", "pos", "title", "summary", "link", "category", "guid", "ticker", "company_name", "rns_type"
+    )
+
+
 @query(
     "k1_announcement_sink",
     f"SELECT title, ticker, company_name, rns_type, source FROM ({ANNOUNCED_SQL})",

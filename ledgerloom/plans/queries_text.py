@@ -310,7 +310,7 @@ def news_pages(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.concat(shape, "html").alias("html"))
 
 
-def cascade_sql(source: extract.PageSource, base: str, limit: int) -> str:
+def cascade_sql(source: extract.PageSource, base: str, limit: int | None) -> str:
     options = "is" if "s" in source.flags else "i"
     lists = [
         S.pattern_links(
@@ -321,14 +321,15 @@ def cascade_sql(source: extract.PageSource, base: str, limit: int) -> str:
         for p in source.patterns
     ]
     if source.any_link:
+        scan, cut = (None, "") if limit is None else (2 * limit, f"[1:{limit}]")
         lists.append(
-            f"""({S.pattern_links(source.any_link.regex, 'c', 2, None, 2 * limit,
-                                  S.announcement_like)})[1:{limit}]"""
+            f"""({S.pattern_links(source.any_link.regex, 'c', 2, None, scan,
+                                  S.announcement_like)}){cut}"""
         )
     return S.per_page(lists, base)
 
 
-def record_sql(source: extract.PageSource, base: str, link: str, limit: int) -> str:
+def record_sql(source: extract.PageSource, base: str, link: str, limit: int | None) -> str:
     return f"""SELECT page_id, pos, title, {link} AS link,
         CASE WHEN published <> '' THEN published ELSE '{STAMP}' END AS published, '' AS summary,
         '{source.category}' AS category, '{source.author}' AS author, {link} AS guid,
@@ -416,6 +417,22 @@ def announcement_types(t):
     )
 
 
+# Over all links of a page; the rows above test the argument.
+@query("s10_p11_announcements_whole", record_sql(INVESTEGATE, NEWS_SQL, PREFIX_SQL, None))
+def _(t):
+    return extract.announcements_from_pages(news_pages(t), INVESTEGATE, scraped_at=F.lit(STAMP))
+
+
+@query("s11_announcements_whole", record_sql(LSE, LSE_SQL, join_sql(LSE.site), None))
+def _(t):
+    return extract.announcements_from_pages(lse_pages(t), LSE, scraped_at=F.lit(STAMP))
+
+
+@query("s12_announcements_whole", record_sql(SHARECAST, SHARECAST_SQL, join_sql(SHARECAST.site), None))
+def _(t):
+    return extract.announcements_from_pages(sharecast_pages(t), SHARECAST, scraped_at=F.lit(STAMP))
+
+
 UNION_SQL = " UNION ALL ".join(
     f"SELECT source, title, link FROM ({q})"
     for q in (
@@ -426,12 +443,22 @@ UNION_SQL = " UNION ALL ".join(
 )
 
 
-def all_branches(t: Tables) -> dict[str, DataFrame]:
+WHOLE_UNION_SQL = " UNION ALL ".join(
+    f"SELECT source, title, link FROM ({q})"
+    for q in (
+        record_sql(INVESTEGATE, NEWS_SQL, PREFIX_SQL, None),
+        record_sql(LSE, LSE_SQL, join_sql(LSE.site), None),
+        record_sql(SHARECAST, SHARECAST_SQL, join_sql(SHARECAST.site), None),
+    )
+)
+
+
+def all_branches(t: Tables, limit: int | None = 50) -> dict[str, DataFrame]:
     stamp = F.lit(STAMP)
     return {
-        "investegate": extract.announcements_from_pages(news_pages(t), INVESTEGATE, 50, scraped_at=stamp),
-        "lse": extract.announcements_from_pages(lse_pages(t), LSE, 50, scraped_at=stamp),
-        "sharecast": extract.announcements_from_pages(sharecast_pages(t), SHARECAST, 50, scraped_at=stamp),
+        "investegate": extract.announcements_from_pages(news_pages(t), INVESTEGATE, limit, scraped_at=stamp),
+        "lse": extract.announcements_from_pages(lse_pages(t), LSE, limit, scraped_at=stamp),
+        "sharecast": extract.announcements_from_pages(sharecast_pages(t), SHARECAST, limit, scraped_at=stamp),
     }
 
 
@@ -440,6 +467,11 @@ def _(t):
     return extract.collect_sources(all_branches(t)).select("source", "title", "link")
 
 
+@query("u1_union_sources_whole", WHOLE_UNION_SQL)
+def _(t):
+    return extract.collect_sources(all_branches(t, None)).select("source", "title", "link")
+
+
 @query("p10_selected_sources", f"SELECT * FROM ({UNION_SQL}) WHERE source <> '{LSE.name}'")
 def _(t):
     chosen = extract.collect_sources(all_branches(t), ("investegate", "sharecast"))

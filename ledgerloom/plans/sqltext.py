@@ -90,13 +90,13 @@ def non_blank(x: str) -> str:
     return f"({strip(f'coalesce({x}, {EMPTY})')} <> '')"
 
 
-def pattern_links(regex: str, options: str, title: int, published: int | None, limit: int, keep) -> str:
+def pattern_links(regex: str, options: str, title: int, published: int | None, limit: int | None, keep) -> str:
     """A list of link structs of one pattern over ``html``, filtered by ``keep``."""
     q = regex.replace("'", "''")
     group = lambda g: f"regexp_extract_all(html, '{q}', {g}, '{options}')"
     date = f"({group(published)})[i]" if published else "''"
     item = f"{{'link': ({group(1)})[i], 'title': {clean(f'({group(title)})[i]')}, 'published': {date}}}"
-    n = f"least(len({group(1)}), {limit})"
+    n = f"len({group(1)})" if limit is None else f"least(len({group(1)}), {limit})"
     return f"list_filter(list_transform(range(1, {n} + 1), lambda i: {item}), lambda m: {keep('m.title')})"
 
 

@@ -43,6 +43,18 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(__spark_entry__.queries())
 
 
+def test_whole_feeds_and_pages(spark, duck):
+    """No entry of a long feed file is left out, and every capped row has its whole form."""
+    customers = duck.execute("SELECT count(*) FROM customer").fetchone()[0]
+    assert QUERIES["s13_feed_announcements_whole"](spark, FOLDER).count() == customers
+    assert QUERIES["s13_feed_announcements"](spark, FOLDER).count() < customers
+    for name in (
+        "s10_p11_announcements s11_announcements s12_announcements u1_union_sources "
+        "q1_w3_unique_announcements q1_collection_job"
+    ).split():
+        assert "least(" in ORACLES[name] and "least(" not in ORACLES[f"{name}_whole"]
+
+
 def test_entry(spark):
     df = __spark_entry__.entry(spark)
     assert df.count() > 0 and df.schema == __spark_entry__.entry(spark).schema
