@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions import dates, text as T
 from ledgerloom.operators import clean, dedup, extract, index, lookup, profile, relations
@@ -1120,6 +1120,97 @@ def _(t):
     )
 
 
+EDA_ROWS_SQL = f"SELECT *, source AS summary, 'x' AS author, CAST(published AS TIMESTAMP) AS ts FROM ({RECORDS_SQL})"
+
+
+def eda_common_sql(stat: str, value: str) -> str:
+    return f"""SELECT '{stat}', v, CAST(n AS DOUBLE) FROM (SELECT {value} AS v, count(*) AS n, min(doc_id) AS o
+      FROM r WHERE {value} IS NOT NULL GROUP BY 1 ORDER BY n DESC, o LIMIT 10)"""
+
+
+EDA_COMPLETE_SQL = "count(*) FILTER (title <> '' AND published <> '' AND link <> '')"
+EDA_SQL = f"""WITH r AS MATERIALIZED ({EDA_ROWS_SQL}),
+    p AS MATERIALIZED ({field_sql('r', profile.PROFILE_FIELDS, 'doc_id')}),
+    t AS MATERIALIZED (SELECT length(title) AS l FROM r WHERE {S.non_blank('title')}),
+    u AS MATERIALIZED (SELECT length(summary) AS l FROM r WHERE {S.non_blank('summary')}),
+    th AS ({histogram_sql('l', 't', 20)}), uh AS ({histogram_sql('l', 'u', 20)}),
+    f AS (SELECT * FROM r ORDER BY doc_id LIMIT 5)
+  SELECT 'rows' AS stat, '' AS key, CAST(count(*) AS DOUBLE) AS value FROM r
+  UNION ALL SELECT 'parse_rate', 'parsed', count(ts) FROM r
+  UNION ALL SELECT 'parse_rate', 'total', count(*) FROM r
+  UNION ALL SELECT 'parse_rate', 'rate', count(ts) / count(*) FROM r
+  UNION ALL SELECT 'date_range', strftime(min(ts), '%Y-%m-%d') || ' ' || strftime(max(ts), '%Y-%m-%d'),
+    date_diff('day', min(ts), max(ts)) FROM r
+  UNION ALL SELECT 'formats', '%Y-%m-%d', count(ts) FROM r HAVING count(ts) > 0
+  UNION ALL SELECT 'per_date', strftime(ts, '%Y-%m-%d'), count(*) FROM r WHERE ts IS NOT NULL GROUP BY 2
+  UNION ALL SELECT 'per_hour', CAST(hour(ts) AS VARCHAR), count(*) FROM r WHERE ts IS NOT NULL GROUP BY 2
+  UNION ALL SELECT 'fields', field || ' total ' || sample, total FROM p
+  UNION ALL SELECT 'fields', field || ' non_empty', non_empty FROM p
+  UNION ALL SELECT 'fields', field || ' fill_rate', fill_rate FROM p
+  UNION ALL SELECT 'fields', field || ' avg_length', avg_length FROM p
+  UNION ALL SELECT 'title_lengths', bin || ' n', n FROM th
+  UNION ALL SELECT 'title_lengths', bin || ' lo', lo FROM th
+  UNION ALL SELECT 'title_lengths', bin || ' hi', hi FROM th
+  UNION ALL SELECT 'summary_lengths', bin || ' n', n FROM uh
+  UNION ALL SELECT 'summary_lengths', bin || ' lo', lo FROM uh
+  UNION ALL SELECT 'summary_lengths', bin || ' hi', hi FROM uh
+  UNION ALL {eda_common_sql('categories', "coalesce(category, 'Unknown')")}
+  UNION ALL SELECT 'samples', concat_ws('|', coalesce(title, 'N/A'), coalesce(category, 'N/A'), coalesce(published, 'N/A'),
+    coalesce(source, 'N/A'), CASE WHEN length(summary) > 200 THEN substr(summary, 1, 200) || '...' WHEN summary <> '' THEN summary END,
+    CASE WHEN link <> '' THEN link END), 1 FROM f
+  UNION ALL SELECT 'sources', coalesce(source, 'unknown') || ' n', count(*) FROM r GROUP BY 2
+  UNION ALL SELECT 'sources', coalesce(source, 'unknown') || ' pct', 100 * count(*) / (SELECT count(*) FROM r) FROM r GROUP BY 2
+  UNION ALL {eda_common_sql('authors', "author")}
+  UNION ALL {eda_common_sql('domains', S.domain('link'))}
+  UNION ALL SELECT 'completeness', 'total', count(*) FROM r
+  UNION ALL SELECT 'completeness', 'complete', {EDA_COMPLETE_SQL} FROM r
+  UNION ALL SELECT 'completeness', 'completeness', {EDA_COMPLETE_SQL} / count(*) FROM r
+  UNION ALL SELECT 'completeness', 'categorization_rate', count(*) FILTER ({S.non_blank('category')}) / count(*) FROM r
+  UNION ALL SELECT 'completeness', 'suitable', CAST({EDA_COMPLETE_SQL} / count(*) > 0.8 AS INTEGER) FROM r"""
+
+
+@query("q2_announcement_eda_job", EDA_SQL)
+def _(t):
+    """All fifteen statistics of the job in long form."""
+    rows = document_records(t).select(
+        F.col("doc_id").alias("ord"), "title", "published", "link", "category", "source",
+        F.col("source").alias("summary"), F.lit("x").alias("author"),
+    )
+    eda = jobs.announcement_eda(rows)
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    shown = [F.col(c) for c in ("title", "category", "published", "source", "summary", "link")]
+    span = F.concat(day("first"), F.lit(" "), day("last"))
+
+    def long(stat: str, key: Column, value: Column) -> DataFrame:
+        return eda[stat].select(F.lit(stat).alias("stat"), key.alias("key"), value.cast("double").alias("value"))
+
+    def wide(stat: str, of: str | None, *names: str) -> list[DataFrame]:
+        key = lambda c: F.lit(c) if of is None else F.concat(F.col(of).cast("string"), F.lit(f" {c}"))
+        return [long(stat, key(c), F.col(c)) for c in names]
+
+    n = F.col("n")
+    parts = [
+        long("rows", F.lit(""), n),
+        *wide("parse_rate", None, "parsed", "total", "rate"),
+        long("date_range", span, F.col("span_days")),
+        long("formats", F.col("fmt"), n),
+        long("per_date", day("date"), n),
+        long("per_hour", F.col("hour").cast("string"), n),
+        long("fields", F.concat("field", F.lit(" total "), "sample"), F.col("total")),
+        *wide("fields", "field", "non_empty", "fill_rate", "avg_length"),
+        *wide("title_lengths", "bin", "n", "lo", "hi"),
+        *wide("summary_lengths", "bin", "n", "lo", "hi"),
+        long("categories", F.col("category"), n),
+        long("samples", F.concat_ws("|", *shown), F.lit(1)),
+        *wide("sources", "source", "n", "pct"),
+        long("authors", F.col("author"), n),
+        long("domains", F.col("domain"), n),
+        *wide("completeness", None, "total", "complete", "completeness", "categorization_rate"),
+        long("completeness", F.lit("suitable"), F.col("suitable").cast("int")),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 @query(
     "f11_f12_run_stamps",
     """SELECT event_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS midnight,

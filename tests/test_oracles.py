@@ -55,6 +55,15 @@ def test_whole_feeds_and_pages(spark, duck):
         assert "least(" in ORACLES[name] and "least(" not in ORACLES[f"{name}_whole"]
 
 
+def test_eda_job_is_whole(spark):
+    """Every frame of the job is in the query, and every domain of the small table."""
+    frames = "rows parse_rate date_range formats per_date per_hour fields title_lengths summary_lengths categories"
+    frames += " samples sources authors domains completeness"
+    found = QUERIES["q2_announcement_eda_job"](spark, FOLDER).collect()
+    assert {r.stat for r in found} == set(frames.split())
+    assert sum(r.stat == "domains" for r in found) > 1
+
+
 def test_entry(spark):
     df = __spark_entry__.entry(spark)
     assert df.count() > 0 and df.schema == __spark_entry__.entry(spark).schema
