@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.llm import bpe_words
 from ledgerloom.llm.bpe import round_trip, token_digests
 from ledgerloom.llm.jaccard_join import similarity_classes
 from ledgerloom.llm.line_dedup import remove_aligned_lines
@@ -14,6 +15,7 @@ from ledgerloom.llm.registry import query, table
 from ledgerloom.llm.suffix_dedup import remove_repeats
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+WORDS = "word_bpe_49k.json"
 
 
 @query("op1_quality_classifier")
@@ -27,6 +29,12 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(round_trip(documents, public_tokenizers.path(RANKS)))
 
 
+@query("op13_word_bpe")
+def word_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return bpe_words.token_digests(bpe_words.round_trip(documents, public_tokenizers.path(WORDS)))
+
+
 @query("op10_source_mixing")
 def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix_sources(table(spark, folder, "documents"))
