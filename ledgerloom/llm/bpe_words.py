@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+import uuid
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -33,11 +34,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.words import pieces
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 LONGEST_CACHED = 64  # characters
 WORD_END = "</w>"
-_ID_BITS = 24
-_PLACE_BITS = 40
 
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -111,7 +110,7 @@ def load_vocabulary(path: str) -> Vocabulary:
         tokens[i] = token
     pairs = {}
     for rank, (a, b) in enumerate(whole["model"]["merges"]):
-        pairs[ids[a] << _ID_BITS | ids[b]] = rank << _ID_BITS | ids[a + b]
+        pairs[ids[a] << 24 | ids[b]] = rank << 24 | ids[a + b]
     letters = byte_letters()
     return Vocabulary(
         tokens, [ids[c] for c in letters], [ids[c + WORD_END] for c in letters], pairs, special
@@ -121,42 +120,40 @@ def load_vocabulary(path: str) -> Vocabulary:
 def merge(word: bytes, words: Vocabulary) -> array:
     """The ids of one word: of its adjacent pairs the one of lowest rank merges, leftmost of ties."""
     n = len(word)
-    inner, pairs = words.inner, words.pairs
+    inner, pair = words.inner, words.pairs.get
     symbol = [inner[b] for b in word]
     symbol[-1] = words.final[word[-1]]
     if n == 1:
         return array("i", symbol)
-    left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-    if n > LONGEST_CACHED:
-        symbol, left, right = array("i", symbol), array("q", left), array("q", right)
-    heap = []  # rank, place of the left symbol
+    heap = []  # rank and merged id of a pair, then the place of its left symbol
     for i in range(n - 1):
-        found = pairs.get(symbol[i] << _ID_BITS | symbol[i + 1])
+        found = pair(symbol[i] << 24 | symbol[i + 1])
         if found is not None:
-            heap.append(found >> _ID_BITS << _PLACE_BITS | i)
+            heap.append(found << 40 | i)
     heapify(heap)
-    low_ids, low_places = (1 << _ID_BITS) - 1, (1 << _PLACE_BITS) - 1
+    left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+    if n > LONGEST_CACHED:
+        symbol, left, right = array("i", symbol), array("q", left), array("q", right)
     while heap:
-        rank_at = heappop(heap)
-        i = rank_at & low_places
+        entry = heappop(heap)
+        i = entry & 0xFFFFFFFFFF
         j = right[i]
-        if symbol[i] < 0 or j >= n:
-            continue  # stale: merged into its neighbour, or the last one now
-        found = pairs.get(symbol[i] << _ID_BITS | symbol[j])
-        if found is None or found >> _ID_BITS != rank_at >> _PLACE_BITS:
-            continue  # stale: one of the two has grown
-        symbol[i], symbol[j] = found & low_ids, -1
+        # Stale: merged into its neighbour, the last one now, or one of the two has grown.
+        if symbol[i] < 0 or j >= n or pair(symbol[i] << 24 | symbol[j]) != entry >> 40:
+            continue
+        symbol[i] = merged = entry >> 40 & 0xFFFFFF
+        symbol[j] = -1
         after = right[i] = right[j]
         if after < n:
             left[after] = i
-            found = pairs.get(symbol[i] << _ID_BITS | symbol[after])
+            found = pair(merged << 24 | symbol[after])
             if found is not None:
-                heappush(heap, found >> _ID_BITS << _PLACE_BITS | i)
+                heappush(heap, found << 40 | i)
         before = left[i]
         if before >= 0:
-            found = pairs.get(symbol[before] << _ID_BITS | symbol[i])
+            found = pair(symbol[before] << 24 | merged)
             if found is not None:
-                heappush(heap, found >> _ID_BITS << _PLACE_BITS | before)
+                heappush(heap, found << 40 | before)
     return array("i", [s for s in symbol if s >= 0])
 
 
@@ -219,6 +216,17 @@ class Encoder:
         return b"".join(out)
 
 
+_encoders: dict[object, Encoder] = {}
+
+
+def _encoder(key: object, held, most_words: int) -> Encoder:
+    """This Python process's encoder: tasks that run in it one after another share its cache."""
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(Vocabulary(*held.value), most_words)
+    return _encoders[key]
+
+
 def decode(ids: list[int], tokens: list[str]) -> str:
     return " ".join(map(tokens.__getitem__, ids))
 
@@ -266,16 +274,17 @@ def round_trip(
 
 def _run(docs, vocabulary_file, doc_id, text, most_words, decoded) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(tuple(load_vocabulary(vocabulary_file)))
+    key = (uuid.uuid4().hex, most_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(*held.value)
-        encoder = Encoder(words, most_words)
+        encoder = _encoder(key, held, most_words)
+        tokens = encoder.cache.words.tokens
         for batch in batches:
             for begin, end, texts in _texts(batch.column(1)):
                 columns = _coded(batch.column(0).slice(begin, end - begin), list(map(encoder.encode, texts)))
                 if decoded:
                     ids, at = columns[1].values.to_pylist(), columns[1].offsets.to_pylist()
-                    columns.append(pa.array([decode(ids[a:b], words.tokens) for a, b in zip(at, at[1:])], pa.string()))
+                    columns.append(pa.array([decode(ids[a:b], tokens) for a, b in zip(at, at[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "packed", "decoded"][: len(columns)])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
