@@ -250,9 +250,7 @@ def _nodes(prefixes: DataFrame) -> tuple[DataFrame, bool]:
 
 def _turns_agree(stored: DataFrame) -> bool:
     """Whether stored turns that share a key have equal role and text."""
-    shared = stored.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2")
-    texts = stored.join(shared, ["k1", "k2"], "left_semi").groupBy("k1", "k2")
-    spread = texts.agg(*[f(c).alias(f"{n}_{c}") for c in ("role", "text") for n, f in (("low", F.min), ("high", F.max))])
+    spread = stored.groupBy("k1", "k2").agg(*[f(c).alias(f"{n}_{c}") for c in ("role", "text") for n, f in (("low", F.min), ("high", F.max))])
     return spread.where("low_role != high_role OR low_text != high_text").isEmpty()
 
 
