@@ -112,7 +112,7 @@ def document_lines(docs: DataFrame, doc_id: str, text: str, least_words: int) ->
                 hashes = np.zeros(len(begin), np.uint64)
                 some = high > low
                 left, right = starts[low[some]], ends[high[some] - 1]
-                hashes[some] = (sums[right] - sums[left]) * hasher.inverse[left] | np.uint64(1)
+                hashes[some] = hasher.spans(sums, left, right) | np.uint64(1)
                 at = pa.array(first.astype(np.int32))
                 ids = [c.slice(piece.begin, piece.end - piece.begin) for c in batch.columns[:2]]
                 lists = [pa.array(hashes.view(np.int64)), pa.array(high - low >= least_words)]

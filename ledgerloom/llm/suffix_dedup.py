@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.words import Hasher, mix, pieces
+from ledgerloom.llm.words import Hasher, Rolling, pieces
 from ledgerloom.session import materialize
 
 LENGTH = 400
@@ -57,7 +57,7 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def cut_pieces(
-    data: np.ndarray, offsets: np.ndarray, hasher: Hasher, length: int, anchor: int
+    data: np.ndarray, offsets: np.ndarray, hasher: Hasher, rolling: Rolling, length: int, anchor: int
 ) -> tuple[np.ndarray, ...]:
     """``start, n, offset, value, content`` of all pieces: the first window's byte, the number of
     windows, the anchor's distance from the start, and the hashes of anchor and piece."""
@@ -72,9 +72,8 @@ def cut_pieces(
         inside = starts + low + length <= next_text
         if not inside.any():
             continue
-        sums = hasher.prefix_sums(part)
-        inverse = hasher.inverse
-        hashes = mix((sums[anchor:] - sums[:-anchor]) * inverse[: n - anchor + 1])
+        # Unequal anchors with one hash are only compared in vain.
+        hashes = rolling.strings(part, anchor)
         # The place in the low bits makes the least the leftmost of equal hashes.
         mask = np.uint64((1 << _PLACE_BITS) - 1)
         packed = (hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)
@@ -86,7 +85,7 @@ def cut_pieces(
         count = np.diff(np.concatenate((begins, [len(starts)])))
         first, place = starts[begins], at[begins]
         end = first + count + length - 1
-        content = mix((sums[end] - sums[first]) * inverse[first] + count.astype(np.uint64))
+        content = hasher.spans(hasher.prefix_sums(part), first, end)
         out.append((first + low, count, place - first, hashes[place], content))
     if not out:
         nothing = np.zeros(0, np.int64)
@@ -159,7 +158,7 @@ def text_pieces(rows: DataFrame, length: int, anchor: int) -> DataFrame:
     within their text; ``times`` is 2 for a class that stands for such."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = Hasher(), {}
+        hasher, rolling, seen = Hasher(), Rolling(), {}
         names = [c.split()[0] for c in _PIECES.split(", ")]
         for batch in batches:
             keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
@@ -168,7 +167,7 @@ def text_pieces(rows: DataFrame, length: int, anchor: int) -> DataFrame:
                 for i in range(piece.begin, piece.end):
                     times = seen[keys[i]] = seen.get(keys[i], 0) + 1
                     wanted[i - piece.begin] = times <= 2
-                found = cut_pieces(piece.data, piece.offsets, hasher, length, anchor)
+                found = cut_pieces(piece.data, piece.offsets, hasher, rolling, length, anchor)
                 start, n, offset, value, content = found
                 text = np.searchsorted(piece.offsets, start, "right") - 1
                 keep = wanted[text]
@@ -294,7 +293,7 @@ def _by_hash(strings: DataFrame, length: int) -> DataFrame:
                 data = np.frombuffer(batch.column(4)[i].as_py(), np.uint8)
                 n = len(data) - length + 1
                 sums = hasher.prefix_sums(data)
-                window = mix((sums[length:] - sums[:-length]) * hasher.inverse[:n])
+                window = hasher.spans(sums, np.arange(n), np.arange(n) + length)
                 fields = [pa.array(np.full(n, batch.column(c)[i].as_py())) for c in (0, 1, 2)]
                 place = np.arange(n)
                 yield pa.RecordBatch.from_arrays(

@@ -74,35 +74,107 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class Hasher:
-    """64-bit hashes of byte ranges and of word sequences; equal in every task."""
+class Rolling:
+    """Fast hashes of all strings of one width, modulo 2^64: to choose and to group, not to tell
+    whether strings are equal."""
 
     def __init__(self) -> None:
         draw = np.random.default_rng(_SEED)
         self.values = draw.integers(1, 2**64, 256, dtype=np.uint64)
         self.base = int(draw.integers(2**40, 2**63)) | 1
-        self.factors = draw.integers(1, 2**64, 64, dtype=np.uint64) | np.uint64(1)
         self.power = self.inverse = np.ones(0, np.uint64)
 
-    def _grow(self, n: int) -> None:
-        if n > len(self.power):
-            n = max(n, 2 * len(self.power), 1 << 16)
+    def strings(self, data: np.ndarray, width: int) -> np.ndarray:
+        if len(data) >= len(self.power):
+            n = max(len(data) + 1, 2 * len(self.power), 1 << 16)
             for name, base in (("power", self.base), ("inverse", pow(self.base, -1, 2**64))):
                 steps = np.full(n, base, np.uint64)
                 steps[0] = 1
                 setattr(self, name, np.cumprod(steps))
-
-    def prefix_sums(self, data: np.ndarray) -> np.ndarray:
-        """``sums[e] - sums[s]`` times ``inverse[s]`` identifies ``data[s:e]``."""
-        self._grow(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.values[data] * self.power[: len(data)], out=sums[1:])
-        return sums
+        return mix((sums[width:] - sums[:-width]) * self.inverse[: len(data) - width + 1])
+
+
+PRIME = (1 << 61) - 1
+_SEGMENT = 1 << 22
+_U = np.uint64
+
+
+def _modulo(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo ``PRIME``."""
+    x = (x & _U(PRIME)) + (x >> _U(61))
+    return np.where(x >= _U(PRIME), x - _U(PRIME), x)
+
+
+def times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``x * y`` modulo ``PRIME`` of numbers below it."""
+    x_high, x_low = x >> _U(31), x & _U((1 << 31) - 1)
+    y_high, y_low = y >> _U(31), y & _U((1 << 31) - 1)
+    middle = x_high * y_low + x_low * y_high
+    low = x_low * y_low + ((middle & _U((1 << 30) - 1)) << _U(31))
+    return _modulo(_modulo(low) + (x_high * y_high << _U(1)) + (middle >> _U(30)))
+
+
+class Sums(NamedTuple):
+    """Prefix sums of a polynomial, in two halves of its powers' bits."""
+
+    low: np.ndarray
+    high: np.ndarray
+
+    def at(self, i: np.ndarray) -> np.ndarray:
+        high = _modulo(self.high[i])
+        shifted = (high >> _U(29)) + ((high & _U((1 << 29) - 1)) << _U(32))
+        return _modulo(_modulo(shifted) + _modulo(self.low[i]))
+
+
+class Hasher:
+    """64-bit hashes of byte ranges and of word sequences; equal in every task.
+
+    Ranges are hashed by a polynomial modulo the prime 2^61 - 1: modulo 2^64 there are texts, such as
+    the Thue-Morse word and its complement, that differ and agree for every odd base.
+    """
+
+    def __init__(self) -> None:
+        draw = np.random.default_rng(_SEED)
+        self.base = int(draw.integers(2**40, PRIME))
+        self.factors = draw.integers(1, 2**64, 64, dtype=np.uint64) | np.uint64(1)
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if n <= len(self.power):
+            return
+        n = max(n, 2 * len(self.power), 1 << 16)
+        for name, base in (("power", self.base), ("inverse", pow(self.base, -1, PRIME))):
+            known = getattr(self, name)
+            while len(known) < n:
+                step = np.full(len(known), pow(base, len(known), PRIME), np.uint64)
+                known = np.concatenate((known, times(known, step)))
+            setattr(self, name, known[:n].copy())
+
+    def prefix_sums(self, data: np.ndarray) -> Sums:
+        """What ``spans`` needs to hash ranges of ``data``."""
+        n = len(data)
+        self._grow(n + 1)
+        halves = []
+        for part in (self.power[:n] & _U(0xFFFFFFFF), self.power[:n] >> _U(32)):
+            sums = np.zeros(n + 1, np.uint64)
+            for low in range(0, n, _SEGMENT):  # reduced now and then, so that sums stay below 2^64
+                here = slice(low, low + _SEGMENT)
+                sums[low + 1 : low + 1 + _SEGMENT] = np.cumsum((data[here] + _U(1)) * part[here])
+                if low:
+                    sums[low + 1 : low + 1 + _SEGMENT] += _modulo(sums[low : low + 1])
+            halves.append(sums)
+        return Sums(*halves)
+
+    def spans(self, sums: Sums, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of ``data[start:end]``; ranges of zeros of different lengths differ too."""
+        difference = _modulo(sums.at(ends) + _U(PRIME) - sums.at(starts))
+        return mix(times(difference, self.inverse[starts]))
 
     def ranges(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hashes of ``data[start:end]``, all non-empty: a polynomial by prefix sums, mod 2^64."""
-        sums = self.prefix_sums(data)
-        return mix((sums[ends] - sums[starts]) * self.inverse[starts])
+        """Hashes of ``data[start:end]``, all non-empty."""
+        return self.spans(self.prefix_sums(data), starts, ends)
 
     def windows(self, words: np.ndarray, width: int) -> np.ndarray:
         """Hashes of all runs of ``width`` consecutive word hashes."""
