@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.graph import components
 from ledgerloom.llm.words import Hasher, mix, pieces
+from ledgerloom.operators.index import dense_index
 from ledgerloom.session import materialize
 
 WIDTH = 4
@@ -412,7 +413,69 @@ def similarity_classes(
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``: two documents link when their sets
     of ``width``-word shingles have a Jaccard ratio of at least ``least`` percent."""
-    rows, sketch = signatures(docs, doc_id, text, width)
+    signed = signatures(docs, doc_id, text, width)
+    rows = signed[0]
+    several = rows.where("doc_id IS NOT NULL").groupBy("doc_id")
+    sets = F.struct("n", "hi", "lo")
+    several = several.agg(F.min(sets).alias("least"), F.max(sets).alias("most")).where("least != most")
+    several = materialize(several.select("doc_id"), "ids-of-several-sets")
+    how = (width, least, block_rows)
+    if several.isEmpty():
+        return _classes(docs, doc_id, text, signed, *how)
+    return _classes_of_texts(docs, doc_id, text, rows, several, *how)
+
+
+def _classes_of_texts(
+    docs: DataFrame, doc_id: str, text: str, rows: DataFrame, several: DataFrame, *how: int
+) -> DataFrame:
+    """The same where ids stand on different texts: each such text gets an unused id of its own, and
+    afterwards the components of one id's texts are one."""
+    marks = ["id", "t1", "t2"]
+    content = F.coalesce(F.col(text), F.lit(""))
+    own = docs.select(
+        F.col(doc_id).cast("long").alias("id"),
+        F.xxhash64(content).alias("t1"),
+        F.xxhash64(F.octet_length(content), content).alias("t2"),
+        F.col(text).alias("text"),
+    )
+    texts = own.join(several.withColumnRenamed("doc_id", "id"), "id", "left_semi").select(*marks).distinct()
+    texts = dense_index(texts, marks, "at")
+    low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    room = high < 2**62
+    new = (F.lit(high) + 1 + F.col("at")) if room else (F.lit(low) - 1 - F.col("at"))
+    texts = materialize(texts.select(*marks, new.alias("node")), "texts-of-ids")
+    named = own.join(texts, marks, "left").select(F.coalesce("node", "id").alias("node"), "text")
+    named = materialize(named, "named-texts")
+    found = _classes(named, "node", "text", signatures(named, "node", "text", how[0]), *how)
+    found = materialize(found, "classes-of-texts")
+    back = texts.select("node", "id")
+    found = found.withColumnRenamed("doc_id", "node").join(back, "node", "left")
+    found = found.select(F.coalesce("id", "node").alias("doc_id"), "n_shingles", "component_id")
+    held = found.where("doc_id IS NOT NULL").select("doc_id", "component_id").distinct()
+    star = held.groupBy("doc_id").agg(F.min("component_id").alias("a"))
+    edges = held.join(star, "doc_id").select("a", F.col("component_id").alias("b")).where("a != b")
+    joined = components(edges).withColumnRenamed("node", "component_id")
+    held = held.join(joined, "component_id", "left")
+    held = held.select("doc_id", F.coalesce("component", "component_id").alias("joined"))
+    held = materialize(held.distinct(), "joined-components")
+    smallest = held.groupBy("joined").agg(F.min("doc_id").alias("smallest"))
+    labels = held.join(smallest, "joined").select("doc_id", "smallest")
+    return found.join(labels, "doc_id", "left").select(
+        "doc_id", "n_shingles", F.col("smallest").alias("component_id")
+    )
+
+
+def _classes(
+    docs: DataFrame,
+    doc_id: str,
+    text: str,
+    signed: tuple[DataFrame, np.ndarray],
+    width: int,
+    least: int,
+    block_rows: int,
+) -> DataFrame:
+    """``similarity_classes`` where every id has one set."""
+    rows, sketch = signed
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = known.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("class"))
     # A written table on one side and an exchange above let Spark split a hot class in the join.
@@ -429,12 +492,8 @@ def similarity_classes(
         of = of_class.select(F.col("doc_id").alias(side), F.col("class").alias(f"{side}_class"))
         links = links.join(of, side)
     links = links.select(F.col("a_class").alias("a"), F.col("b_class").alias("b"))
-    # Rows that repeat an id with other texts connect the classes of these texts.
-    twice = of_class.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b"))
-    links = links.unionByName(twice.where("a != b").select("a", "b"))
     component = components(links).withColumnRenamed("node", "class")
-    labels = of_class.groupBy("doc_id").agg(F.min("class").alias("class"))
-    labels = labels.join(component, "class", "left").select(
+    labels = of_class.join(component, "class", "left").select(
         "doc_id", F.coalesce("component", "class").alias("found")
     )
     return rows.join(labels, "doc_id", "left").select(

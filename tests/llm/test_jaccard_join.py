@@ -89,3 +89,23 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     found = {r.node: r.component for r in graph.components(df).collect()}
     assert found == {**{x: min(order) for x in order}, **{x: 2000 for x in range(2000, 2200)}}
+
+
+def test_ids_on_several_texts(spark):
+    rng = random.Random(8)
+    a, b, c, d = (words(rng, 60, 9_000) for _ in range(4))
+    near = lambda w: " ".join(w[:-1])
+    rows = [(2, " ".join(a)), (2, " ".join(b)), (2, " ".join(c)), (1, near(a)), (3, near(b)), (4, near(c)), (5, " ".join(d)), (6, near(d))]
+    rows += [(7, " ".join(d)), (7, ""), (8, None), (8, "one"), (9, "one"), (None, " ".join(a)), (2, " ".join(a))]
+    for low in (0, 2**62):
+        moved = [(i if i is None else i + low, t) for i, t in rows]
+        docs = spark.createDataFrame(moved, "doc_id long, text string")
+        got = op.similarity_classes(docs)
+        assert got.columns == ["doc_id", "n_shingles", "component_id"]
+        got = got.collect()
+        assert len(got) == len(rows)
+        found = {(r.doc_id - low, r.component_id - low) for r in got if r.doc_id is not None}
+        assert found == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 5), (6, 5), (7, 5), (8, 8), (9, 8)}
+        assert all(r.component_id is None for r in got if r.doc_id is None)
+        sizes = sorted((r.doc_id - low, r.n_shingles) for r in got if r.doc_id is not None)
+        assert sizes.count((2, 57)) == 4 and (7, 0) in sizes and (8, 0) in sizes
