@@ -22,6 +22,8 @@ id are documents of their own. Empty tables give empty tables.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -227,14 +229,47 @@ def mix_sources(
     )
 
 
-def mixed_documents(docs: DataFrame, repeats: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    repeats: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
     """The rows of ``docs``, each as often as ``mix_sources`` takes it; all columns as they were.
 
-    Rows that repeat an id take the largest number of repeats among them.
+    A row's place in the mix is its id, source and size; rows alike in all three, null ids included,
+    share out what the mix takes of them, copy by copy.
     """
-    times = repeats.where("repeats > 0").groupBy("doc_id").agg(F.max("repeats").alias("_repeats"))
-    times = times.withColumnRenamed("doc_id", "_repeated_id")
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_repeated_id"))
-    each = F.explode(F.sequence(F.lit(1), F.col("_repeats")))
-    joined = docs.join(times, same)
-    return joined.select(*[docs[f"`{c}`"] for c in docs.columns], each.alias("_copy")).drop("_copy")
+    keys = ["_id", "_source", "_size"]
+    taken = repeats.groupBy(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")
+    ).agg(F.count("*").alias("_alike"), F.max("repeats").alias("_repeats"), F.min("repeats").alias("_least"))
+    # Alike rows are told apart only where the mix treats them differently.
+    taken = materialize(taken.where("_repeats > 0"), "repeats")
+    own = dict(zip(keys, (F.col(doc_id).cast("long"), F.col(source).cast("string"), word_count(F.col(text)))))
+    named = docs.select("*", *[c.alias(k) for k, c in own.items()])
+
+    def joined(times: DataFrame, rows: DataFrame, *more: str) -> DataFrame:
+        other = times.select(*[F.col(k).alias(f"{k}_taken") for k in (*keys, *more)], "_repeats")
+        same = F.lit(True)
+        for k in (*keys, *more):
+            same &= rows[k].eqNullSafe(other[f"{k}_taken"])
+        each = F.explode(F.sequence(F.lit(1), F.col("_repeats"))).alias("_time")
+        return rows.join(other, same).select(*[rows[f"`{c}`"] for c in docs.columns], each).drop("_time")
+
+    alike = joined(taken.where("_least = _repeats"), named)
+    mixed = taken.where("_least != _repeats")
+    if mixed.isEmpty():
+        return alike
+    copies = Window.partitionBy(*keys).orderBy(F.lit(0))
+    few = named.join(
+        mixed.select(*[F.col(k).alias(f"{k}_mixed") for k in keys]),
+        reduce(and_, (named[k].eqNullSafe(F.col(f"{k}_mixed")) for k in keys)),
+        "left_semi",
+    ).withColumn("_copy", F.row_number().over(copies).cast("long"))
+    of_copy = repeats.where("repeats > 0").select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
+        F.col("copy").alias("_copy"), F.col("repeats").alias("_repeats"),
+    )
+    return alike.unionByName(joined(of_copy, few, "_copy"))

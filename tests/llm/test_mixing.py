@@ -84,3 +84,27 @@ def test_odd_rows(odd, none):
 def test_no_words_at_all(spark):
     docs = spark.createDataFrame([(1, "", "a"), (2, None, "b")], "doc_id long, text string, source string")
     assert {(r.target, r.taken) for r in op.mix_sources(docs).collect()} == {(0.0, 0)}
+
+
+def test_written_words_are_the_mix(spark):
+    rng = random.Random(11)
+    rows = [(i % 7 if i % 5 else None, " ".join(["w"] * rng.choice([0, 1, 3, 3, 50])), "ab"[i % 3 == 0]) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    mix = op.mix_sources(docs)
+    written = op.mixed_documents(docs, mix).collect()
+    mix = mix.collect()
+    assert len({(r.doc_id, r["size"], r.source) for r in mix}) < len(mix)
+    assert len(written) == sum(r.repeats for r in mix)
+    for s in "ab":
+        words_written = sum(len(r.text.split()) for r in written if r.source == s)
+        assert words_written == sum(r.taken for r in mix if r.source == s)
+    own = {(d, t, s) for d, t, s in rows}
+    assert {tuple(r) for r in written} <= own
+
+
+def test_ids_on_different_texts(spark):
+    rows = [(1, "a b c d e f g h", "x"), (1, "a", "x"), (1, None, "x"), (None, "a b", "y"), (None, "c d e", "y"), (2, "q " * 30, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = op.mix_sources(docs)
+    written = sum(len((r.text or "").split()) for r in op.mixed_documents(docs, mix).collect())
+    assert written == sum(r.taken for r in mix.collect())
