@@ -12,8 +12,16 @@ Similarity is the Jaccard ratio of lower-cased word sets. The steps, each a join
     neighbour and is compared with every later one, so it can be decided; what it drops is gone.
     A large group of near-copies therefore costs a few comparisons per record, not one per pair.
     ``k`` grows until the rest fits one unrestricted round. No pair is ever skipped for good.
-4.  Verified pairs are a small graph in record order; it is resolved by rounds of "no open earlier
-    neighbour: keep; a kept earlier neighbour: drop".
+4.  Words with at least ``hot`` holders come last in every set. Two sets that share none but such
+    words share at least ``o`` of them, where ``o`` follows from the two sizes; so of the first
+    ``hot words - o + l`` of either they share ``l`` (Wang et al. 2012). Sets without ``o`` hot words are
+    out, and the others meet under ``l`` of their hot words at once, together with the two sizes. Dissimilar
+    records that share a few hot words therefore never meet.
+5.  Pairs that meet are compared by sizes, place of the word, and 128 parity bits per set, before
+    any words are fetched: sets that differ in ``d`` bits differ in ``d`` words at least.
+6.  Verified pairs are a small graph in record order; it is resolved by rounds of "no open earlier
+    neighbour: keep; a kept earlier neighbour: drop". Paths of records with one earlier neighbour each
+    are decided together, by pointer doubling: along them kept and dropped alternate.
 
 Every round ends in a table in the shared checkpoint folder.
 """
@@ -22,6 +30,7 @@ from __future__ import annotations
 
 import json
 from functools import reduce
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -30,6 +39,10 @@ from ledgerloom.session import materialize
 
 _EPS = 1e-9
 ORDER_CELLS = 1 << 14
+HOT_HOLDERS = 1000
+SIGNED_WORDS = 128  # parity bits say little about larger sets
+MOST_KEYS = 64  # of one set, under one partner size
+PLAIN_ROUNDS = 3  # before paths are looked for
 
 
 def prefix_size(size: Column, threshold: float) -> Column:
@@ -38,8 +51,23 @@ def prefix_size(size: Column, threshold: float) -> Column:
     return (size - shared).cast("int")
 
 
-def word_sets(df: DataFrame, text: str, order: str) -> DataFrame:
-    """``rid, ord, words, size`` per distinct non-empty word set, rare words first."""
+def least_shared(x: Column, y: Column, threshold: float) -> Column:
+    """How many words similar sets of these sizes share at least; never too many."""
+    return F.ceil((x + y) * F.lit(threshold / (1 + threshold)) - F.lit(_EPS)).cast("int")
+
+
+def _parity(words: str, half: int) -> Column:
+    """64 of 128 parity bits of a set: a word turns over the bit that its hash names."""
+    bit = lambda w: F.pmod(F.xxhash64(w), F.lit(128)).cast("int") - 64 * half
+    one = F.lit(1).cast("long")
+    turn = lambda w: F.when(bit(w).between(0, 63), F.call_function("shiftleft", one, bit(w))).otherwise(F.lit(0).cast("long"))
+    bits = F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(turn(w)))
+    return F.when(F.size(words) <= SIGNED_WORDS, bits)
+
+
+def word_sets(df: DataFrame, text: str, order: str, hot: int = HOT_HOLDERS) -> DataFrame:
+    """``rid, ord, words, size, cold, s0, s1`` per distinct non-empty word set, rare words first; ``cold``
+    of them have fewer than ``hot`` holders, ``s0`` and ``s1`` are parity bits."""
     # A test on the word set itself would be pushed down and build every set twice.
     sets = (
         df.where(non_blank(F.col(text)))
@@ -64,15 +92,78 @@ def word_sets(df: DataFrame, text: str, order: str) -> DataFrame:
             lambda w: F.struct(F.element_at(table, cell(w).cast("int") + 1).alias("n"), w.alias("word")),
         )
     )
-    ordered = sets.select(
-        "rid", "ord", F.transform(ranked, lambda r: r["word"]).alias("words"), F.size("words").alias("size")
+    ordered = sets.select("rid", "ord", ranked.alias("ranked")).select(
+        "rid",
+        "ord",
+        F.transform("ranked", lambda r: r["word"]).alias("words"),
+        F.size("ranked").alias("size"),
+        F.size(F.filter("ranked", lambda r: r["n"] < hot)).alias("cold"),
     )
+    ordered = ordered.select("*", *[_parity("words", i).alias(f"s{i}") for i in (0, 1)])
     return materialize(ordered, "ordered-sets")
 
 
+def _combinations(words: Column, m: Column, width: int) -> Column:
+    """``place, key`` of every ``width`` of the first ``m`` words; ``place`` is that of the first one."""
+    places = F.sequence(F.lit(0), m - 1)
+    rest = lambda i: F.slice(places, i + 2, m - 1 - i)  # the places after i
+
+    def deeper(chosen: list[Column]) -> Column:
+        if len(chosen) == width:
+            key = F.concat_ws(" ", *[F.element_at(words, i + 1) for i in chosen])
+            return F.array(F.struct(chosen[0].alias("place"), key.alias("key")))
+        return F.flatten(F.transform(rest(chosen[-1]) if chosen else places, lambda i: deeper([*chosen, i])))
+
+    return deeper([])
+
+
+def _most_excess(width: int) -> int:
+    """How many more than ``width`` words may be combined."""
+    excess = 0
+    while comb(excess + 1 + width, width) <= MOST_KEYS:
+        excess += 1
+    return excess
+
+
 def _postings(sets: DataFrame, threshold: float) -> DataFrame:
+    """``rid, ord, size, s0, s1, pos, word, meets``: similar sets meet under the ``word`` of one and what
+    the other ``meets``. That is one word or, for hot words, several with the own and the partner's
+    size, so that sets of one size never meet for the sake of another."""
+    of = ["rid", "ord", "size", "s0", "s1"]
     prefix = F.slice("words", F.lit(1), prefix_size(F.col("size"), threshold))
-    return sets.select("rid", "ord", "size", F.posexplode(prefix).alias("pos", "word"))
+    if threshold < 0.5:  # partner sizes would be many, and sets would share few words
+        return sets.select(*of, F.posexplode(prefix).alias("pos", "word")).withColumn("meets", F.col("word"))
+    x, y, hot = F.col("size"), F.col("y"), F.col("size") - F.col("cold")
+    largest = F.floor(x / threshold + _EPS).cast("int")
+    three, two = _most_excess(3), _most_excess(2)
+    # Where a partner would have too many combinations, single words serve.
+    wide = largest - least_shared(x, largest, threshold) > two
+    single = sets.select(*of, "cold", F.posexplode(prefix).alias("pos", "word"))
+    single = single.where((F.col("pos") < F.col("cold")) | wide).drop("cold")
+    single = single.withColumn("meets", F.col("word"))
+    smallest = F.greatest(F.ceil(x * threshold - _EPS), F.lit(1)).cast("int")
+    met = sets.where(hot >= least_shared(x, smallest, threshold)).select(
+        *of, "cold", F.slice("words", F.col("cold") + 1, F.greatest(hot, F.lit(1))).alias("hot_words"),
+        F.explode(F.sequence(smallest, largest)).alias("y"),
+    )
+    met = met.withColumn("o", least_shared(x, y, threshold)).withColumn("excess", F.greatest(x, y) - F.col("o"))
+    # Sets that must share all their words, or one, would be equal.
+    met = met.where((F.col("o") >= 2) & (hot >= F.col("o")) & (F.col("excess") <= two))
+    width = F.when((F.col("excess") <= three) & (F.col("o") >= 3), F.lit(3)).otherwise(F.lit(2))
+    met = met.withColumn("width", width).withColumn("m", hot - F.col("o") + F.col("width"))
+    several = [
+        met.where(F.col("width") == w).select(
+            *of, "cold", "y", F.inline(_combinations(F.col("hot_words"), F.col("m"), w))
+        )
+        for w in (2, 3)
+    ]
+    combined = several[0].unionByName(several[1]).select(
+        *of,
+        (F.col("cold") + F.col("place")).alias("pos"),
+        F.concat_ws(" ", x, y, "key").alias("word"),
+        F.concat_ws(" ", y, x, "key").alias("meets"),
+    )
+    return single.unionByName(combined)
 
 
 def _unrestricted(postings: DataFrame, fanout: int, max_group: int) -> bool:
@@ -81,13 +172,14 @@ def _unrestricted(postings: DataFrame, fanout: int, max_group: int) -> bool:
 
     Decided on word counts binned by power of two, a few dozen rows at most.
     """
+    groups = postings.groupBy("word", "meets").agg(F.count("*").alias("m"))
+    met = groups.select(F.col("word").alias("meets"), F.col("m").alias("others"))
     bins = (
-        postings.groupBy("word")
-        .agg(F.count("*").alias("m"))
+        groups.join(met, "meets")
         .groupBy(F.ceil(F.log2("m")).alias("bin"))
         .agg(
             F.sum("m").alias("postings"),
-            F.sum(F.col("m").cast("double") * F.col("m")).alias("pairs"),
+            F.sum(F.col("m").cast("double") * F.col("others")).alias("pairs"),
             F.max("m").alias("largest"),
         )
         .collect()
@@ -118,16 +210,16 @@ def _leaders(postings: DataFrame, k: int, small: int) -> tuple[DataFrame, DataFr
     return leaders.drop("rank"), first_late.select("word", F.col("ord").alias("horizon"))
 
 
-def similar_pairs(
-    sets: DataFrame, postings: DataFrame, leaders: DataFrame, threshold: float
-) -> DataFrame:
-    """Verified pairs ``a, b, a_ord, b_ord`` with ``a`` a leader before ``b``."""
+def candidate_pairs(postings: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
+    """``a, b`` with ``a`` a leader before ``b``, that sizes, places and parity bits cannot exclude."""
     t = F.lit(threshold)
     a, b = leaders.alias("a"), postings.alias("b")
     sizes = F.col("a.size") + F.col("b.size")
     most_shared = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
-    candidates = (
-        a.join(b, F.col("a.word") == F.col("b.word"))
+    differ = F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0")))
+    differ = differ + F.bit_count(F.col("a.s1").bitwiseXOR(F.col("b.s1")))
+    return (
+        a.join(b, F.col("a.word") == F.col("b.meets"))
         .where(
             (F.col("a.ord") < F.col("b.ord"))
             & (
@@ -135,10 +227,18 @@ def similar_pairs(
             )
             # Holds for the first word the two share, if they are similar at all.
             & (most_shared * (t + 1.0) >= t * sizes - _EPS)
+            & F.coalesce((sizes - differ) * (t + 1.0) >= t * 2.0 * sizes - _EPS, F.lit(True))
         )
         .select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b"))
         .distinct()
     )
+
+
+def similar_pairs(
+    sets: DataFrame, postings: DataFrame, leaders: DataFrame, threshold: float
+) -> DataFrame:
+    """Verified pairs ``a, b, a_ord, b_ord`` with ``a`` a leader before ``b``."""
+    candidates = candidate_pairs(postings, leaders, threshold)
     left = sets.select(
         F.col("rid").alias("a"), F.col("ord").alias("a_ord"), F.col("words").alias("a_words")
     )
@@ -150,12 +250,34 @@ def similar_pairs(
     return (
         candidates.join(left, "a")
         .join(right, "b")
-        .where(shared.cast("double") / union > t)
+        .where(shared.cast("double") / union > F.lit(threshold))
         .select("a", "b", "a_ord", "b_ord")
     )
 
 
-def resolve(edges: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def _path_ends(edges: DataFrame, heads: DataFrame) -> DataFrame:
+    """``node, odd``: records at the end of a path from a kept one along which every record has one
+    earlier neighbour; ``odd`` is the parity of its length. Pointers double until they reach a path's
+    top, so there are as many rounds as the longest path's length has binary digits."""
+    single = edges.groupBy("b").agg(F.count("*").alias("n"), F.min("a").alias("up"), F.max("b_waits").alias("waits"))
+    paths = single.where("n = 1 AND NOT waits").select(F.col("b").alias("node"), "up", F.lit(True).alias("odd"))
+    paths = materialize(paths, "paths")
+    while True:
+        # A top has itself no pointer, so what has arrived stays as it is.
+        next_up = paths.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("odd").alias("more"))
+        moved = paths.join(next_up, "up", "left").select(
+            "node",
+            F.coalesce("next", "up").alias("up"),
+            F.when(F.col("next").isNull(), F.col("odd")).otherwise(F.col("odd") != F.col("more")).alias("odd"),
+            F.col("next").isNotNull().alias("moves"),
+        )
+        moved = materialize(moved, "paths")
+        paths = moved.drop("moves")
+        if moved.where("moves").isEmpty():
+            return paths.join(heads.select(F.col("a").alias("up")), "up", "left_semi").select("node", "odd")
+
+
+def resolve(edges: DataFrame, plain_rounds: int = PLAIN_ROUNDS) -> tuple[list[DataFrame], DataFrame]:
     """Tables of dropped ``rid`` and the ``rid`` still open after no edge can be decided.
 
     ``edges`` has ``a, b, a_ord, b_ord, a_waits, b_waits``; a waiting record may be dropped here
@@ -165,6 +287,10 @@ def resolve(edges: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     while True:
         blocked = edges.select(F.col("b").alias("a")).distinct()
         heads = edges.where(~F.col("a_waits")).select("a").distinct().join(blocked, "a", "left_anti")
+        if len(dropped) >= plain_rounds:
+            heads = materialize(heads, "heads")
+            ends = materialize(_path_ends(edges, heads), "path-ends")
+            heads = heads.union(ends.where("NOT odd").select("node"))
         drop = materialize(edges.join(heads, "a", "left_semi").select("b").distinct(), "dropped")
         if drop.isEmpty():
             return dropped, edges.select(F.col("b").alias("rid")).distinct()
@@ -184,9 +310,10 @@ def kept_orders(
     first_leaders: int = 4,
     small_group: int = 32,
     max_group: int = 20_000,
+    hot: int = HOT_HOLDERS,
 ) -> DataFrame:
     """``ord`` of the records with a non-empty word set that stay."""
-    open_sets = word_sets(df, text, order)
+    open_sets = word_sets(df, text, order, hot)
     kept: list[DataFrame] = []
     k = first_leaders
     while True:
@@ -195,7 +322,12 @@ def kept_orders(
             leaders, waiting = postings, None
         else:
             leaders, horizon = _leaders(postings, k, small_group)
-            late = postings.join(horizon, "word").where(F.col("ord") >= F.col("horizon"))
+            # Not compared with all earlier records, or not with all later ones.
+            late = [
+                postings.select("rid", "ord", F.col(c).alias("word")).join(horizon, "word")
+                for c in ("meets", "word")
+            ]
+            late = late[0].unionByName(late[1]).where(F.col("ord") >= F.col("horizon"))
             waiting = materialize(late.select("rid").distinct(), "waiting")
         edges = similar_pairs(open_sets, postings, leaders, threshold)
         if waiting is None:

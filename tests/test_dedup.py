@@ -52,7 +52,7 @@ def test_equals_the_greedy_loop(spark, seed, threshold):
     assert kept(spark, rows, threshold) == greedy(rows, threshold)
 
 
-TIGHT = dict(fanout=1, first_leaders=1, small_group=3, max_group=5)
+TIGHT = dict(fanout=1, first_leaders=1, small_group=3, max_group=5, hot=6)
 
 
 @pytest.mark.parametrize("threshold", [0.7, 0.85])
@@ -87,6 +87,77 @@ def test_chain_is_resolved_by_distributed_rounds(spark):
     assert kept(spark, rows, 0.7) == greedy(rows, 0.7)
 
 
+def three_hot(n, seed=1):
+    """Dissimilar records that share three hot words, beside one to eight of their own."""
+    rnd = random.Random(seed)
+    return [(i, "the of and " + " ".join(f"u{i}x{j}" for j in range(rnd.choice([1, 1, 2, 3, 8])))) for i in range(n)]
+
+
+def few_words(n, seed=2):
+    """Sets of eight out of sixty words, all of them hot, and hardly any two similar."""
+    rnd = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(60)]
+    return [(i, " ".join(rnd.sample(vocabulary, 8))) for i in range(n)]
+
+
+@pytest.mark.parametrize("make", [three_hot, few_words])
+@pytest.mark.parametrize("threshold", [0.7, 0.8])
+def test_dissimilar_records_under_hot_words(spark, make, threshold):
+    rows = make(500) + [(1_000, "the of and"), (1_001, "the of"), (1_002, "v1 v2 v3 v4 v5 v6 v7"), (1_003, "v1 v2 v3 v4 v5 v6 v7 v8")]
+    assert kept(spark, rows, threshold, hot=20) == greedy(rows, threshold)
+
+
+@pytest.mark.parametrize("make", [three_hot, few_words])
+def test_work_under_hot_words_grows_with_the_rows(spark, make):
+    from pyspark.sql import functions as F
+
+    met, pairs = [], []
+    for n in (1_000, 4_000):
+        sets = dedup.word_sets(spark.createDataFrame(make(n), "ord long, title string"), "title", "ord", hot=100)
+        postings = dedup._postings(sets, 0.7).cache()
+        groups = postings.groupBy("word", "meets").count()
+        others = groups.select(F.col("word").alias("meets"), F.col("count").alias("others"))
+        met.append(groups.join(others, "meets").agg(F.sum(F.col("count") * F.col("others"))).first()[0])
+        pairs.append(dedup.candidate_pairs(postings, postings, 0.7).count())
+    if make is three_hot:
+        assert met[1] <= 4**1.3 * met[0]
+        assert pairs == [0, 0]
+    else:  # so few words have chance meetings, but not those of plain words
+        assert met[1] <= 4_000**2 / 200 and pairs[1] <= 4_000
+
+
+def test_long_chain_in_few_rounds(spark):
+    n = 5_000
+    edges = spark.range(n - 1).selectExpr(
+        "id AS a", "id + 1 AS b", "id AS a_ord", "id + 1 AS b_ord", "false AS a_waits", "false AS b_waits"
+    )
+    dropped, still_open = dedup.resolve(edges)
+    assert len(dropped) <= 5 and still_open.isEmpty()
+    gone = sorted(r.rid for part in dropped for r in part.collect())
+    assert gone == list(range(1, n, 2))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_paths_among_other_links(spark, seed):
+    """Random graphs in order, some of whose records wait for others outside the graph."""
+    rnd = random.Random(seed)
+    links = {(i, i + 1) for i in range(120) if rnd.random() < 0.9}
+    links |= {tuple(sorted(rnd.sample(range(121), 2))) for _ in range(25)}
+    waits = set(rnd.sample(range(121), 4)) if seed > 1 else set()
+    rows = [(a, b, a, b, a in waits, b in waits) for a, b in sorted(links)]
+    edges = spark.createDataFrame(rows, "a long, b long, a_ord long, b_ord long, a_waits boolean, b_waits boolean")
+    dropped, still_open = dedup.resolve(edges, plain_rounds=0)
+    plain, plain_open = dedup.resolve(edges, plain_rounds=10**9)
+    ids = lambda parts: {r[0] for part in parts for r in part.collect()}
+    assert ids(dropped) == ids(plain) and ids([still_open]) == ids([plain_open])
+    before = {b: [a for a, x in links if x == b] for b in range(121)}
+    state = {}
+    for i in range(121):
+        own = [state[a] for a in before[i]]
+        state[i] = "dropped" if "kept" in own else "open" if "open" in own or i in waits else "kept"
+    assert ids(dropped) == {i for i, x in state.items() if x == "dropped"}
+
+
 def test_whole_texts_against_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     out = dedup.remove_near_duplicates(docs, 0.7, "text", "doc_id")
