@@ -3,11 +3,18 @@
 A page is handled inside its own row: each pattern gives an array of links, unusable titles are
 filtered within the array, the first pattern with a survivor wins, and only then are rows made.
 There is no shuffle, and later patterns are not tried once one has won.
+
+A pattern with gaps (``first .*? second .*? third``) would scan the rest of the page from every
+``first`` that finds no ``third``. So a page is cut, in one pass, into the pieces that its segments
+match; pieces that no match can begin or end with are left out, and the pattern then runs over what
+is left, where every ``first`` succeeds. Gaps hold nothing that is kept, so the links are the same. This
+needs tags that are whole; a page with an open tag or quote is read as it is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,6 +37,11 @@ class LinkPattern:
     regex: str
     groups: tuple[str, ...] = ("link", "title")
 
+    @property
+    def segments(self) -> list[str]:
+        """The parts between gaps, without groups."""
+        return [re.sub(r"\((?!\?)", "(?:", part) for part in self.regex.split(".*?")]
+
 
 @dataclass(frozen=True)
 class PageSource:
@@ -143,6 +155,68 @@ def with_source_constants(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(source_dimension(df.sparkSession)), "source", "left")
 
 
+GAP = ".*?"
+# A tag: no angle brackets inside, quotes in pairs, and no value that ends like an attribute begins.
+WHOLE_TAG = r'(?i)<(?:[^<>"]|"[^<>"]*(?<!class=)(?<!href=)(?<!title=)")*+>'
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def whole_tags(html: Column) -> Column:
+    """Whether every ``<`` of a page begins a whole tag."""
+    return F.regexp_count(html, F.lit("<")) == F.regexp_count(html, F.lit(WHOLE_TAG))
+
+
+def _last(flags: Column) -> Column:
+    """The 1-based place of the last true value, 0 without one."""
+    back = F.array_position(F.reverse(flags), True).cast("int")
+    return F.when(back > 0, F.size(flags) + 1 - back).otherwise(0)
+
+
+def without_gaps(html: Column, pattern: LinkPattern, flags: str) -> Column:
+    """A text of the same matches as ``html``, whose tags are whole: the pieces its segments match, up to
+    the end of the last possible match; of several openings in a row only the first."""
+    parts = pattern.segments
+    one = flags + "(" + "|".join(reversed(parts)) + ")"
+    is_part = [lambda t, p=p: t.rlike(f"{flags}^(?:{p})") for p in parts]
+
+    def kept(pieces: Column) -> Column:
+        # Per piece which segments it matches; a closing piece may be an opening too.
+        marks = F.transform(
+            pieces, lambda t: F.struct(t.alias("t"), *[f(t).alias(f"s{i}") for i, f in enumerate(is_part)])
+        )
+        return bound(marks, joined)
+
+    def joined(marks: Column) -> Column:
+        flag = lambda i: F.transform(marks, lambda m: m[f"s{i}"])
+        end = _last(flag(len(parts) - 1))
+        if len(parts) == 3:
+            # The last middle piece with a closing one behind it, and the first of these.
+            middle = bound(end, lambda e: _last(F.slice(flag(1), 1, F.greatest(e - 1, F.lit(0)))))
+            return bound(middle, lambda j: F.when(j > 0, three(marks, flag(2), j)).otherwise(""))
+        return F.array_join(F.transform(openings(F.slice(marks, 1, end)), lambda m: m["t"]), " ")
+
+    def three(marks: Column, closing: Column, middle: Column) -> Column:
+        rest = F.slice(closing, middle + 1, F.size(closing))
+        end = F.element_at(marks, middle + F.array_position(rest, True).cast("int"))
+        body = F.array_join(F.transform(openings(F.slice(marks, 1, middle)), lambda m: m["t"]), " ")
+        return F.concat_ws(" ", body, end["t"])
+
+    def openings(marks: Column) -> Column:
+        only = lambda m: m["s0"] & ~reduce(lambda a, b: a | b, (m[f"s{i}"] for i in range(1, len(parts))))
+        return bound(
+            marks,
+            lambda ms: F.filter(
+                ms, lambda m, i: ~((i > 0) & only(m) & F.coalesce(only(F.get(ms, i - 1)), F.lit(False)))
+            ),
+        )
+
+    return bound(F.regexp_extract_all(html, F.lit(one), F.lit(1)), kept)
+
+
 def links_by_pattern(
     html: Column,
     pattern: LinkPattern,
@@ -150,12 +224,18 @@ def links_by_pattern(
     limit: int | None,
     keep,
     scan: int | None = None,
+    whole: Column | None = None,
 ) -> Column:
     """One pattern's links with cleaned titles, as an array with a fixed element type.
 
+    ``whole`` tells whether the page's tags are (default: it is looked at).
+
     ``scan`` matches are looked at (default: ``limit``), those with ``keep(title)`` stay, at most
     ``limit`` of them.
     """
+    if GAP in pattern.regex:
+        whole = whole_tags(html) if whole is None else whole
+        html = F.when(whole, without_gaps(html, pattern, flags)).otherwise(html)
     found = T.find_all(html, flags + pattern.regex, pattern.groups, scan or limit)
     dated = "published" in pattern.groups
     shaped = F.transform(
@@ -195,10 +275,10 @@ def page_links(
             LinkPattern(p.regex, ("link", "title", "published")) if len(p.groups) == 3 else p
             for p in patterns
         ]
-    page = F.col(html)
+    page, whole = F.col(html), F.col("_whole")
     cascade = [
         links_by_pattern(
-            page, p, source.flags, limit, lambda t: T.usable_title(t, source.drop_generic)
+            page, p, source.flags, limit, lambda t: T.usable_title(t, source.drop_generic), whole=whole
         )
         for p in patterns
     ]
@@ -209,6 +289,8 @@ def page_links(
             )
         )
     others = [c for c in pages.columns if c != html]
+    if any(GAP in p.regex for p in patterns):
+        pages = pages.withColumn("_whole", whole_tags(page))
     hits = pages.select(*others, F.posexplode(first_non_empty(cascade)).alias("pos", "hit"))
     return hits.select(*others, "pos", "hit.link", "hit.title", "hit.published")
 

@@ -1100,7 +1100,7 @@ def _(t):
           FROM ({RECORDS_SQL})
         UNION ALL SELECT 'first', min(published) || ' 00:00:00' FROM ({RECORDS_SQL})
         UNION ALL SELECT 'domain ' || {S.domain('link')}, CAST(count(*) AS VARCHAR) FROM ({RECORDS_SQL})
-          WHERE {S.domain('link')} = 'src1.example.org' GROUP BY {S.domain('link')}""",
+          WHERE {S.domain('link')} IS NOT NULL GROUP BY {S.domain('link')}""",
 )
 def _(t):
     rows = document_records(t).select(
@@ -1113,7 +1113,7 @@ def _(t):
         eda["completeness"].select(F.lit("complete").alias("stat"), F.col("complete").cast("string").alias("value"))
         .union(eda["date_range"].select(F.lit("first"), F.col("first").cast("string")))
         .union(
-            counts.where("domain = 'src1.example.org'").select(
+            counts.where("domain IS NOT NULL").select(
                 F.concat(F.lit("domain "), "domain"), F.col("n").cast("string")
             )
         )

@@ -408,10 +408,10 @@ def _(t):
 @query(
     "q1_announcement_types",
     f"""SELECT source, rns_type, count(*) AS n, count(*) FILTER (published <> '{STAMP}') AS dated
-        FROM ({record_sql(INVESTEGATE, NEWS_SQL, PREFIX_SQL, 50)}) GROUP BY 1, 2""",
+        FROM ({record_sql(INVESTEGATE, NEWS_SQL, PREFIX_SQL, None)}) GROUP BY 1, 2""",
 )
 def announcement_types(t):
-    found = extract.announcements_from_pages(news_pages(t), INVESTEGATE, 50, scraped_at=F.lit(STAMP))
+    found = extract.announcements_from_pages(news_pages(t), INVESTEGATE, scraped_at=F.lit(STAMP))
     return found.groupBy("source", "rns_type").agg(
         F.count("*").alias("n"), F.count_if(F.col("published") != STAMP).alias("dated")
     )
@@ -472,9 +472,9 @@ def _(t):
     return extract.collect_sources(all_branches(t, None)).select("source", "title", "link")
 
 
-@query("p10_selected_sources", f"SELECT * FROM ({UNION_SQL}) WHERE source <> '{LSE.name}'")
+@query("p10_selected_sources", f"SELECT * FROM ({WHOLE_UNION_SQL}) WHERE source <> '{LSE.name}'")
 def _(t):
-    chosen = extract.collect_sources(all_branches(t), ("investegate", "sharecast"))
+    chosen = extract.collect_sources(all_branches(t, None), ("investegate", "sharecast"))
     return chosen.select("source", "title", "link")
 
 

@@ -108,3 +108,55 @@ def test_manifest(spark):
     landed = spark.createDataFrame([(names[0],), (names[0],), ("other.zip",)], "filename string")
     assert [r.filename for r in manifest.missing_parts(parts, landed).collect()] == names[1:]
     assert tuple(manifest.completeness(parts, landed).first()) == (1, 2, False)
+
+
+PIECES = (
+    '<div class="news">', '<DIV id=x class="top news box">', '<div class="date">1 May</div>', '<div class="news date">2 May</div>',
+    '<a href="/a">First title</a>', '<a class=c href="b.html" title="A title of its own">Second title</a>', "<a>no link</a>",
+    '<h2><a href="/h">A heading</a></h2>', "<h3>", "</h3>", '<span class="date">3 May</span>', "<article>", "</article>", "</div>",
+    "text", "\n", '<p title="x=">', '<div news>', "<!-- c -->",
+)
+BROKEN = ('<div class="news', "<", '">', '<a href="/q', "a < b", '<p x="class=">', '<b y="href="/z">', '<i "odd>')
+
+
+def test_gaps_left_out_give_the_same_matches(spark):
+    """Random pages, whole and broken, against the patterns as they are."""
+    import random
+
+    from ledgerloom.functions import text as T
+
+    rnd, pages = random.Random(4), []
+    for i in range(1_500):
+        pool = PIECES if i % 2 else PIECES + BROKEN
+        pages.append((i, "".join(rnd.choice(pool) for _ in range(rnd.randrange(1, 30)))))
+    df = spark.createDataFrame(pages, "page_id long, html string").repartition(8)
+    for source in (INVESTEGATE, LSE):
+        for p in source.patterns:
+            if extract.GAP not in p.regex:
+                continue
+            whole = extract.whole_tags(F.col("html"))
+            short = F.when(whole, extract.without_gaps(F.col("html"), p, source.flags)).otherwise(F.col("html"))
+            rows = df.select(
+                "html",
+                whole.alias("whole"),
+                T.find_all(short, source.flags + p.regex, p.groups).alias("found"),
+                T.find_all(F.col("html"), source.flags + p.regex, p.groups).alias("plain"),
+            ).collect()
+            assert [r.html for r in rows if r.found != r.plain] == []
+            assert sum(r.whole for r in rows) > 700 and any(r.plain for r in rows)
+
+
+def test_large_pages_take_linear_time(spark):
+    """Half a megabyte of openings that no date follows, or no link, or only links."""
+    import time
+
+    opening, link, date = '<div class="news">', '<a href="/x">Some long title</a>', '<div class="date">1 May</div>'
+    heading = '<h2><a href="/h">A heading of this page</a></h2>'
+    n = 12_000
+    pages = [opening * 2 * n, (opening + link) * n, link + opening * 2 * n + date, heading * n, (opening + date) * n + link, "<div>" * 4 * n]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").repartition(6).cache()
+    extract.page_links(df, INVESTEGATE).count()
+    start = time.time()
+    for source in (INVESTEGATE, LSE):
+        extract.page_links(df, source).count()
+    assert time.time() - start < 6
