@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as TY
 
@@ -12,8 +12,9 @@ from ledgerloom.session import materialize
 
 PROFILE_FIELDS = ("title", "summary", "category", "author", "source")
 
-# Distinct values a counter map may hold.
+# Distinct values a counter map should hold; more are spread over several rows.
 MOST_COUNTED = 10_000
+SAMPLE_SIZE = 40
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -69,14 +70,37 @@ def most_common(df: DataFrame, value: Column, order: Column, k: int = 10, name:
     return counted.orderBy(F.desc("n"), "_first").limit(k).drop("_first")
 
 
+def value_counts(df: DataFrame, values: Mapping[str, Column], order: Column) -> DataFrame:
+    """``stat, key, n, first``: all values of several columns counted in one pass; ``first`` is the least
+    ``order`` of a value. Keys are text, nulls do not count."""
+    cells = [F.struct(F.lit(stat).alias("stat"), c.cast("string").alias("key")) for stat, c in values.items()]
+    rows = df.select(order.alias("_order"), F.explode(F.array(*cells)).alias("cell"))
+    rows = rows.where(F.col("cell.key").isNotNull())
+    return rows.groupBy("cell.stat", "cell.key").agg(F.count("*").alias("n"), F.min("_order").alias("first"))
+
+
+def counted(counts: DataFrame, stat: str, name: str, kind: str = "string") -> DataFrame:
+    """One column's values of ``value_counts``: the value, ``n`` and ``first``."""
+    return counts.where(F.col("stat") == stat).select(F.col("key").cast(kind).alias(name), "n", "first")
+
+
+def most_frequent(counts: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` values counted most, equal ones in order of first appearance."""
+    return counts.orderBy(F.desc("n"), "first").limit(k).drop("first")
+
+
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     """Equal-width histogram ``bin, lo, hi, n`` over all bins, the last one closed.
 
-    Values are counted first and the counts staged: the data is read once, and the limits and
-    bins are worked out on distinct values. Bin edges and ties fall as in numpy.
+    The values alone are staged; one aggregate finds the limits and one fills the bins, so a task
+    shuffles a row per bin however many values differ. Bin edges and ties fall as in numpy.
     """
-    counted = df.select(value.cast("double").alias("v")).where("v is not null")
-    counted = materialize(counted.groupBy("v").agg(F.count("*").alias("c")), "value-counts")
+    values = df.select(value.cast("double").alias("v"), F.lit(1).cast("long").alias("c"))
+    return binned(materialize(values.where("v is not null"), "values"), bins)
+
+
+def binned(counted: DataFrame, bins: int) -> DataFrame:
+    """The histogram of values ``v`` that occur ``c`` times; ``counted`` is read twice."""
     flat = F.min("v") == F.max("v")
     first = F.when(flat, F.min("v") - 0.5).otherwise(F.min("v")).alias("first")
     last = F.when(flat, F.max("v") + 0.5).otherwise(F.max("v")).alias("last")
@@ -102,7 +126,7 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
         .groupBy(placed.alias("bin"))
         .agg(F.sum("c").alias("n"))
     )
-    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    spine = counted.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     spine = spine.withColumn("limits", limits).where(first.isNotNull())
     return spine.join(filled, "bin", "left").select(
         "bin",
@@ -112,6 +136,17 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     )
 
 
+def field_measures(fields: Sequence[str] = PROFILE_FIELDS) -> list[Column]:
+    """What ``field_profile`` needs of long texts: ``_len_<field>``, the length of non-blank values, and
+    ``_cut_<field>``, their beginnings."""
+    out = []
+    for f in fields:
+        value = F.col(f).cast("string")
+        kept = F.when(T.non_blank(value), value)
+        out += [F.length(kept).alias(f"_len_{f}"), F.substring(kept, 1, SAMPLE_SIZE + 1).alias(f"_cut_{f}")]
+    return out
+
+
 def field_profile(
     df: DataFrame, fields: Sequence[str] = PROFILE_FIELDS, order: Column | None = None
 ) -> DataFrame:
@@ -121,16 +156,22 @@ def field_profile(
     All fields are aggregated in one pass without multiplying rows; only the one-row result is
     turned into a row per field.
     """
+    others = [order.alias("_order")] if order is not None else []
+    measured = df.select(*others, *field_measures(fields))
+    return measured_profile(measured, fields, F.col("_order") if others else None)
+
+
+def measured_profile(
+    measured: DataFrame, fields: Sequence[str] = PROFILE_FIELDS, order: Column | None = None
+) -> DataFrame:
+    """``field_profile`` of a table that has the ``field_measures``."""
     aggregates = [F.count("*").alias("_total")]
     for i, f in enumerate(fields):
-        value = F.col(f).cast("string")
-        kept = F.when(T.non_blank(value), value)
-        aggregates += [F.count(kept).alias(f"_n{i}"), F.avg(F.length(kept)).alias(f"_a{i}")]
+        length, cut = F.col(f"_len_{f}"), F.col(f"_cut_{f}")
+        aggregates += [F.count(length).alias(f"_n{i}"), F.avg(length).alias(f"_a{i}")]
         if order is not None:
-            aggregates.append(
-                F.min_by(kept, F.when(kept.isNotNull(), order)).alias(f"_s{i}")
-            )
-    one = df.agg(*aggregates)
+            aggregates.append(F.min_by(cut, F.when(cut.isNotNull(), order)).alias(f"_s{i}"))
+    one = measured.agg(*aggregates)
 
     def row(i: int, f: str) -> Column:
         cells = [
@@ -141,7 +182,7 @@ def field_profile(
             F.coalesce(F.col(f"_a{i}"), F.lit(0.0)).alias("avg_length"),
         ]
         if order is not None:
-            sample = F.coalesce(T.preview(F.col(f"_s{i}"), 40), F.lit("N/A"))
+            sample = F.coalesce(T.preview(F.col(f"_s{i}"), SAMPLE_SIZE), F.lit("N/A"))
             cells.append(sample.alias("sample"))
         return F.struct(*cells)
 
@@ -171,21 +212,42 @@ def completeness(df: DataFrame, required: Sequence[str] = ("title", "published",
     )
 
 
-def counter(df: DataFrame, column: str, default: str = "") -> DataFrame:
-    """One row, one map of value counts; more than ``MOST_COUNTED`` values are an error, as a map
-    in one row is no place for them."""
-    counted = frequencies(df, F.coalesce(F.col(column), F.lit(default)), "k")
-    counted = counted.limit(MOST_COUNTED + 1)
-    entries = F.map_from_entries(F.collect_list(F.struct("k", "n")))
-    error = F.raise_error(F.lit(f"{column} has over {MOST_COUNTED} values"))
-    many = F.when(F.count("*") > MOST_COUNTED, error.cast("string"))
-    return counted.agg(F.when(many.isNull(), entries).alias(column))
+def counters(df: DataFrame, columns: Mapping[str, str], default: str = "", most: int = MOST_COUNTED) -> DataFrame:
+    """``part`` and per name in ``columns`` (name to column) a map of value counts.
+
+    A column of more than ``most`` values is spread over parts by the values' hashes, about that many
+    in each; a value stands in one part only. ``counter_values`` reads the maps again.
+    """
+    values = {name: F.coalesce(F.col(c), F.lit(default)) for name, c in columns.items()}
+    counts = materialize(value_counts(df, values, F.lit(0)).drop("first"), "counters")
+    sizes = counts.groupBy("stat").agg(F.count("*").alias("m"))
+    parts = max(1, -(-(sizes.agg(F.max("m")).first()[0] or 0) // most))
+    maps = [
+        F.map_from_entries(F.collect_list(F.when(F.col("stat") == name, F.struct("key", "n")))).alias(name)
+        for name in columns
+    ]
+    part = F.pmod(F.xxhash64("key"), F.lit(parts)).alias("part")
+    spread = counts.groupBy(part).agg(*maps)
+    empty = F.create_map().cast("map<string,bigint>")
+    whole = df.sparkSession.range(parts).select(F.col("id").alias("part")).join(spread, "part", "left")
+    return whole.select("part", *[F.coalesce(name, empty).alias(name) for name in columns])
+
+
+def counter(df: DataFrame, column: str, default: str = "", most: int = MOST_COUNTED) -> DataFrame:
+    """One column's map of value counts, in as many rows as ``counters`` gives."""
+    return counters(df, {column: column}, default, most).drop("part")
+
+
+def counter_values(maps: DataFrame, name: str) -> DataFrame:
+    """``value, n`` of a counter column, whatever the number of its rows."""
+    return maps.select(F.explode(name).alias("value", "n"))
 
 
-def run_metadata(records: DataFrame, scraped_at: str) -> DataFrame:
-    """The one-row description of a collection run.
+def run_metadata(records: DataFrame, scraped_at: str, most: int = MOST_COUNTED) -> DataFrame:
+    """The description of a collection run: one row, whose maps have an entry per source and per
+    announcement type. Where there are more than ``most`` of these, further rows hold the rest of
+    the maps and nothing else.
 
-    The maps have one entry per source and per announcement type.
     Distinct names are counted exactly by grouping, not by holding them in one place.
     """
     company, ticker = F.col("company_name"), F.col("ticker")
@@ -196,11 +258,13 @@ def run_metadata(records: DataFrame, scraped_at: str) -> DataFrame:
         F.countDistinct(F.when(company != "", company)).alias("unique_companies"),
         F.countDistinct(F.when(ticker != "", ticker)).alias("unique_tickers"),
     )
-    return totals.select(
+    totals = totals.select(F.lit(0).cast("long").alias("part"), F.lit(scraped_at).alias("scraped_at"), "*")
+    maps = counters(records, {"sources": "source", "rns_types": "rns_type"}, most=most)
+    return maps.join(totals, "part", "left").orderBy("part").select(
         "total_records",
-        F.lit(scraped_at).alias("scraped_at"),
-        counter(records, "source").scalar().alias("sources"),
-        counter(records, "rns_type").scalar().alias("rns_types"),
+        "scraped_at",
+        "sources",
+        "rns_types",
         "companies_identified",
         "tickers_identified",
         "unique_companies",

@@ -73,39 +73,60 @@ def announcement_eda(
 ) -> dict[str, DataFrame]:
     """All statistics of an announcement corpus, one DataFrame each.
 
-    Only the parsed and measured columns are kept for the several aggregates.
+    What is staged is narrow: dates, lengths, beginnings of texts, and the values that are counted,
+    never whole titles or summaries. All frequency tables and length histograms come from one pass
+    over it. ``samples`` alone reads the records again, for its few rows.
     """
     placed = df if "ord" in df.columns else df.withColumn("ord", F.monotonically_increasing_id())
-    parsed = placed.withColumn("_p", dates.parse_published(F.col("published"), formats))
-    parsed = materialize(parsed, "eda")
-    stamp, order = F.col("_p.ts"), F.col("ord")
-    has_title = T.non_blank(F.col("title"))
-    has_summary = T.non_blank(F.col("summary"))
-    dated = parsed.where(F.col("_p").isNotNull())
-    category = F.coalesce("category", F.lit("Unknown"))
+    stamp, order = F.col("ts"), F.col("ord")
+    staged = placed.withColumn("_p", dates.parse_published(F.col("published"), formats)).select(
+        "ord",
+        F.col("_p.ts").alias("ts"),
+        F.col("_p.fmt").alias("fmt"),
+        *[F.substring(c, 1, 1).alias(c) for c in ("title", "published", "link")],
+        *("category", "source", "author"),
+        T.link_domain(F.col("link")).alias("domain"),
+        *profile.field_measures(),
+    )
+    staged = materialize(staged, "eda")
+    values = {
+        "formats": F.col("fmt"),
+        "per_date": F.to_date(stamp),
+        "per_hour": F.hour(stamp),
+        "title_lengths": F.col("_len_title"),
+        "summary_lengths": F.col("_len_summary"),
+        "categories": F.coalesce("category", F.lit("Unknown")),
+        "sources": F.coalesce("source", F.lit("unknown")),
+        "authors": F.coalesce("author", F.lit("unknown")),
+        "domains": F.col("domain"),
+    }
+    counts = materialize(profile.value_counts(staged, values, order), "eda-counts")
+
+    def often(stat: str, name: str, k: int = 10) -> DataFrame:
+        return profile.most_frequent(profile.counted(counts, stat, name), k)
+
+    def each(stat: str, name: str, kind: str = "string") -> DataFrame:
+        return profile.counted(counts, stat, name, kind).drop("first")
+
+    def lengths(stat: str) -> DataFrame:
+        return profile.binned(each(stat, "v", "double").withColumnRenamed("n", "c"), 20)
+
     return {
-        "rows": profile.row_count(parsed),
-        "parse_rate": profile.parse_rate(parsed, stamp),
-        "date_range": profile.date_range(parsed, stamp),
-        "formats": profile.most_common(dated, F.col("_p.fmt"), order, len(formats), "fmt"),
-        "per_date": profile.per_date(parsed, stamp),
-        "per_hour": profile.per_hour(parsed, stamp),
-        "fields": profile.field_profile(parsed, order=order),
-        "title_lengths": profile.histogram(parsed.where(has_title), F.length("title"), 20),
-        "summary_lengths": profile.histogram(parsed.where(has_summary), F.length("summary"), 20),
-        "categories": profile.most_common(parsed, category, order, 10, "category"),
-        "samples": sample_records(parsed, samples),
-        "sources": profile.with_share(
-            profile.frequencies(parsed, F.coalesce("source", F.lit("unknown")), "source")
-        ).orderBy(F.desc("n"), "source"),
-        "authors": profile.most_common(
-            parsed, F.coalesce("author", F.lit("unknown")), order, 10, "author"
-        ),
-        "domains": profile.most_common(
-            parsed.where(T.link_domain(F.col("link")).isNotNull()),
-            T.link_domain(F.col("link")), order, 10, "domain",
-        ),
-        "completeness": profile.completeness(parsed),
+        "rows": profile.row_count(staged),
+        "parse_rate": profile.parse_rate(staged, stamp),
+        "date_range": profile.date_range(staged, stamp),
+        "formats": often("formats", "fmt", len(formats)),
+        "per_date": each("per_date", "date", "date").orderBy("date"),
+        "per_hour": each("per_hour", "hour", "int").orderBy("hour"),
+        "fields": profile.measured_profile(staged, order=order),
+        "title_lengths": lengths("title_lengths"),
+        "summary_lengths": lengths("summary_lengths"),
+        "categories": often("categories", "category"),
+        "samples": sample_records(placed, samples),
+        "sources": profile.with_share(each("sources", "source")).orderBy(F.desc("n"), "source"),
+        "authors": often("authors", "author"),
+        "domains": often("domains", "domain"),
+        "completeness": profile.completeness(staged),
     }
 
 

@@ -44,6 +44,18 @@ def _json_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
     ).where(non_blank(F.col("value")))
 
 
+METADATA_SCHEMA = (
+    "total_records bigint, scraped_at string, sources map<string,bigint>, rns_types map<string,bigint>, "
+    "companies_identified bigint, tickers_identified bigint, unique_companies bigint, unique_tickers bigint"
+)
+
+
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """The metadata beside a run's records; its counters may fill several rows
+    (``profile.counter_values``)."""
+    return spark.read.schema(METADATA_SCHEMA).json(path)
+
+
 def read_announcements(
     spark: SparkSession,
     path: str,

@@ -190,13 +190,28 @@ def test_company_eda(spark):
     assert dates.today() is not None
 
 
-def test_counter_maps_are_bounded(spark, monkeypatch):
-    df = spark.range(5).selectExpr("cast(id as string) as source")
-    monkeypatch.setattr(profile, "MOST_COUNTED", 5)
-    assert profile.counter(df, "source").first().source == {str(i): 1 for i in range(5)}
-    monkeypatch.setattr(profile, "MOST_COUNTED", 4)
-    with pytest.raises(Exception, match="source has over 4 values"):
-        profile.counter(df, "source").collect()
+def test_counters_spread_over_rows(spark):
+    df = spark.range(1_000).selectExpr("cast(id % 300 as string) as source", "cast(null as string) as kind")
+    assert profile.counter(df, "source").count() == 1
+    assert profile.counter(df, "source").first().source["7"] == 4
+    spread = profile.counter(df, "source", most=50)
+    assert spread.count() == 6 and max(len(r.source) for r in spread.collect()) < 100
+    values = {r.value: r.n for r in profile.counter_values(spread, "source").collect()}
+    assert values == {str(i): 4 if i < 100 else 3 for i in range(300)}
+    assert [r.kind for r in profile.counter(df, "kind", "none").collect()] == [{"none": 1_000}]
+    assert [r.source for r in profile.counter(df.limit(0), "source").collect()] == [{}]
+
+
+def test_histogram_shuffles_bins_not_values(spark):
+    """A million distinct values: the exchange holds a row per bin and task."""
+    df = spark.range(0, 1_000_000, 1, 8).selectExpr("sqrt(id) * 1.7 AS v")
+    found = profile.histogram(df, F.col("v"), 20)
+    counts, edges = np.histogram(np.sqrt(np.arange(1_000_000)) * 1.7, 20)
+    rows = found.orderBy("bin").collect()
+    assert [r.n for r in rows] == counts.tolist()
+    assert [r.lo for r in rows] == edges[:-1].tolist()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [v" not in plan
 
 
 def test_examples_of_several_splits(spark, tmp_path):

@@ -4,6 +4,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import profile
 from ledgerloom.plans import jobs
 from ledgerloom.sinks import writers
 from ledgerloom.sources import listing, records, tables
@@ -179,6 +180,18 @@ def test_announcement_sink_keeps_metadata_apart(spark, tmp_path):
     assert (meta["companies_identified"], meta["unique_tickers"]) == (1, 1)
 
 
+def test_metadata_of_many_sources(spark, tmp_path):
+    df = spark.range(50_000).selectExpr(
+        "cast(id as string) AS title", "concat('s', id) AS source", "'other' AS rns_type", "'' AS company_name", "'' AS ticker"
+    )
+    out = writers.write_announcements(df, str(tmp_path))
+    meta = records.read_metadata(spark, f"{out}/metadata")
+    assert meta.count() == 5 and [r.total_records for r in meta.where("total_records IS NOT NULL").collect()] == [50_000]
+    sources = profile.counter_values(meta, "sources")
+    assert sources.count() == 50_000 == sources.where("n = 1").select("value").distinct().count()
+    assert [tuple(r) for r in profile.counter_values(meta, "rns_types").collect()] == [("other", 50_000)]
+
+
 def test_splits_prune_partitions(spark, tmp_path):
     part = lambda n: spark.range(n).withColumn("x", F.lit("v"))
     configs = {"a": {"train": part(3), "val": part(1)}, "b": {"train": part(2)}}
