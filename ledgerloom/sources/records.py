@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ledgerloom.functions.entities import bind
 from ledgerloom.functions.text import non_blank, strip
 from ledgerloom.operators.extract import ANNOUNCEMENT_FIELDS
-from ledgerloom.operators.index import numbered_lines
+from ledgerloom.operators.index import number_rows, numbered_lines
 from ledgerloom.sources.listing import load_direct
 
 
@@ -127,19 +127,43 @@ FEED_SCHEMA = (
 )
 
 
+ITEM = "<item"
+_BEGINS = r"^[\s>]"
+
+
+def _feed_parts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file_path, file, n, value``: what stands between the openings of entries, numbered per file; part
+    0 is what stands before the first. Spark cuts a file into splits and gives a split the parts that
+    begin in it, so one feed is read by many tasks."""
+    parts = spark.read.option("lineSep", ITEM).text(path).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_m"),
+        "value",
+    )
+    return number_rows(parts, ["file_path", "_block"], [F.first("_block")], ["file_path"], "n")
+
+
 def _feed_items(spark: SparkSession, path: str) -> DataFrame:
     """``file, pos, value, item`` per entry; ``item._corrupt`` is set where it is not well-formed.
 
-    A feed is one fetched document, so it is one row. Each entry is parsed on its own: a broken one
-    takes nothing else with it.
+    Each entry is parsed on its own: a broken one takes nothing else with it. Feeds in which ``<item``
+    also begins other names are few; these are read as one row each.
     """
-    feeds = spark.read.text(path, wholetext=True)
-    begun = F.filter(F.split("value", r"(?=<item[\s>])"), lambda p: p.rlike(r"^<item[\s>]"))
+    parts = _feed_parts(spark, path).where("n > 0")
+    begins = F.col("value").rlike(_BEGINS)
+    odd = [r.file_path for r in parts.where(~begins).select("file_path").distinct().collect()]
     whole = lambda p: F.regexp_extract(p, r"(?s)^.*?</item\s*>", 0)
-    entries = F.transform(begun, lambda p: F.coalesce(F.nullif(whole(p), F.lit("")), p))
-    rows = feeds.select(
-        F.col("_metadata.file_name").alias("file"), F.posexplode(entries).alias("pos", "value")
-    )
+    entry = lambda p: F.coalesce(F.nullif(whole(p), F.lit("")), p)
+    rows = parts.where(~F.col("file_path").isin(odd)) if odd else parts
+    opened = F.concat(F.lit(ITEM), F.col("value"))
+    rows = rows.select("file", (F.col("n") - 1).alias("pos"), entry(opened).alias("value"))
+    if odd:
+        feeds = spark.read.text(odd, wholetext=True)
+        begun = F.filter(F.split("value", r"(?=<item[\s>])"), lambda p: p.rlike(r"^<item[\s>]"))
+        found = F.posexplode(F.transform(begun, entry)).alias("pos", "value")
+        rows = rows.unionByName(feeds.select(F.col("_metadata.file_name").alias("file"), found))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "rowTag": "item"}
     item = F.from_xml("value", f"{FEED_SCHEMA}, _corrupt string", options)
     return rows.withColumn("item", item)

@@ -168,6 +168,34 @@ def test_feed(spark, tmp_path):
     ]
 
 
+def test_feed_over_many_splits(spark, tmp_path):
+    """Entries cut by split borders, entries without an end, and names that only begin like one."""
+    item = lambda i: f"<item><title>T{i} é</title><description>{'x' * (i % 400)}</description></item>"
+    parts = [item(i) + ("\n" if i % 3 else "") for i in range(3_000)]
+    parts[7] = "<item><title>no end</title>"
+    (tmp_path / "a.xml").write_text("<rss><channel>" + "".join(parts) + "</channel></rss>")
+    odd = "<rss><items>x</items>" + item(1) + "<item ><title>a</title><itemized/>" + item(2) + "<item\n><title>b</title></item ></rss>"
+    (tmp_path / "b.xml").write_text(odd)
+    (tmp_path / "c.xml").write_text("<rss>nothing</rss>")
+    (tmp_path / "d.xml").write_text(item(5) + item(6))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 10_000)
+    try:
+        found = records._feed_items(spark, str(tmp_path))
+        assert found.select(F.spark_partition_id()).distinct().count() > 20
+        rows = [(r.file, r.pos, r.value) for r in found.select("file", "pos", "value").collect()]
+        good = records.read_feed(spark, str(tmp_path)).where("file = 'a.xml'").count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    want = [("a.xml", i, "".join(p)[: len(p.rstrip())]) for i, p in enumerate(parts)]
+    assert sorted(r for r in rows if r[0] == "a.xml") == want and good == 2_999
+    assert sorted(r[1:] for r in rows if r[0] == "b.xml") == [
+        (0, item(1)), (1, "<item ><title>a</title><itemized/>"), (2, item(2)), (3, "<item\n><title>b</title></item >")
+    ]
+    assert sorted(r[1:] for r in rows if r[0] == "d.xml") == [(0, item(5)), (1, item(6))]
+    assert not [r for r in rows if r[0] == "c.xml"]
+
+
 def test_announcement_sink_keeps_metadata_apart(spark, tmp_path):
     rows = [("é title", "S", "results", "Firm", "FI"), ("two", "S", "other", "", "")]
     df = spark.createDataFrame(rows, "title string, source string, rns_type string, company_name string, ticker string")
