@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -12,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.operators.lookup import union_all
 from ledgerloom.session import materialize
-from ledgerloom.sources.listing import load_direct
+from ledgerloom.sources import zips
 
 # Cell texts read as missing.
 NA_TOKENS = (
@@ -158,35 +156,30 @@ def read_csv_tree(
     return infer_types(cells) if infer else cells
 
 
-def _first_csv(content: bytes) -> Iterator[io.BufferedIOBase]:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        name = next((n for n in archive.namelist() if n.endswith(".csv")), None)
-        if name is not None:
-            with archive.open(name) as handle:
-                yield handle
+def _first_csvs(spark: SparkSession, path: str) -> DataFrame | None:
+    """The first ``.csv`` of every zip directly in ``path``, as rows of ``zips.members``."""
+    found = zips.members(spark, path)
+    if found is None:
+        return None
+    csvs = found.where(F.col("member").endswith(".csv"))
+    return csvs.groupBy("path").agg(F.min_by(F.struct(*csvs.columns), "place").alias("first")).select("first.*")
 
 
-def zip_csv_columns(spark: SparkSession, path: str) -> list[str]:
-    """The column names of all parts, in order of first appearance by part name."""
-
-    def headers(batches):
-        for batch in batches:
-            for part, content in zip(batch["part"], batch["content"]):
-                for handle in _first_csv(content):
-                    names = list(pd.read_csv(handle, dtype=str, nrows=0).columns)
-                    yield pd.DataFrame({"part": part, "pos": range(len(names)), "name": names})
+def _csv_columns(spark: SparkSession, path: str, csvs: DataFrame) -> list[str]:
+    def headers(part, stream):
+        names = list(pd.read_csv(stream, dtype=str, nrows=0).columns)
+        yield pd.DataFrame({"part": part, "pos": range(len(names)), "name": names})
 
-    parts = _zip_parts(spark, path)
-    named = parts.mapInPandas(headers, "part string, pos long, name string")
+    schema = T.StructType().add("part", "string").add("pos", "long").add("name", "string")
+    named = zips.read_members(spark, path, csvs, headers, schema)
     first = named.groupBy("name").agg(F.min(F.struct("part", "pos")).alias("at"))
     return [row.name for row in first.orderBy("at").collect()]
 
 
-def _zip_parts(spark: SparkSession, path: str) -> DataFrame:
-    files = load_direct(spark.read.format("binaryFile"), path, "*.zip")
-    if files is None:
-        return spark.createDataFrame([], "part string, content binary")
-    return files.select(F.substring_index("path", "/", -1).alias("part"), "content")
+def zip_csv_columns(spark: SparkSession, path: str) -> list[str]:
+    """The column names of all parts, in order of first appearance by part name."""
+    csvs = _first_csvs(spark, path)
+    return [] if csvs is None else _csv_columns(spark, path, csvs)
 
 
 def read_zip_csv(
@@ -198,33 +191,36 @@ def read_zip_csv(
 ) -> DataFrame:
     """The first ``.csv`` of every zip in ``path``, all columns as text, united by name.
 
-    A zip cannot be split, so each is read by one task, streamed in chunks. Name the ``columns``
-    you need: the optimizer cannot prune inside Python, and without them a first pass over the
-    parts collects their headers. ``part_column`` adds the part's name.
+    A compressed member can only be read from its start, so each is read by one task, but as a
+    stream: neither archive nor member has to fit anywhere. Name the ``columns`` you need: the
+    optimizer cannot prune inside Python, and without them a first pass over the parts collects their
+    headers. ``part_column`` adds the part's name.
     """
-    wanted = list(columns) if columns is not None else zip_csv_columns(spark, path)
+    csvs = _first_csvs(spark, path)
+    if csvs is None:
+        return spark.createDataFrame([], T.StructType([]))
+    wanted = list(columns) if columns is not None else _csv_columns(spark, path, csvs)
     if not wanted:
         return spark.createDataFrame([], T.StructType([]))
     fields = ([part_column] if part_column else []) + wanted
     schema = T.StructType([T.StructField(c, T.StringType()) for c in fields])
 
-    def rows(batches):
-        for batch in batches:
-            for part, content in zip(batch["part"], batch["content"]):
-                for handle in _first_csv(content):
-                    header = list(pd.read_csv(handle, dtype=str, nrows=0).columns)
-                    handle.seek(0)
-                    # One column at least, or the part's rows would not be counted.
-                    present = [c for c in header if c in wanted] or header[:1]
-                    chunks = pd.read_csv(handle, dtype=str, usecols=present, chunksize=chunk_rows)
-                    for chunk in chunks:
-                        chunk = chunk.reindex(columns=wanted).astype(object)
-                        chunk = chunk.where(chunk.notna(), None)
-                        if part_column:
-                            chunk.insert(0, part_column, part)
-                        yield chunk
-
-    return _zip_parts(spark, path).mapInPandas(rows, schema)
+    def rows(part, stream):
+        first: list[str] = []
+
+        def present(name):
+            # One column at least, or the part's rows would not be counted.
+            first.append(name)
+            return name in wanted or name == first[0]
+
+        for chunk in pd.read_csv(stream, dtype=str, usecols=present, chunksize=chunk_rows):
+            chunk = chunk.reindex(columns=wanted).astype(object)
+            chunk = chunk.where(chunk.notna(), None)
+            if part_column:
+                chunk.insert(0, part_column, part)
+            yield chunk
+
+    return zips.read_members(spark, path, csvs, rows, schema)
 
 
 # Names a split may be asked for by.

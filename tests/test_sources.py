@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import profile
 from ledgerloom.plans import jobs
 from ledgerloom.sinks import writers
-from ledgerloom.sources import listing, records, tables
+from ledgerloom.sources import listing, records, tables, zips
 
 
 def put_zip(path, members):
@@ -67,6 +67,35 @@ def test_zip_parts(spark, tmp_path):
     assert sorted(str(r.a) for r in only.collect()) == ["1", "None", "None"]
 
 
+def test_zip_larger_than_a_batch_of_lines(spark, tmp_path):
+    """Many splits and Arrow batches per archive, stored and deflated members, and a comment at the end."""
+    body = "".join(f"{i},é{i * 7919 % 10007},{'y' * (i % 50)}\n" for i in range(60_000))
+    with zipfile.ZipFile(tmp_path / "big.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("noise.bin", bytes(range(256)) * 4_000)
+        z.writestr("big.csv", "a,b,c\n" + body)
+        z.comment = b"ends with a break\n"
+    with zipfile.ZipFile(tmp_path / "plain.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("plain.csv", "b,d\n" + "k,v\n" * 30_000)
+    with zipfile.ZipFile(tmp_path / "bz.zip", "w", zipfile.ZIP_BZIP2) as z:
+        z.writestr("m.csv", "a\n5\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 50_000)
+    try:
+        df = tables.read_zip_csv(spark, str(tmp_path), part_column="part")
+        assert df.columns == ["part", "a", "b", "c", "d"]
+        counts = {r.part: r["count"] for r in df.groupBy("part").count().collect()}
+        assert counts == {"big.zip": 60_000, "plain.zip": 30_000, "bz.zip": 1}
+        big = df.where("part = 'big.zip'").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r.a, r.b) for r in big] == [(str(i), f"é{i * 7919 % 10007}") for i in range(60_000)]
+    found = zips.members(spark, str(tmp_path)).orderBy("part", "place").collect()
+    assert [(r.part, r.member) for r in found] == [
+        ("big.zip", "noise.bin"), ("big.zip", "big.csv"), ("bz.zip", "m.csv"), ("plain.zip", "plain.csv")
+    ]
+    assert [r.size for r in found][1] == len(("a,b,c\n" + body).encode())
+
+
 def test_no_zips_give_an_empty_table(spark, tmp_path):
     assert tables.read_zip_csv(spark, str(tmp_path)).count() == 0
     assert records.read_announcements(spark, str(tmp_path)).count() == 0
