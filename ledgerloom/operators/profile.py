@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as TY
+from pyspark.sql import Column, DataFrame, functions as F, types as TY
 
 from ledgerloom.functions import dates, text as T
 from ledgerloom.operators.lookup import ideal_use
 from ledgerloom.session import materialize
+from ledgerloom.sources.tables import type_checks
 
 PROFILE_FIELDS = ("title", "summary", "category", "author", "source")
 
@@ -300,44 +301,49 @@ def label_distributions(df: DataFrame, max_values: int = 100) -> DataFrame:
     return counts.join(kept, "column", "left_semi").select("column", "value", "n")
 
 
-def dataset_card(
-    name: str,
-    path: str,
-    sizes: DataFrame,
-    rows: DataFrame | None = None,
-    columns: Sequence[str] | None = None,
-    labels: DataFrame | None = None,
+def tagged_label_distributions(cells: DataFrame, max_values: int = 100) -> DataFrame:
+    """``dataset, column, value, n``: :func:`label_distributions` of many datasets at once.
+
+    ``cells`` has ``dataset, column, value``, one row per cell. One pass decides per dataset and column
+    by mergeable sketches and type tests, a second counts exactly what these leave.
+    """
+    keys = ["dataset", "column"]
+    tests = type_checks(F.col("value"))
+    verdict = cells.groupBy(*keys).agg(
+        F.approx_count_distinct("value").alias("about"), *[c.alias(kind) for kind, c in tests.items()]
+    )
+    text = verdict.where(~F.col("l") & ~F.col("d") & ~F.col("b") & (F.col("about") <= 2 * max_values))
+    chosen = materialize(text.select(*keys), "label-columns")
+    counts = cells.where("value is not null").join(chosen, keys, "left_semi")
+    counts = counts.groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    counts = materialize(counts, "label-counts")
+    gate = counts.groupBy(*keys).agg(F.count("*").alias("_distinct"))
+    kept = gate.where((F.col("_distinct") > 1) & (F.col("_distinct") < max_values))
+    return counts.join(kept, keys, "left_semi")
+
+
+def dataset_cards(
+    sizes: DataFrame, base: str, rows: DataFrame, columns: DataFrame, labels: DataFrame
 ) -> DataFrame:
-    """One dataset's card from its row of ``sizes`` and, where they apply, its row count
-    (``num_rows``), column names and label distributions."""
-    spark: SparkSession = sizes.sparkSession
-    card = sizes.where(F.col("dataset") == name)
-    if rows is not None:
-        card = card.withColumn("num_rows", rows.select("num_rows").scalar())
-    else:
-        card = card.withColumn("num_rows", F.lit(None).cast("long"))
-    if labels is not None:
-        per_column = labels.groupBy("column").agg(
-            F.map_from_entries(F.collect_list(F.struct("value", "n"))).alias("counts")
-        )
-        entries = F.collect_list(F.struct("column", "counts"))
-        maps = per_column.agg(F.map_from_entries(entries).alias("label_distributions"))
-        card = card.withColumn("label_distributions", maps.scalar())
-    else:
-        card = card.withColumn(
-            "label_distributions", F.lit(None).cast("map<string,map<string,bigint>>")
-        )
-    names = F.array(*[F.lit(c) for c in columns]) if columns is not None else F.lit(None)
-    return card.select(
-        F.lit(name).alias("name"),
-        F.lit(path).alias("path"),
+    """One card per row of ``sizes``. ``rows`` (``dataset, num_rows``), ``columns`` (``dataset, columns``) and
+    ``labels`` (``dataset, column, value, n``) have what was read; a dataset that was not profiled by
+    its format has no entry on the card."""
+    maps = labels.groupBy("dataset", "column").agg(
+        F.map_from_entries(F.collect_list(F.struct("value", "n"))).alias("counts")
+    )
+    maps = maps.groupBy("dataset").agg(
+        F.map_from_entries(F.collect_list(F.struct("column", "counts"))).alias("label_distributions")
+    )
+    cards = sizes.join(rows, "dataset", "left").join(columns, "dataset", "left").join(maps, "dataset", "left")
+    kind, name = F.col("format"), F.col("dataset")
+    return cards.select(
+        name.alias("name"),
+        F.concat(F.lit(base.rstrip("/") + "/"), name).alias("path"),
         "size_bytes",
-        "num_rows",
-        names.cast("array<string>").alias("columns"),
-        F.when(F.size("label_distributions") > 0, F.col("label_distributions")).alias(
-            "label_distributions"
-        ),
-        F.when(F.col("format") == "jsonl", "jsonl").alias("format"),
+        F.when(kind.isin("csv", "jsonl"), F.coalesce("num_rows", F.lit(0))).cast("long").alias("num_rows"),
+        F.when(kind == "csv", F.coalesce("columns", F.array().cast("array<string>"))).alias("columns"),
+        F.when(kind == "csv", F.col("label_distributions")).alias("label_distributions"),
+        F.when(kind == "jsonl", "jsonl").alias("format"),
         "files",
-        ideal_use(F.lit(name)).alias("ideal_use"),
+        ideal_use(name).alias("ideal_use"),
     )

@@ -175,23 +175,31 @@ def label_sentences(df: DataFrame, names: Sequence[str], folder: str, config: st
 
 
 def profile_datasets(spark: SparkSession, base: str) -> DataFrame:
-    """One card per folder of ``base``. One listing serves all; each folder's data is one scan."""
+    """One card per folder of ``base``.
+
+    All datasets are scanned together, each row tagged with its folder, so the number of jobs does not
+    grow with them: one scan of all CSV records, one of all JSONL lines, two passes over the cells.
+    """
     files = materialize(listing.dataset_files(spark, base), "listing")
     sizes = materialize(listing.dataset_sizes(files), "sizes")
-    cards = []
-    for row in sizes.select("dataset", "format").orderBy("dataset").collect():
-        path = f"{base.rstrip('/')}/{row.dataset}"
-        if row.format == "csv":
-            df = tables.read_csv_tree(spark, path, staged=True)
-            rows = profile.row_count(df).withColumnRenamed("n", "num_rows")
-            labels = profile.label_distributions(df)
-            cards.append(profile.dataset_card(row.dataset, path, sizes, rows, df.columns, labels))
-        elif row.format == "jsonl":
-            rows = records.jsonl_line_count(spark, path)
-            cards.append(profile.dataset_card(row.dataset, path, sizes, rows))
-        else:
-            cards.append(profile.dataset_card(row.dataset, path, sizes))
-    return lookup.union_all(cards)
+    csvs = sizes.where("format = 'csv'").select("dataset")
+    dataset = lambda df: df.withColumn("dataset", listing.dataset_of(spark, base, F.col("file")))
+    records_of, names = tables.csv_cells(spark, base)
+    names = dataset(names).join(csvs, "dataset", "left_semi")
+    cells = materialize(records_of.join(names, "file"), "cells")
+    lines = records.jsonl_lines(spark, base)
+    jsonl = dataset(lines).groupBy("dataset").agg(F.count("*").alias("num_rows"))
+    jsonl = jsonl.join(sizes.where("format = 'jsonl'").select("dataset"), "dataset", "left_semi")
+    rows = cells.groupBy("dataset").agg(F.count("*").alias("num_rows")).unionByName(jsonl)
+    # Columns in order of first appearance, by file and place.
+    placed = names.select("dataset", "file", F.posexplode("names").alias("pos", "column"))
+    placed = placed.groupBy("dataset", "column").agg(F.min(F.struct("file", "pos")).alias("at"))
+    placed = placed.groupBy("dataset").agg(F.sort_array(F.collect_list(F.struct("at", "column"))).alias("all"))
+    columns = placed.select("dataset", F.transform("all", lambda c: c["column"]).alias("columns"))
+    own = F.arrays_zip(F.col("names").alias("column"), F.slice("values", F.lit(1), F.size("names")).alias("value"))
+    tagged = cells.select("dataset", F.inline(own).alias("column", "value"))
+    labels = profile.tagged_label_distributions(tagged)
+    return profile.dataset_cards(sizes, base, rows, columns, labels)
 
 
 # The three configs of the policy dataset.

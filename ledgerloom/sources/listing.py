@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
 
 CARD_FILE = "dataset_card.json"
 
@@ -59,6 +59,16 @@ def dataset_files(spark: SparkSession, base: str) -> DataFrame:
     return spark.createDataFrame(rows, "dataset string, relative string, length long, folder boolean")
 
 
+def dataset_of(spark: SparkSession, base: str, file: Column) -> Column:
+    """The folder of ``base`` that a scanned ``file`` (its ``_metadata.file_path``) lies in."""
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(base)
+    system = root.getFileSystem(context._jsc.hadoopConfiguration())
+    inside = system.makeQualified(root).toUri().getRawPath().rstrip("/") + "/"
+    below = F.substring_index(F.substr(file, F.instr(file, F.lit(inside)) + len(inside)), "/", 1)
+    return F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B")))
+
+
 def dataset_sizes(files: DataFrame) -> DataFrame:
     """Per dataset: bytes, and the format that decides how it is profiled.
 
@@ -73,7 +83,8 @@ def dataset_sizes(files: DataFrame) -> DataFrame:
     )
     kind = F.when(F.col("_csv"), "csv").when(F.col("_jsonl"), "jsonl").otherwise("other")
     total = F.col("_entries")
-    return sizes.select(        "dataset",
+    return sizes.select(
+        "dataset",
         "size_bytes",
         kind.alias("format"),
         F.when(kind == "other", total).alias("files"),

@@ -109,10 +109,15 @@ def rejected_lines(spark: SparkSession, path: str, glob: str = JSONL_FILES) -> D
     return bad.select(name.alias("file"), (F.col("line_no") + 1).alias("line_no"), "value")
 
 
-def jsonl_line_count(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines of all ``*.jsonl`` below ``path``, blank and header lines included."""
+def jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` of every physical line of all ``*.jsonl`` below ``path``, blank and header lines included."""
     lines = spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", "true")
-    return lines.text(path).agg(F.count("*").alias("num_rows"))
+    return lines.text(path).select(F.col("_metadata.file_path").alias("file"))
+
+
+def jsonl_line_count(spark: SparkSession, path: str) -> DataFrame:
+    """How many lines ``jsonl_lines`` has."""
+    return jsonl_lines(spark, path).agg(F.count("*").alias("num_rows"))
 
 
 def line_set(spark: SparkSession, path: str, name: str = "value") -> DataFrame:

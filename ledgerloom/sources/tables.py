@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ledgerloom.operators.lookup import union_all
 from ledgerloom.session import materialize
 from ledgerloom.sources import zips
 
@@ -55,26 +54,28 @@ def _missing_to_null(name: str):
     return F.when(~column.isin(*NA_TOKENS), column).alias(name)
 
 
+def type_checks(cells: Column) -> dict[str, Column]:
+    """Aggregates over a column's texts: whether all that are present are whole numbers (``l``), numbers
+    (``d``) or truth values (``b``)."""
+    c = F.trim(cells)
+    present = c.isNotNull()
+    number = c.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z|^[+-]?(?i:inf|infinity)\z")
+    whole = c.rlike(r"^[+-]?\d+\z") & c.try_cast("long").isNotNull()
+    truth = c.isin("True", "TRUE", "true", "False", "FALSE", "false")
+    every = lambda test: F.coalesce(F.bool_and(F.when(present, test)), F.lit(False))
+    return {"l": every(whole), "d": every(number), "b": every(truth)}
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Cast text columns to long, double or boolean where every present value allows it.
 
     One aggregate over all columns decides.
     """
-    checks = []
-    for i, name in enumerate(df.columns):
-        c = F.trim(F.col(f"`{name}`"))
-        present = c.isNotNull()
-        number = c.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z|^[+-]?(?i:inf|infinity)\z")
-        whole = c.rlike(r"^[+-]?\d+\z") & c.try_cast("long").isNotNull()
-        checks += [
-            F.count(c).alias(f"n{i}"),
-            F.coalesce(F.bool_and(F.when(present, whole)), F.lit(False)).alias(f"l{i}"),
-            F.coalesce(F.bool_and(F.when(present, number)), F.lit(False)).alias(f"d{i}"),
-            F.coalesce(
-                F.bool_and(F.when(present, c.isin("True", "TRUE", "true", "False", "FALSE", "false"))),
-                F.lit(False),
-            ).alias(f"b{i}"),
-        ]
+    checks = [
+        f.alias(f"{kind}{i}")
+        for i, name in enumerate(df.columns)
+        for kind, f in type_checks(F.col(f"`{name}`")).items()
+    ]
     if not checks:
         return df
     verdict = df.agg(*checks).first()
@@ -104,17 +105,8 @@ def read_phrasebank(spark: SparkSession, folder: str, config: str = "sentences_a
         raise FileNotFoundError(f"no data for config {config!r} at {path}") from e
 
 
-def read_csv_tree(
-    spark: SparkSession, path: str, infer: bool = True, staged: bool = False
-) -> DataFrame:
-    """All CSV files below ``path``, united by column name.
-
-    ``staged`` parses the files once into a Parquet table that type inference and later steps
-    read; use it when several follow.
-
-    A plain multi-path read would bind columns by position, so files are grouped by header first
-    and each group is one scan. Headers come from a line scan, not from opening files one by one.
-    """
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``file, header`` of all CSV files below ``path``: each one's first record, as it stands there."""
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
@@ -145,12 +137,71 @@ def read_csv_tree(
         )
         whole = records.groupBy("file").agg(F.min_by("value", "place").alias("header"))
         headers = headers.where(~open_end).unionByName(whole)
-    headers = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
-    # One row per distinct header; the file names are what the driver lists for any scan.
-    groups = sorted(headers.collect(), key=lambda g: g.files[0])
-    if not groups:
+    return headers
+
+
+def header_names(header: Column, most: int) -> Column:
+    """A header's column names as Spark's reader gives them: empty ones and repeated ones get their
+    place. ``most`` is at least the number of names."""
+    fields = ", ".join(f"c{i} string" for i in range(most))
+    cells = F.from_csv(header, fields, {"escape": '"'})
+    # How many there are: what follows the last name is absent, but so may be a name.
+    count = F.size(F.split(F.regexp_replace(header, r'"(?:[^"]|"")*"', ""), ","))
+    names = F.slice(F.array(*[cells[f"c{i}"] for i in range(most)]), F.lit(1), count)
+    blank = lambda n: F.coalesce(n, F.lit("")) == ""
+    alike = lambda n: F.size(F.filter(names, lambda x: F.lower(x) == F.lower(n))) > 1
+
+    def safe(n: Column, i: Column) -> Column:
+        place = i.cast("string")
+        return F.when(blank(n), F.concat(F.lit("_c"), place)).when(alike(n), F.concat(n, place)).otherwise(n)
+
+    return F.transform(names, safe)
+
+
+def csv_cells(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """All CSV files below ``path`` in one scan, whatever their columns: ``file, values`` per record, and
+    ``file, names`` per file. ``values`` are by place; missing-value texts are null."""
+    headers = csv_headers(spark, path)
+    commas = F.size(F.split("header", ","))
+    most = headers.agg(F.max(commas)).first()[0] or 1
+    fields = [f"c{i}" for i in range(most)]
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+    reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
+    cells = reader.schema(", ".join(f"{c} string" for c in fields)).csv(path)
+    cells = cells.select(
+        F.col("_metadata.file_path").alias("file"), F.array(*[_missing_to_null(c) for c in fields]).alias("values")
+    )
+    names = headers.select("file", header_names(F.col("header"), most).alias("names"))
+    return cells, materialize(names, "csv-names")
+
+
+def read_csv_tree(
+    spark: SparkSession, path: str, infer: bool = True, staged: bool = False
+) -> DataFrame:
+    """All CSV files below ``path``, united by column name.
+
+    ``staged`` parses the files once into a Parquet table that type inference and later steps
+    read; use it when several follow.
+
+    A plain multi-path read would bind columns by position, so all files are read by place in one
+    scan, and a table of the files' headers, joined by file, tells which place a column has. The
+    driver holds column names, no file names.
+    """
+    cells, names = csv_cells(spark, path)
+    # Names that differ in case only are one column, as in any union by name.
+    columns = names.select("file", F.posexplode("names").alias("pos", "column"))
+    columns = columns.groupBy(F.lower("column").alias("key")).agg(
+        F.min(F.struct("file", "pos", "column")).alias("first")
+    )
+    wanted = [r.column for r in columns.orderBy("first").select("first.column").collect()]
+    if not wanted:
         return spark.createDataFrame([], T.StructType([]))
-    cells = union_all([read_csv(spark, g.files, infer=False) for g in groups])
+    low = F.transform("names", lambda n: F.lower(n))
+    keys = F.array(*[F.lower(F.lit(c)) for c in wanted])
+    places = F.transform(keys, lambda k: F.array_position(low, k).cast("int"))
+    joined = cells.join(names.select("file", places.alias("places")), "file")
+    place = lambda i: F.nullif(F.col("places")[i], F.lit(0)) - 1
+    cells = joined.select(*[F.get("values", place(i)).alias(c) for i, c in enumerate(wanted)])
     if staged:
         cells = materialize(cells, "cells")
     return infer_types(cells) if infer else cells

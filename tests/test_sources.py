@@ -293,3 +293,38 @@ def test_listing_sizes_equal_the_disk(spark, tmp_path):
     cards = jobs.profile_datasets(spark, str(base))
     lines = [r.line for r in writers.overview_markdown(cards).collect()]
     assert lines[4:] == ["| `a` | 1 | 0.0 | - |", "| `b` | 2 | 0.0 | - |", "| `c` | - | 0.0 | - |"]
+
+
+def test_cards_of_many_datasets_take_a_fixed_number_of_jobs(spark, tmp_path):
+    """Types and labels are judged per dataset, also where datasets share column names."""
+    def build(base, copies):
+        for i in range(copies):
+            for name, text in {
+                f"d{i} x+é/a.csv": "id,kind,text\n1,a,long 1\n2,b,long 2\n3,a,\n",
+                f"d{i} x+é/sub/b.csv": "kind,,kind2\nNA,5,true\nc,6,false\n",
+                f"n{i}/a.csv": "id,kind\n" + "".join(f"{j},{j}\n" for j in range(5)),
+                f"h{i}/only.csv": "x,y\n",
+                f"j{i}/l.jsonl": "{}\n\n{}\n",
+                f"o{i}/z.bin": "..",
+            }.items():
+                (base / name).parent.mkdir(parents=True, exist_ok=True)
+                (base / name).write_text(text)
+
+    jobs_run = []
+    for copies in (1, 4):
+        base = tmp_path / str(copies)
+        build(base, copies)
+        spark.sparkContext.setJobGroup(f"cards{copies}", "")
+        cards = {r.name: r for r in jobs.profile_datasets(spark, str(base)).collect()}
+        jobs_run.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"cards{copies}")))
+        assert len(cards) == 5 * copies
+        d = cards[f"d{copies - 1} x+é"]
+        assert (d.num_rows, d.columns, d.files) == (5, ["id", "kind", "text", "_c1", "kind2"], None)
+        assert d.path.endswith(f"/d{copies - 1} x+é")
+        assert d.label_distributions == {"kind": {"a": 2, "b": 1, "c": 1}, "text": {"long 1": 1, "long 2": 1}}
+        n, h, j, o = (cards[f"{c}{copies - 1}"] for c in "nhjo")
+        assert (n.num_rows, n.label_distributions) == (5, None)
+        assert (h.num_rows, h.columns) == (0, ["x", "y"])
+        assert (j.num_rows, j.columns, j.format) == (3, None, "jsonl") and (o.num_rows, o.files) == (None, 1)
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs_run[1] <= jobs_run[0] + 2 and jobs_run[0] > 0
