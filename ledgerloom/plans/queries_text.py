@@ -9,6 +9,7 @@ from ledgerloom.operators import extract, lookup, manifest, profile
 from ledgerloom.operators.extract import INVESTEGATE, LSE, SHARECAST
 from ledgerloom.plans import jobs, sqltext as S
 from ledgerloom.plans.registry import Tables, query
+from ledgerloom.session import spread
 
 TITLE = "<title>([^<]*)"
 RAW_TITLE_SQL = f"regexp_extract(html, '{TITLE}', 1)"
@@ -48,7 +49,8 @@ def classify_pages(t):
 )
 def _(t):
     kind = T.classify_announcement(F.col("text"))
-    return t.documents.groupBy("lang", kind.alias("rns_type")).agg(F.count("*").alias("n"))
+    rows = spread(t.documents.select("lang", "text"))
+    return rows.groupBy("lang", kind.alias("rns_type")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -225,7 +227,7 @@ def _(t):
 )
 def _(t):
     text = F.col("text")
-    return t.documents.select(
+    return spread(t.documents.select("doc_id", "text")).select(
         "doc_id",
         F.size(T.words(text)).alias("n_words"),
         F.size(T.word_set(text)).alias("n_distinct"),
@@ -243,7 +245,7 @@ def _(t):
                     FROM documents d JOIN benchmark k ON d.doc_id % 40 = k.item_id))""",
 )
 def _(t):
-    docs = t.documents.select((F.col("doc_id") % 40).alias("item_id"), "doc_id", "text")
+    docs = spread(t.documents.select((F.col("doc_id") % 40).alias("item_id"), "doc_id", "text"))
     items = t.benchmark.select("item_id", T.word_set(F.col("text")).alias("b"))
     pairs = docs.join(items, "item_id").withColumn("a", T.word_set(F.col("text")))
     a, b = F.col("a"), F.col("b")

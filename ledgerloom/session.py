@@ -65,3 +65,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, where its input has fewer splits than there are cores.
+
+    Rows are dealt out in turn, by no key. Worth it before costly row-wise work on a small input of
+    few row groups; an input of many splits stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

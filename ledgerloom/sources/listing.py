@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
 
+from ledgerloom.session import scratch_path
+
 CARD_FILE = "dataset_card.json"
 
 
@@ -29,34 +33,59 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path).select("path", "length")
 
 
-def dataset_files(spark: SparkSession, base: str) -> DataFrame:
+LISTED_ROWS = 50_000
+_LISTING = "dataset string, relative string, length long, folder boolean"
+
+
+def dataset_files(spark: SparkSession, base: str, batch: int = LISTED_ROWS) -> DataFrame:
     """``dataset, relative, length, folder`` for all files and folders in each folder of ``base``.
 
     The file system itself is asked, as Spark's readers pass over names that begin with ``_`` or
-    ``.`` and over empty folders. Like any listing it is done by the driver; it holds paths and
-    sizes, nothing of the files. A folder of ``base`` without files has one row with an empty
+    ``.`` and over empty folders. Only the driver can ask it, but it keeps nothing of the answer: it walks
+    depth first over open listings, one per level, and writes every ``batch`` rows to a table, so its
+    memory does not grow with the files. A folder of ``base`` without files has one row with an empty
     ``relative``. Cards written by an earlier run are left out, so profiling twice gives the same
     sizes.
     """
+    path = scratch_path(spark, "listing")
+    rows: list[tuple[str, str, int, bool]] = []
+
+    def write() -> None:
+        spark.createDataFrame(rows, _LISTING).coalesce(1).write.mode("append").parquet(path)
+        rows.clear()
+
+    for row in _entries(spark, base):
+        rows.append(row)
+        if len(rows) >= batch:
+            write()
+    write()
+    return spark.read.schema(_LISTING).parquet(path)
+
+
+def _entries(spark: SparkSession, base: str) -> Iterator[tuple[str, str, int, bool]]:
     context = spark.sparkContext
     root = context._jvm.org.apache.hadoop.fs.Path(base)
     system = root.getFileSystem(context._jsc.hadoopConfiguration())
-    rows: list[tuple[str, str, int, bool]] = []
-    todo = [(entry, "", "") for entry in system.listStatus(root) if entry.isDirectory()]
-    while todo:
-        entry, dataset, relative = todo.pop()
-        name = entry.getPath().getName()
+    levels = [(system.listStatusIterator(root), None)]  # a folder's open listing, and its name parts
+    while levels:
+        listing, names = levels[-1]
+        if not listing.hasNext():
+            levels.pop()
+            continue
+        entry = listing.next()
         folder = entry.isDirectory()
-        if not dataset:
-            dataset, relative = name, ""
+        if names is None:
+            if not folder:
+                continue
+            below = (entry.getPath().getName(),)
         else:
-            relative = f"{relative}/{name}" if relative else name
-        # Checksum files belong to the local file system's driver, not to the data.
+            below = (*names, entry.getPath().getName())
+        relative = "/".join(below[1:])
         if folder:
-            todo += [(e, dataset, relative) for e in system.listStatus(entry.getPath())]
+            levels.append((system.listStatusIterator(entry.getPath()), below))
+        # Cards written by an earlier run do not count.
         if relative != CARD_FILE:
-            rows.append((dataset, relative, 0 if folder else entry.getLen(), folder))
-    return spark.createDataFrame(rows, "dataset string, relative string, length long, folder boolean")
+            yield below[0], relative, 0 if folder else entry.getLen(), folder
 
 
 def dataset_of(spark: SparkSession, base: str, file: Column) -> Column:

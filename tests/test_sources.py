@@ -274,6 +274,9 @@ def test_listing_sizes_equal_the_disk(spark, tmp_path):
         path.write_text(data)
     sizes = {r.dataset: (r.size_bytes, r.format, r.files) for r in
              listing.dataset_sizes(listing.dataset_files(spark, str(base))).collect()}
+    few = listing.dataset_files(spark, str(base), batch=2)
+    assert len(few.inputFiles()) > 3
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, listing.dataset_files(spark, str(base)).collect()))
     # c holds two files and two folders
     assert sizes == {"a": (7, "csv", None), "b": (6, "jsonl", None), "c": (6, "other", 4)}
     for name, data in {"a/raw/x.csv": "123", "a/_x": "12", "a/.x": "1", "b/my_dataset_card.json": "12345"}.items():
