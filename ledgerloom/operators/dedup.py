@@ -17,8 +17,8 @@ Similarity is the Jaccard ratio of lower-cased word sets. The steps, each a join
     ``hot words - o + l`` of either they share ``l`` (Wang et al. 2012). Sets without ``o`` hot words are
     out, and the others meet under ``l`` of their hot words at once, together with the two sizes. Dissimilar
     records that share a few hot words therefore never meet.
-5.  Pairs that meet are compared by sizes, place of the word, and 128 parity bits per set, before
-    any words are fetched: sets that differ in ``d`` bits differ in ``d`` words at least.
+5.  Pairs that meet are compared by sizes, place of the word, and parity bits of their sets, before any
+    words are fetched: sets that differ in ``d`` bits differ in ``d`` words at least.
 6.  Verified pairs are a small graph in record order; it is resolved by rounds of "no open earlier
     neighbour: keep; a kept earlier neighbour: drop". Paths of records with one earlier neighbour each
     are decided together, by pointer doubling: along them kept and dropped alternate.
@@ -40,7 +40,8 @@ from ledgerloom.session import materialize
 _EPS = 1e-9
 ORDER_CELLS = 1 << 14
 HOT_HOLDERS = 1000
-SIGNED_WORDS = 128  # parity bits say little about larger sets
+SIGNED_WORDS = 128  # 128 parity bits say little about larger sets
+SIGNATURE = 16  # longs of parity bits that decide before words are fetched
 MOST_KEYS = 64  # of one set, under one partner size
 PLAIN_ROUNDS = 3  # before paths are looked for
 
@@ -56,18 +57,33 @@ def least_shared(x: Column, y: Column, threshold: float) -> Column:
     return F.ceil((x + y) * F.lit(threshold / (1 + threshold)) - F.lit(_EPS)).cast("int")
 
 
-def _parity(words: str, half: int) -> Column:
-    """64 of 128 parity bits of a set: a word turns over the bit that its hash names."""
-    bit = lambda w: F.pmod(F.xxhash64(w), F.lit(128)).cast("int") - 64 * half
-    one = F.lit(1).cast("long")
-    turn = lambda w: F.when(bit(w).between(0, 63), F.call_function("shiftleft", one, bit(w))).otherwise(F.lit(0).cast("long"))
-    bits = F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(turn(w)))
-    return F.when(F.size(words) <= SIGNED_WORDS, bits)
+def _parity(places: Column, words: int) -> Column:
+    """``64 * words`` parity bits of a set as longs: a word turns over the bit at its place."""
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def long(k: Column) -> Column:
+        turn = lambda p: F.call_function("shiftleft", one, p % 64)
+        own = F.filter(places, lambda p: F.floor(p / 64) == k)
+        return F.aggregate(own, none, lambda acc, p: acc.bitwiseXOR(turn(p)))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(words - 1)), long)
+
+
+def _differing(a: Column, b: Column) -> Column:
+    """In how many parity bits two sets differ; they differ in as many words at least."""
+    bits = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda n, x: n + x)
+
+
+def _too_different(sizes: Column, differ: Column, threshold: float) -> Column:
+    t = F.lit(threshold)
+    return F.coalesce((sizes - differ) * (t + 1.0) < t * 2.0 * sizes - _EPS, F.lit(False))
 
 
 def word_sets(df: DataFrame, text: str, order: str, hot: int = HOT_HOLDERS) -> DataFrame:
-    """``rid, ord, words, size, cold, s0, s1`` per distinct non-empty word set, rare words first; ``cold``
-    of them have fewer than ``hot`` holders, ``s0`` and ``s1`` are parity bits."""
+    """``rid, ord, words, size, cold, sign, s0, s1`` per distinct non-empty word set, rare words first;
+    ``cold`` of them have fewer than ``hot`` holders; ``sign`` are parity bits, ``s0`` and ``s1`` fewer of them
+    for small sets."""
     # A test on the word set itself would be pushed down and build every set twice.
     sets = (
         df.where(non_blank(F.col(text)))
@@ -99,7 +115,12 @@ def word_sets(df: DataFrame, text: str, order: str, hot: int = HOT_HOLDERS) -> D
         F.size("ranked").alias("size"),
         F.size(F.filter("ranked", lambda r: r["n"] < hot)).alias("cold"),
     )
-    ordered = ordered.select("*", *[_parity("words", i).alias(f"s{i}") for i in (0, 1)])
+    bits = 64 * SIGNATURE
+    ordered = ordered.withColumn("places", F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(bits)).cast("int")))
+    few = F.transform("places", lambda p: p % 128)
+    ordered = ordered.withColumn("sign", _parity(F.col("places"), SIGNATURE))
+    ordered = ordered.withColumn("few", F.when(F.col("size") <= SIGNED_WORDS, _parity(few, 2)))
+    ordered = ordered.select("*", *[F.col("few")[i].alias(f"s{i}") for i in (0, 1)]).drop("places", "few")
     return materialize(ordered, "ordered-sets")
 
 
@@ -127,12 +148,12 @@ def _most_excess(width: int) -> int:
 
 def _postings(sets: DataFrame, threshold: float) -> DataFrame:
     """``rid, ord, size, s0, s1, pos, word, meets``: similar sets meet under the ``word`` of one and what
-    the other ``meets``. That is one word or, for hot words, several with the own and the partner's
-    size, so that sets of one size never meet for the sake of another."""
+    the other ``meets``. That is one word (then ``meets`` is null: the same) or, for hot words, several
+    with the own and the partner's size, so that sets of one size never meet for the sake of another."""
     of = ["rid", "ord", "size", "s0", "s1"]
     prefix = F.slice("words", F.lit(1), prefix_size(F.col("size"), threshold))
     if threshold < 0.5:  # partner sizes would be many, and sets would share few words
-        return sets.select(*of, F.posexplode(prefix).alias("pos", "word")).withColumn("meets", F.col("word"))
+        return sets.select(*of, F.posexplode(prefix).alias("pos", "word")).withColumn("meets", F.lit(None).cast("string"))
     x, y, hot = F.col("size"), F.col("y"), F.col("size") - F.col("cold")
     largest = F.floor(x / threshold + _EPS).cast("int")
     three, two = _most_excess(3), _most_excess(2)
@@ -140,7 +161,7 @@ def _postings(sets: DataFrame, threshold: float) -> DataFrame:
     wide = largest - least_shared(x, largest, threshold) > two
     single = sets.select(*of, "cold", F.posexplode(prefix).alias("pos", "word"))
     single = single.where((F.col("pos") < F.col("cold")) | wide).drop("cold")
-    single = single.withColumn("meets", F.col("word"))
+    single = single.withColumn("meets", F.lit(None).cast("string"))
     smallest = F.greatest(F.ceil(x * threshold - _EPS), F.lit(1)).cast("int")
     met = sets.where(hot >= least_shared(x, smallest, threshold)).select(
         *of, "cold", F.slice("words", F.col("cold") + 1, F.greatest(hot, F.lit(1))).alias("hot_words"),
@@ -173,9 +194,12 @@ def _unrestricted(postings: DataFrame, fanout: int, max_group: int) -> bool:
     Decided on word counts binned by power of two, a few dozen rows at most.
     """
     groups = postings.groupBy("word", "meets").agg(F.count("*").alias("m"))
-    met = groups.select(F.col("word").alias("meets"), F.col("m").alias("others"))
+    several = groups.where("meets IS NOT NULL")
+    met = several.select(F.col("word").alias("meets"), F.col("m").alias("others"))
+    several = several.join(met, "meets").select("m", "others")
+    groups = groups.where("meets IS NULL").select("m", F.col("m").alias("others"))
     bins = (
-        groups.join(met, "meets")
+        groups.unionByName(several)
         .groupBy(F.ceil(F.log2("m")).alias("bin"))
         .agg(
             F.sum("m").alias("postings"),
@@ -219,7 +243,7 @@ def candidate_pairs(postings: DataFrame, leaders: DataFrame, threshold: float) -
     differ = F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0")))
     differ = differ + F.bit_count(F.col("a.s1").bitwiseXOR(F.col("b.s1")))
     return (
-        a.join(b, F.col("a.word") == F.col("b.meets"))
+        a.join(b, F.col("a.word") == F.coalesce("b.meets", "b.word"))
         .where(
             (F.col("a.ord") < F.col("b.ord"))
             & (
@@ -227,7 +251,7 @@ def candidate_pairs(postings: DataFrame, leaders: DataFrame, threshold: float) -
             )
             # Holds for the first word the two share, if they are similar at all.
             & (most_shared * (t + 1.0) >= t * sizes - _EPS)
-            & F.coalesce((sizes - differ) * (t + 1.0) >= t * 2.0 * sizes - _EPS, F.lit(True))
+            & ~_too_different(sizes, differ, threshold)
         )
         .select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b"))
         .distinct()
@@ -239,6 +263,13 @@ def similar_pairs(
 ) -> DataFrame:
     """Verified pairs ``a, b, a_ord, b_ord`` with ``a`` a leader before ``b``."""
     candidates = candidate_pairs(postings, leaders, threshold)
+    # Only parity bits are fetched for all of them, words for those these cannot exclude.
+    for side in ("a", "b"):
+        signs = sets.select(F.col("rid").alias(side), F.col("size").alias(f"{side}_size"), F.col("sign").alias(f"{side}_sign"))
+        candidates = candidates.join(signs, side)
+    differ = _differing(F.col("a_sign"), F.col("b_sign"))
+    possible = candidates.where(~_too_different(F.col("a_size") + F.col("b_size"), differ, threshold))
+    candidates = materialize(possible.select("a", "b"), "candidates")
     left = sets.select(
         F.col("rid").alias("a"), F.col("ord").alias("a_ord"), F.col("words").alias("a_words")
     )
@@ -317,17 +348,16 @@ def kept_orders(
     kept: list[DataFrame] = []
     k = first_leaders
     while True:
-        postings = _postings(open_sets, threshold)
+        postings = materialize(_postings(open_sets, threshold), "postings")
         if _unrestricted(postings, fanout, max_group):
             leaders, waiting = postings, None
         else:
             leaders, horizon = _leaders(postings, k, small_group)
             # Not compared with all earlier records, or not with all later ones.
-            late = [
-                postings.select("rid", "ord", F.col(c).alias("word")).join(horizon, "word")
-                for c in ("meets", "word")
-            ]
-            late = late[0].unionByName(late[1]).where(F.col("ord") >= F.col("horizon"))
+            under = postings.select("rid", "ord", "word").unionByName(
+                postings.where("meets IS NOT NULL").select("rid", "ord", F.col("meets").alias("word"))
+            )
+            late = under.join(horizon, "word").where(F.col("ord") >= F.col("horizon"))
             waiting = materialize(late.select("rid").distinct(), "waiting")
         edges = similar_pairs(open_sets, postings, leaders, threshold)
         if waiting is None:
