@@ -89,6 +89,11 @@ def announcement_eda(
         *profile.field_measures(),
     )
     staged = materialize(staged, "eda")
+    first = placed
+    if "ord" in df.columns:
+        # So that only the few records' texts are read, not all of them ordered.
+        few = staged.orderBy("ord").limit(samples).select("ord")
+        first = placed.join(F.broadcast(few), "ord", "left_semi")
     values = {
         "formats": F.col("fmt"),
         "per_date": F.to_date(stamp),
@@ -122,7 +127,7 @@ def announcement_eda(
         "title_lengths": lengths("title_lengths"),
         "summary_lengths": lengths("summary_lengths"),
         "categories": often("categories", "category"),
-        "samples": sample_records(placed, samples),
+        "samples": sample_records(first, samples),
         "sources": profile.with_share(each("sources", "source")).orderBy(F.desc("n"), "source"),
         "authors": often("authors", "author"),
         "domains": often("domains", "domain"),
