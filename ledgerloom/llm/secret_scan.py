@@ -10,9 +10,11 @@ questions are asked of it:
 1.  Does it look uniform over that alphabet? Chi-squared of the symbol counts, the runs test on
     symbols above and below the middle, and the serial correlation of neighbours; the smallest of
     the three p-values, times three, must reach ``least_uniform``.
-2.  Could ordinary text look so even by chance? Under text the chi-squared statistic grows with the
-    length times the alphabet's imbalance, so the p-value of this null is length-aware by itself:
-    a short token can never reach it. Within a document the Benjamini-Hochberg step keeps the rate
+2.  Could ordinary text look so even by chance? Over one-case alphabets the token's likelihood as text
+    is compared with what text of its length has; a hex token, whose text would be words over a to f
+    with digits, must moreover have more letters than a number does. Over mixed-case alphabets the
+    chi-squared statistic serves, which under text grows with the length times the alphabet's
+    imbalance. So the p-value of this null is length-aware by itself. Within a document the Benjamini-Hochberg step keeps the rate
     of false discoveries at ``false_rate``.
 
 What passes both is a ``random`` span. It may overlap base spans; those always stay. Numbers of
@@ -27,6 +29,7 @@ repeated rows each get their own result; further columns are ignored.
 from __future__ import annotations
 
 from functools import reduce
+from math import log
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -41,20 +44,38 @@ BASE = (
 )
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# Narrowest first: alphabet, and how uneven text over it is: size * sum(p^2) - 1, with the letter
-# frequencies of running text in one case; for hex, of decimal digits.
+# Per cent of the letters a to z in running English text.
+LETTER_PERCENT = (
+    8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4,
+    6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074,
+)
+
+
+def _text_over(alphabet: str, letters: float) -> tuple[float, ...]:
+    """How often text has each symbol of an alphabet: ``letters`` of all are letters, digits alike."""
+    weight = [LETTER_PERCENT[_LOWER.index(c.lower())] if c.isalpha() else 0.0 for c in alphabet]
+    digits = sum(c.isdigit() for c in alphabet)
+    share = letters if digits else 1.0
+    return tuple(w / sum(weight) * share if w else (1 - share) / digits for w in weight)
+
+
+# Narrowest first: alphabet, how uneven text over it is (size * sum(p^2) - 1, with the letter
+# frequencies of running text in one case), and, for alphabets in which single letters tell, the
+# frequencies themselves. Hex texts are words over a to f, and digits.
 TEXT_EVENNESS = 0.0655
 ALPHABETS = (
-    (_DIGITS + "abcdef", 16 * 0.1 - 1),
-    (_DIGITS + "ABCDEF", 16 * 0.1 - 1),
-    (_LOWER, 26 * TEXT_EVENNESS - 1),
-    (_UPPER, 26 * TEXT_EVENNESS - 1),
-    (_UPPER + "234567", 32 * TEXT_EVENNESS - 1),
-    (_LOWER + _DIGITS, 36 * TEXT_EVENNESS - 1),
-    (_UPPER + _LOWER + _DIGITS, 62 * TEXT_EVENNESS - 1),
-    (_UPPER + _LOWER + _DIGITS + "+/", 64 * TEXT_EVENNESS - 1),
-    (_UPPER + _LOWER + _DIGITS + "-_", 64 * TEXT_EVENNESS - 1),
+    (_DIGITS + "abcdef", 0.0, _text_over(_DIGITS + "abcdef", 0.8)),
+    (_DIGITS + "ABCDEF", 0.0, _text_over(_DIGITS + "ABCDEF", 0.8)),
+    (_LOWER, 0.0, _text_over(_LOWER, 1.0)),
+    (_UPPER, 0.0, _text_over(_UPPER, 1.0)),
+    (_UPPER + "234567", 0.0, _text_over(_UPPER + "234567", 0.97)),
+    (_LOWER + _DIGITS, 0.0, _text_over(_LOWER + _DIGITS, 0.97)),
+    (_UPPER + _LOWER + _DIGITS, 62 * TEXT_EVENNESS - 1, ()),
+    (_UPPER + _LOWER + _DIGITS + "+/", 64 * TEXT_EVENNESS - 1, ()),
+    (_UPPER + _LOWER + _DIGITS + "-_", 64 * TEXT_EVENNESS - 1, ()),
 )
+# Letters in a number that holds some, such as a part number; more than that is no number.
+NUMBER_LETTERS = 0.05
 LEAST_UNIFORM = 0.001
 FALSE_RATE = 0.01
 
@@ -87,14 +108,24 @@ def tested(tokens: DataFrame) -> DataFrame:
     body = F.rtrim("token", F.lit("="))
     # A token of digits alone is hex too, but a number.
     number = F.translate(body, _DIGITS, "") == ""
-    holds = [F.translate(body, alphabet, "") == "" for alphabet, _ in ALPHABETS]
-    alphabet = _first(
-        [(number, F.lit(None).cast("string"))] + [(h, F.lit(a)) for h, (a, _) in zip(holds, ALPHABETS)]
-    )
-    uneven = _first(
-        [(number, F.lit(None).cast("double"))] + [(h, F.lit(u)) for h, (_, u) in zip(holds, ALPHABETS)]
+    holds = [F.translate(body, alphabet, "") == "" for alphabet, *_ in ALPHABETS]
+
+    def of_alphabet(kind: str, value) -> Column:
+        return _first([(number, F.lit(None).cast(kind))] + [(h, value(*a)) for h, a in zip(holds, ALPHABETS)])
+
+    logs = of_alphabet("array<double>", lambda a, u, p: F.array(*[F.lit(log(x)) for x in p]).cast("array<double>"))
+    mean = of_alphabet("double", lambda a, u, p: F.lit(sum(x * log(x) for x in p)))
+    square = of_alphabet("double", lambda a, u, p: F.lit(sum(x * log(x) ** 2 for x in p)))
+    rows = tokens.withColumns(
+        {
+            "_body": body,
+            "_alphabet": of_alphabet("string", lambda a, u, p: F.lit(a)),
+            "_uneven": of_alphabet("double", lambda a, u, p: F.lit(u)),
+            "_logs": logs,
+            "_log_mean": mean.cast("double"),
+            "_log_square": square.cast("double"),
+        }
     )
-    rows = tokens.withColumns({"_body": body, "_alphabet": alphabet, "_uneven": uneven})
     symbols = F.split("_body", "")
     rows = rows.withColumns(
         {
@@ -146,12 +177,24 @@ def tested(tokens: DataFrame) -> DataFrame:
         F.coalesce(_two_sided(z_runs), F.lit(0.0)),
         F.coalesce(_two_sided(z_serial), F.lit(0.0)),
     )
+    # Under text single symbols are as likely as in text; a random token has too many rare ones.
+    found = _total(F.col("_x"), lambda x: F.element_at(F.col("_logs"), x.cast("int")))
+    log_spread = F.sqrt((F.col("_log_square") - F.col("_log_mean") * F.col("_log_mean")) * n)
+    p_letters = normal_below((found - n * F.col("_log_mean")) / log_spread)
+    # A number with few letters in it is neither text nor random.
+    letters = F.char_length(F.translate("_body", _DIGITS, "")).cast("double")
+    few = NUMBER_LETTERS
+    p_number = F.when(
+        k == 16, normal_below((n * few - letters) / F.sqrt(n * few * (1 - few)))
+    ).otherwise(0.0)
     text_mean = freedom + n * F.col("_uneven")
     text_spread = F.sqrt(2 * freedom + 4 * n * F.col("_uneven"))
     rows = rows.withColumns(
         {
             "p_uniform": F.when(F.col("_alphabet").isNotNull(), F.least(3 * worst, F.lit(1.0))),
-            "p_text": normal_below((F.col("_chi") - text_mean) / text_spread),
+            "p_text": F.when(F.size("_logs") > 0, F.greatest(p_letters, p_number)).otherwise(
+                normal_below((F.col("_chi") - text_mean) / text_spread)
+            ),
         }
     )
     return rows.drop(*[c for c in rows.columns if c.startswith("_") and c not in tokens.columns])

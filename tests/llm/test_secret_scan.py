@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import secret_scan as op
 from ledgerloom.llm.queries_native import secret_scan
@@ -28,7 +29,7 @@ def battery(token):
     body = token.rstrip("=")
     if body.isdigit():
         return None
-    for alphabet, uneven in op.ALPHABETS:
+    for alphabet, uneven, chance in op.ALPHABETS:
         if set(body) <= set(alphabet):
             break
     else:
@@ -49,6 +50,15 @@ def battery(token):
     part = 2 / (9 * (k - 1))
     p_chi = below(-(((chi / (k - 1)) ** (1 / 3) - 1 + part) / part**0.5))
     p_text = below((chi - (k - 1) - n * uneven) / (2 * (k - 1) + 4 * n * uneven) ** 0.5)
+    if chance:
+        assert math.isclose(sum(chance), 1)
+        logs = [math.log(p) for p in chance]
+        expected = sum(p * l for p, l in zip(chance, logs))
+        variance = sum(p * (l - expected) ** 2 for p, l in zip(chance, logs))
+        p_text = below((sum(logs[alphabet.index(c)] for c in body) - n * expected) / (n * variance) ** 0.5)
+        if k == 16:
+            letters = sum(c.isalpha() for c in body)
+            p_text = max(p_text, below((0.05 * n - letters) / (0.05 * 0.95 * n) ** 0.5))
     return min(1, 3 * min(p_chi, p_runs, p_serial)), p_text
 
 
@@ -123,3 +133,37 @@ def test_normal_distribution(spark, z):
 
     found = spark.range(1).select(op.normal_below(F.lit(z)).alias("p")).first().p
     assert found == pytest.approx(0.5 * math.erfc(-z / 2**0.5), abs=1e-7)
+
+
+@pytest.mark.parametrize(
+    "alphabet, floors",
+    [
+        ("0123456789ABCDEF", {20: 0.8, 24: 0.9, 32: 0.95, 64: 0.97}),
+        ("abcdefghijklmnopqrstuvwxyz", {20: 0.85, 24: 0.9, 32: 0.95, 64: 0.97}),
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", {20: 0.9, 24: 0.95, 32: 0.95, 64: 0.97}),
+        ("abcdefghijklmnopqrstuvwxyz0123456789", {20: 0.9, 24: 0.95, 64: 0.97}),
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", {20: 0.9, 24: 0.95, 64: 0.97}),
+    ],
+)
+def test_share_of_random_tokens_found(spark, alphabet, floors):
+    rng = random.Random(17)
+    tokens = [(n, "".join(rng.choice(alphabet) for _ in range(n))) for n in floors for _ in range(300)]
+    tested = op.tested(spark.createDataFrame(tokens, "n long, token string"))
+    passed = (F.col("p_uniform") >= op.LEAST_UNIFORM) & (F.col("p_text") <= op.FALSE_RATE)
+    share = {r.n: r.share for r in tested.groupBy("n").agg(F.avg(passed.cast("double")).alias("share")).collect()}
+    assert all(share[n] >= floor for n, floor in floors.items()), share
+
+
+def test_text_and_numbers_are_not_found(spark):
+    """Running text without spaces, words over a to f, and numbers with a few letters."""
+    text = (
+        "itwasthebestoftimesitwastheworstoftimesitwastheageofwisdomitwastheageoffoolishnessitwastheepochofbelief"
+        "itwastheepochofincredulityitwastheseasonoflightitwastheseasonofdarknessitwasthespringofhope"
+    )
+    tokens = [text[i : i + n] for n in (20, 24, 32, 48) for i in range(0, 140, 7)]
+    tokens += [t.upper() for t in tokens]
+    tokens += ["deadbeefcafefacedecade00", "faceddecadebeadedfacade1", "20240229123000000001a", "00000000000000000000ff", "1234567890123456789012b"]
+    tested = op.tested(spark.createDataFrame([(t,) for t in tokens], "token string"))
+    passed = (F.col("p_uniform") >= op.LEAST_UNIFORM) & (F.col("p_text") <= op.FALSE_RATE)
+    found = [r.token for r in tested.where(passed).collect()]
+    assert len(found) <= 0.02 * len(tokens), found
