@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 _SEED = 20_240_229
 
 IS_WHITE = np.zeros(256, bool)
@@ -156,12 +156,12 @@ class Hasher:
         """What ``spans`` needs to hash ranges of ``data``."""
         n = len(data)
         self._grow(n + 1)
-        halves = []
+        values, halves = data + _U(1), []
         for part in (self.power[:n] & _U(0xFFFFFFFF), self.power[:n] >> _U(32)):
             sums = np.zeros(n + 1, np.uint64)
             for low in range(0, n, _SEGMENT):  # reduced now and then, so that sums stay below 2^64
                 here = slice(low, low + _SEGMENT)
-                sums[low + 1 : low + 1 + _SEGMENT] = np.cumsum((data[here] + _U(1)) * part[here])
+                sums[low + 1 : low + 1 + _SEGMENT] = np.cumsum(values[here] * part[here])
                 if low:
                     sums[low + 1 : low + 1 + _SEGMENT] += _modulo(sums[low : low + 1])
             halves.append(sums)
