@@ -106,7 +106,8 @@ def read_phrasebank(spark: SparkSession, folder: str, config: str = "sentences_a
 
 
 def csv_headers(spark: SparkSession, path: str) -> DataFrame:
-    """``file, header`` of all CSV files below ``path``: each one's first record, as it stands there."""
+    """``file, header, cells`` of all CSV files below ``path``: each one's first line, and where a quote in
+    it stays open, the cells of the first record."""
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
@@ -129,25 +130,31 @@ def csv_headers(spark: SparkSession, path: str) -> DataFrame:
     broken = [r.file for r in headers.where(open_end).collect()]
     if broken:
         cells = spark.read.option("escape", '"').option("multiLine", True).csv(broken)
-        record = F.to_json(F.array(*[F.col(f"`{c}`") for c in cells.columns]))
+        record = F.array(*[F.col(f"`{c}`") for c in cells.columns])
+        # Files with more columns make the others' records longer.
+        filled = F.array_position(F.reverse(F.transform(record, lambda c: c.isNotNull())), True)
+        record = F.slice(record, F.lit(1), F.size(record) + 1 - filled.cast("int"))
         records = cells.select(
             F.col("_metadata.file_path").alias("file"),
             F.monotonically_increasing_id().alias("place"),
             record.alias("value"),
         )
-        whole = records.groupBy("file").agg(F.min_by("value", "place").alias("header"))
-        headers = headers.where(~open_end).unionByName(whole)
+        whole = records.groupBy("file").agg(F.min_by("value", "place").alias("cells"))
+        headers = headers.join(whole, "file", "left")
+    else:
+        headers = headers.withColumn("cells", F.lit(None).cast("array<string>"))
     return headers
 
 
-def header_names(header: Column, most: int) -> Column:
+def header_names(header: Column, record: Column, most: int) -> Column:
     """A header's column names as Spark's reader gives them: empty ones and repeated ones get their
-    place. ``most`` is at least the number of names."""
+    place. ``record`` has the cells where the header line does not; ``most`` is at least their number."""
     fields = ", ".join(f"c{i} string" for i in range(most))
     cells = F.from_csv(header, fields, {"escape": '"'})
     # How many there are: what follows the last name is absent, but so may be a name.
     count = F.size(F.split(F.regexp_replace(header, r'"(?:[^"]|"")*"', ""), ","))
     names = F.slice(F.array(*[cells[f"c{i}"] for i in range(most)]), F.lit(1), count)
+    names = F.coalesce(record, names)
     blank = lambda n: F.coalesce(n, F.lit("")) == ""
     alike = lambda n: F.size(F.filter(names, lambda x: F.lower(x) == F.lower(n))) > 1
 
@@ -162,7 +169,7 @@ def csv_cells(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """All CSV files below ``path`` in one scan, whatever their columns: ``file, values`` per record, and
     ``file, names`` per file. ``values`` are by place; missing-value texts are null."""
     headers = csv_headers(spark, path)
-    commas = F.size(F.split("header", ","))
+    commas = F.greatest(F.size(F.split("header", ",")), F.coalesce(F.size("cells"), F.lit(0)))
     most = headers.agg(F.max(commas)).first()[0] or 1
     fields = [f"c{i}" for i in range(most)]
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
@@ -171,7 +178,7 @@ def csv_cells(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     cells = cells.select(
         F.col("_metadata.file_path").alias("file"), F.array(*[_missing_to_null(c) for c in fields]).alias("values")
     )
-    names = headers.select("file", header_names(F.col("header"), most).alias("names"))
+    names = headers.select("file", header_names(F.col("header"), F.col("cells"), most).alias("names"))
     return cells, materialize(names, "csv-names")
 
 
