@@ -68,26 +68,44 @@ def collect_announcements(
     )
 
 
-def announcement_eda(
-    df: DataFrame, samples: int = 5, formats: Sequence[str] = dates.DEFAULT_FORMATS
-) -> dict[str, DataFrame]:
-    """All statistics of an announcement corpus, one DataFrame each.
-
-    What is staged is narrow: dates, lengths, beginnings of texts, and the values that are counted,
-    never whole titles or summaries. All frequency tables and length histograms come from one pass
-    over it. ``samples`` alone reads the records again, for its few rows.
+def announcement_measures(
+    df: DataFrame, formats: Sequence[str] = dates.DEFAULT_FORMATS, measured: Sequence[str] = ()
+) -> DataFrame:
+    """What ``announcement_eda`` counts of every record: dates, lengths, beginnings of texts, and the
+    values of its frequency tables, never whole titles or summaries. Row by row.
+
+    Fields named in ``measured`` come with their ``profile.field_measures`` instead of their text, so
+    that a caller can measure long texts before a join and need not shuffle them.
     """
-    placed = df if "ord" in df.columns else df.withColumn("ord", F.monotonically_increasing_id())
-    stamp, order = F.col("ts"), F.col("ord")
-    staged = placed.withColumn("_p", dates.parse_published(F.col("published"), formats)).select(
+    others = [f for f in profile.PROFILE_FIELDS if f not in measured]
+    return df.withColumn("_p", dates.parse_published(F.col("published"), formats)).select(
         "ord",
         F.col("_p.ts").alias("ts"),
         F.col("_p.fmt").alias("fmt"),
         *[F.substring(c, 1, 1).alias(c) for c in ("title", "published", "link")],
         *("category", "source", "author"),
         T.link_domain(F.col("link")).alias("domain"),
-        *profile.field_measures(),
+        *profile.field_measures(others),
+        *[f"_{m}_{f}" for f in measured for m in ("len", "cut")],
     )
+
+
+def announcement_eda(
+    df: DataFrame,
+    samples: int = 5,
+    formats: Sequence[str] = dates.DEFAULT_FORMATS,
+    measures: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """All statistics of an announcement corpus, one DataFrame each.
+
+    What is staged is narrow, see ``announcement_measures``; ``measures`` is that table of the same
+    records, with the same ``ord``, where the caller has it. All frequency tables and length
+    histograms come from one pass over it. ``samples`` alone reads the records again, for its few
+    rows.
+    """
+    placed = df if "ord" in df.columns else df.withColumn("ord", F.monotonically_increasing_id())
+    stamp, order = F.col("ts"), F.col("ord")
+    staged = announcement_measures(placed, formats) if measures is None else measures
     staged = materialize(staged, "eda")
     first = placed
     if "ord" in df.columns:

@@ -132,9 +132,9 @@ RECORDS_SQL = """SELECT d.doc_id, CASE WHEN quality = 0 AND toxic = 1 THEN '' EL
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 
-def document_records(t: Tables) -> DataFrame:
+def document_records(t: Tables, documents: DataFrame | None = None, *more: Column) -> DataFrame:
     n = F.col("doc_id")
-    joined = t.documents.join(t.labels, "doc_id", "left")
+    joined = (t.documents if documents is None else documents).join(t.labels, "doc_id", "left")
     link = F.when(n % 3 == 0, F.concat(F.lit("/doc/"), n)).otherwise(
         F.concat(F.lit("https://"), "source", F.lit(".example.org/"), n)
     )
@@ -145,6 +145,7 @@ def document_records(t: Tables) -> DataFrame:
         link.alias("link"),
         F.when(F.col("toxic") == 1, "  ").when(F.col("toxic") == 0, F.col("lang")).alias("category"),
         "source",
+        *more,
     )
 
 
@@ -1172,11 +1173,17 @@ EDA_SQL = f"""WITH r AS MATERIALIZED ({EDA_ROWS_SQL}),
 @query("q2_announcement_eda_job", EDA_SQL)
 def _(t):
     """All fifteen statistics of the job in long form."""
-    rows = document_records(t).select(
-        F.col("doc_id").alias("ord"), "title", "published", "link", "category", "source",
-        F.col("source").alias("summary"), F.lit("x").alias("author"),
-    )
-    eda = jobs.announcement_eda(rows)
+    others = [F.col("source").alias("summary"), F.lit("x").alias("author")]
+    fields = [F.col("doc_id").alias("ord"), "title", "published", "link", "category", "source", *others]
+    rows = document_records(t).select(*fields)
+    # Texts are measured before labels join, so the join does not carry them.
+    texts = t.documents.withColumn("title", F.col("text"))
+    measured = texts.select("doc_id", "lang", "source", F.substring("text", 1, 1).alias("text"),
+                            *profile.field_measures(["title"]))
+    hidden = F.coalesce((F.col("quality") == 0) & (F.col("toxic") == 1), F.lit(False))
+    shown = [F.when(~hidden, F.col(c)).alias(c) for c in ("_len_title", "_cut_title")]
+    measured = document_records(t, measured, *shown).select(*fields, "_len_title", "_cut_title")
+    eda = jobs.announcement_eda(rows, measures=jobs.announcement_measures(measured, measured=["title"]))
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
     shown = [F.col(c) for c in ("title", "category", "published", "source", "summary", "link")]
     span = F.concat(day("first"), F.lit(" "), day("last"))
