@@ -11,7 +11,9 @@
     documents are aligned as they came, so the order of the work does not matter.
 5.  With ``every_holder``, a telling line that is still there goes on to its other earlier holders,
     in rounds of 1, 2, 4, … holders, until it is aligned with one or none is left. Documents of
-    equal lines count as one holder, and no pair is aligned twice.
+    equal lines count as one holder, and no pair is aligned twice. Only holders with which the line
+    can be aligned at all are tried: those that share a key of ``partner_keys``. So a line that
+    stands in many documents and is aligned in none of them pairs none of them.
 
 Order is by id. Defined results: null text is empty; documents without telling lines stay whole.
 Rows that repeat an id and a text are one document, and are treated alike; other texts of one id
@@ -30,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.llm.words import Hasher, pieces, word_bounds
+from ledgerloom.llm.words import PRIME, Hasher, pieces, word_bounds
 from ledgerloom.operators.index import dense_index
 from ledgerloom.session import materialize
 
@@ -91,6 +93,53 @@ def removed_lines(a: list[int], b: list[int], telling: list[bool]) -> list[int]:
     return out
 
 
+# The sums over lines, and what makes one key of three of them.
+_BASE, _LINE, _BEFORE, _AFTER = (3**33 % PRIME, 5**31 % PRIME, 7**29 % PRIME, 11**27 % PRIME)
+
+
+def partner_keys(
+    lines: list[int], telling: list[bool]
+) -> tuple[list[int], list[int], list[tuple[int, int, int]]]:
+    """``offers, asks, own`` of a document; ``own`` has ``h, start, end`` per telling line.
+
+    Patience diff aligns a line ``h`` of two documents only if
+
+    * ``h`` is in the run both begin with: then they agree up to their first ``h``, ``start``;
+    * ``h`` is in the run both end with: then they agree from their last ``h`` on, ``end``;
+    * or, with both runs cut off, some line stands once in either rest. Its other places are then in
+      those runs, so the documents agree up to the place before and from the place after it: these
+      and the line make the line's key. One of these keys is among the earlier document's ``offers``
+      and the later one's ``asks``. Two first or two last lines are in the runs, so they are no match.
+    """
+    n = len(lines)
+    values = [h % PRIME + 1 for h in lines]
+    front, back, sums = [0] * n, [0] * n, 0
+    for j in range(n):
+        sums = front[j] = (sums * _BASE + values[j]) % PRIME
+    sums = 0
+    for j in reversed(range(n)):
+        sums = back[j] = (sums * _BASE + values[j]) % PRIME
+    after: dict[int, int] = {}
+    rest = [0] * n
+    for j in reversed(range(n)):
+        rest[j] = after.get(lines[j], 0)
+        after[lines[j]] = back[j]
+    before: dict[int, int] = {}
+    offers, asks, own = [], [], {}
+    for j, h in enumerate(lines):
+        key = (values[j] * _LINE + before.get(h, 0) * _BEFORE + rest[j] * _AFTER) % PRIME
+        edge = 1 if j == 0 else 2 if j == n - 1 else 0
+        offers.append(4 * key + edge)
+        asks += [4 * key + other for other in (0, 1, 2) if other == 0 or other != edge]
+        before[h] = front[j]
+        if telling[j]:
+            first, _ = own.get(h, (front[j], 0))
+            own[h] = first, back[j]
+    # The fourth remainder keeps these apart from the keys of lines.
+    runs = [(h, x * _BEFORE % PRIME, y * _AFTER % PRIME) for h, (x, y) in own.items()]
+    return offers, asks, [(h, 4 * x + 3, 4 * y + 3) for h, x, y in runs]
+
+
 def document_lines(docs: DataFrame, doc_id: str, text: str, least_words: int) -> DataFrame:
     """``doc_id, k, hashes, telling`` per row with an id."""
 
@@ -189,6 +238,63 @@ def _left(lines: DataFrame, gone: DataFrame) -> DataFrame:
     return _held(kept.select("doc_id", "k", "hashes", stays.alias("telling")))
 
 
+def _partner_keys(one: DataFrame) -> DataFrame:
+    """``doc, offers, asks, own`` of every row of ``one``, see ``partner_keys``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [partner_keys(*x) for x in zip(*(batch.column(c).to_pylist() for c in (2, 3)))]
+            own = [[{"h": h, "start": a, "end": b} for h, a, b in x[2]] for x in found]
+            lists = pa.list_(pa.int64())
+            struct = pa.list_(pa.struct([(c, pa.int64()) for c in ("h", "start", "end")]))
+            keys = [pa.array([x[c] for x in found], lists) for c in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], *keys, pa.array(own, struct)], ["doc_id", "k", "offers", "asks", "own"]
+            )
+
+    keys = one.select("doc_id", "k", "hashes", "telling").mapInArrow(
+        run,
+        "doc_id long, k long, offers array<long>, asks array<long>,"
+        " own array<struct<h: long, start: long, end: long>>",
+    )
+    return keys.select(F.struct("doc_id", "k").alias("doc"), "offers", "asks", "own")
+
+
+def _possible_holders(one: DataFrame, left: DataFrame, holders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``held`` numbers the holders of every line and key, in order (``doc, at``). ``todo`` has, for
+    each line left and each of its document's keys, the numbers ``start`` to ``stop`` to try."""
+    holding = _held(one).join(left.select("h").distinct(), "h", "left_semi").join(holders, "doc", "left_semi")
+    holding = materialize(holding.select("doc", "h"), "lines-held")
+    asking = left.join(holders, "doc", "left_semi").select("doc", "h")
+    keys = materialize(_partner_keys(one.join(holding.select("doc").distinct(), "doc", "left_semi")), "partner-keys")
+    offers = keys.select("doc", F.explode("offers").alias("key"))
+    asks = keys.join(asking.select("doc").distinct(), "doc", "left_semi").select("doc", F.explode("asks").alias("key"))
+    # Most keys are one document's alone. They go before lines meet keys.
+    shared = offers.groupBy("key").agg(F.min("doc").alias("low")).join(
+        asks.groupBy("key").agg(F.max("doc").alias("high")), "key"
+    )
+    shared = materialize(shared.where("low < high"), "shared-keys")
+    offers = offers.join(shared, "key").where("doc < high").select("doc", "key")
+    asks = asks.join(shared, "key").where("doc > low").select("doc", "key")
+    runs = keys.select("doc", F.explode("own").alias("x"))
+    runs = runs.select("doc", "x.h", F.explode(F.array("x.start", "x.end")).alias("key"))
+    asks = asks.join(asking, "doc").select("h", "key", "doc")
+    asks = asks.unionByName(runs.join(asking, ["doc", "h"], "left_semi").select("h", "key", "doc"))
+    asks = materialize(asks, "line-keys")
+    offers = offers.join(holding, "doc").select("h", "key", "doc")
+    offers = offers.unionByName(runs.join(holding, ["doc", "h"], "left_semi").select("h", "key", "doc"))
+    last = asks.groupBy("h", "key").agg(F.max("doc").alias("high"))
+    offers = offers.join(last, ["h", "key"]).where("doc <= high").select("h", "key", "doc")
+    held = materialize(dense_index(offers, ["h", "key", "doc"], "at"), "line-holders")
+    groups = held.groupBy("h", "key").agg(
+        F.min("at").alias("start"), (F.max("at") + 1).alias("end"), F.min("doc").alias("low")
+    )
+    todo = asks.join(groups, ["h", "key"]).where("low < doc").join(held, ["h", "key", "doc"], "left")
+    # A document that does not hold the key itself asks all holders; the later ones are left out.
+    todo = todo.select("doc", "h", "start", F.coalesce("at", "end").alias("stop"))
+    return held, materialize(todo.distinct(), "lines-to-pair")
+
+
 def _other_holders(lines: DataFrame, first: DataFrame, pairs: DataFrame, gone: DataFrame) -> DataFrame:
     """What goes besides ``gone`` once every telling line left has met all its earlier holders."""
     left = _left(lines, gone).join(first, "h").where(F.col("doc") > F.col("source"))
@@ -207,21 +313,16 @@ def _other_holders(lines: DataFrame, first: DataFrame, pairs: DataFrame, gone: D
     found = [gone, materialize(of_copies, "aligned-copies")]
 
     holders = same.where(F.col("doc") == F.col("source")).select("doc")
-    held = _held(one).join(left.select("h").distinct(), "h", "left_semi").join(holders, "doc", "left_semi")
-    held = materialize(dense_index(held.select("h", "doc"), ["h", "doc"], "at"), "line-holders")
-    start = held.groupBy("h").agg(F.min("at").alias("start"))
-    # A line's holders have consecutive numbers; those from ``start`` to ``at`` are earlier.
-    todo = held.join(left, ["h", "doc"], "left_semi").join(start, "h")
-    todo = materialize(todo.where(F.col("at") > F.col("start") + 1), "lines-to-pair")
+    held, todo = _possible_holders(one, left, holders)
     docs = todo.select("doc").distinct()
     open_lines = materialize(one.join(docs, "doc", "left_semi").select(*lines.columns), "open-lines")
     tried = materialize(pairs.join(docs, "doc", "left_semi").select("source", "doc"), "pairs-tried")
-    low, step = 1, 1  # the first holder is behind
+    low, step = 0, 1
     while not todo.isEmpty():
-        until = F.least(F.col("start") + low + step, F.col("at")) - 1
+        until = F.least(F.col("start") + low + step, F.col("stop")) - 1
         asked = todo.select("doc", F.explode(F.sequence(F.col("start") + low, until)).alias("at"))
         source = held.select("at", F.col("doc").alias("source"))
-        new = asked.join(source, "at").select("source", "doc").distinct()
+        new = asked.join(source, "at").where(F.col("source") < F.col("doc")).select("source", "doc").distinct()
         new = materialize(new.join(tried, ["source", "doc"], "left_anti"), "more-pairs")
         found.append(materialize(_aligned_pairs(new, lines), "more-aligned-lines"))
         tried = tried.unionByName(new)
@@ -229,7 +330,7 @@ def _other_holders(lines: DataFrame, first: DataFrame, pairs: DataFrame, gone: D
         still = _left(open_lines, reduce(DataFrame.unionByName, found).join(
             open_lines.select("doc_id", "k"), ["doc_id", "k"], "left_semi"
         ))
-        todo = todo.where(F.col("at") > F.col("start") + low).join(still, ["doc", "h"], "left_semi")
+        todo = todo.where(F.col("stop") > F.col("start") + low).join(still, ["doc", "h"], "left_semi")
         todo = materialize(todo, "lines-to-pair")
     return reduce(DataFrame.unionByName, found)
 

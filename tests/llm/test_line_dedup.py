@@ -75,6 +75,46 @@ def test_every_earlier_holder(spark):
     assert all(found[200 + i] == "" for i in range(10) if any(len(x.split()) >= 5 for x in lines[200 + i]))
 
 
+def test_partner_keys():
+    """Whatever patience diff aligns shares a key, and most other pairs share none."""
+    met = possible = 0
+    for seed in range(4000):
+        rng = random.Random(seed)
+        many = rng.choice([3, 6, 12, 40])
+        a, b = ([rng.randrange(many) for _ in range(rng.randrange(1, 12))] for _ in range(2))
+        if seed % 3 == 0:
+            b = b[: rng.randrange(3)] + a[: rng.randrange(6)] + b[3:] + a[len(a) - rng.randrange(3) :]
+        if not b:
+            continue
+        offers, _, own_a = op.partner_keys(a, [True] * len(a))
+        _, asks, own_b = op.partner_keys(b, [True] * len(b))
+        runs = {x[0]: x[1:] for x in own_a}
+        same = {h for h, *x in own_b if h in runs and any(k == y for k, y in zip(runs[h], x))}
+        anchored = not set(offers).isdisjoint(asks)
+        found = {a[i] for i, _ in op.aligned(a, b)}
+        assert anchored or found == same
+        assert found or not anchored
+        met, possible = met + bool(found), possible + (anchored or bool(same))
+    assert met == possible > 1000
+
+
+def test_lines_that_never_align(spark, monkeypatch):
+    """Two hot lines twice in every document, and the line break at the end, pair no holders."""
+    nav, more = "to the top of the page", "read more about all of this"
+    rows = [
+        (i, f"{i} own\n{nav}\n{i} a\n{more}\n{i} b\n{nav}\n{i} c\n{more}\n{i} d\n") for i in range(300)
+    ]
+    rows += [(900, f"900 own\n{nav}\n5 a\n{more}\n{nav}\n{more}\nx\n")]
+    pairs = []
+    true = op._aligned_pairs
+    monkeypatch.setattr(op, "_aligned_pairs", lambda p, lines: pairs.append(p.count()) or true(p, lines))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.n_removed for r in op.remove_aligned_lines(df, every_holder=True).collect()}
+    assert sum(pairs) < 2 * len(rows)
+    # Document 5 shows its line "5 a", which parts the hot lines: all between the own line and x go.
+    assert found.pop(900) == 5 and set(found.values()) == {0}
+
+
 def test_query_meets_every_holder(spark, tmp_path):
     a, b = "a line of five words", "b line of five words"
     rows = [(1, f"{a}\n{b}"), (2, f"{b}\n{a}"), (3, f"{b}\n{a}\nx")]
