@@ -29,12 +29,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerloom.operators.index import dense_index
 from ledgerloom.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_REPEATS = 3
 BLOCK_ROWS = 1000
 LANDING_ROWS = 12
+LEVEL_CUTS = 64
 _SEED = 7
 _NEAR = 1e-9
 
@@ -51,7 +53,8 @@ def source_targets(
 ) -> DataFrame:
     """``source, source_rows, source_size, target``, one row per source.
 
-    Sorting and sharing see one row per source, never the documents.
+    Sorting and sharing see one row per source, never the documents, and neither puts all sources in
+    one task. The number of rounds grows with the logarithm of the number of sources.
     """
     sources = materialize(
         sizes.groupBy("source").agg(
@@ -59,14 +62,15 @@ def source_targets(
         ),
         "sources",
     )
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    place = (F.row_number().over(order) - 1) % len(weights)
+    numbered = dense_index(sources.withColumn("unnamed", F.isnull("source")), ["unnamed", "source"], "place")
+    place = (F.col("place") % len(weights)).cast("int")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place + 1)
     cap = F.col("source_size") * F.lit(float(most_repeats))
     sources = materialize(
-        sources.select("*", weight.alias("weight"), cap.alias("cap")), "source-weights"
+        numbered.select("source", "source_rows", "source_size", weight.alias("weight"), cap.alias("cap")),
+        "source-weights",
     )
-    level, full = 0.0, 0
+    level, full = _level_below(sources), 0
     while True:  # each round fixes at least one more source at its cap
         above = F.col("cap") <= F.col("weight") * F.lit(level) if level else F.lit(False)
         now = sources.agg(
@@ -82,6 +86,26 @@ def source_targets(
     return sources.select("source", "source_rows", "source_size", target.alias("target"))
 
 
+def _level_below(sources: DataFrame) -> float:
+    """The largest level, of those at which a source meets its cap, that does not share out more than
+    all words; 0 if there is none."""
+    total = sources.agg(F.sum("source_size")).first()[0] or 0
+    ratio = F.col("cap") / F.col("weight")
+    low, high = 0.0, float("inf")
+    while True:  # leaves about one of ``LEVEL_CUTS`` levels each time
+        between = sources.where((ratio > low) & (ratio < high))
+        cuts = between.agg(
+            F.percentile_approx(ratio, [(i + 0.5) / LEVEL_CUTS for i in range(LEVEL_CUTS)])
+        ).first()[0]
+        if not cuts:
+            return low
+        cuts = sorted(set(cuts))
+        shared = [F.sum(F.least(F.col("cap"), F.col("weight") * F.lit(c))) for c in cuts]
+        sums = sources.agg(*[x.alias(f"s{i}") for i, x in enumerate(shared)]).first()
+        low = max([low, *(c for c, x in zip(cuts, sums) if x <= total)])
+        high = min([high, *(c for c, x in zip(cuts, sums) if x > total)])
+
+
 def _draw(*parts: Column) -> Column:
     """A number in [0, 1) from a hash."""
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) / F.lit(float(1 << 52))

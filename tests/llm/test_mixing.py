@@ -108,3 +108,20 @@ def test_ids_on_different_texts(spark):
     mix = op.mix_sources(docs)
     written = sum(len((r.text or "").split()) for r in op.mixed_documents(docs, mix).collect())
     assert written == sum(r.taken for r in mix.collect())
+
+
+def test_targets_of_many_sources(spark):
+    """Each source's cap is met at a level of its own, against filling up one source after another."""
+    rng = random.Random(5)
+    sizes = {f"s{i:03}": int(1.05**i) + rng.randrange(3) for i in range(300)} | {"z\U0001f600": 40, "z￮": 7, None: 90}
+    rows = [(i, s, x) for i, (s, x) in enumerate(sizes.items())]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(5)
+    found = {r.source: r.target for r in op.source_targets(df).collect()}
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    left, shares, targets = sum(sizes.values()), sum(weight.values()), {}
+    for s in sorted(order, key=lambda s: 3 * sizes[s] / weight[s]):
+        targets[s] = min(3 * sizes[s], weight[s] * left / shares)
+        left, shares = left - targets[s], shares - weight[s]
+    assert all(abs(found[s] - targets[s]) <= 1e-9 * targets[s] for s in order) and len(found) == len(order)
+    assert 0 < sum(targets[s] == 3 * sizes[s] for s in order) < len(order)
