@@ -17,7 +17,10 @@ Similarity is the Jaccard ratio of lower-cased word sets. The steps, each a join
     ``hot words - o + l`` of either they share ``l`` (Wang et al. 2012). Sets without ``o`` hot words are
     out, and the others meet under ``l`` of their hot words at once, together with the two sizes. Dissimilar
     records that share a few hot words therefore never meet.
-5.  Pairs that meet are compared by sizes, place of the word, and parity bits of their sets, before any
+5.  Larger sets meet under several words of somewhat longer prefixes: where ``l - 1`` more of the first words
+    are looked at, similar sets share ``l`` of them (Wang et al. 2012). Large sets that share a few rare words by
+    chance are told apart by counting, when parity bits are too few for them.
+    Pairs that meet are compared by sizes, place of the word, and parity bits of their sets, before any
     words are fetched: sets that differ in ``d`` bits differ in ``d`` words at least.
 6.  Verified pairs are a small graph in record order; it is resolved by rounds of "no open earlier
     neighbour: keep; a kept earlier neighbour: drop". Paths of records with one earlier neighbour each
@@ -43,6 +46,7 @@ HOT_HOLDERS = 1000
 SIGNED_WORDS = 128  # 128 parity bits say little about larger sets
 SIGNATURE = 16  # longs of parity bits that decide before words are fetched
 MOST_KEYS = 64  # of one set, under one partner size
+WORDS_A_MEETING = 64  # a set of so many words more must share one word more to meet another
 PLAIN_ROUNDS = 3  # before paths are looked for
 
 
@@ -57,6 +61,22 @@ def least_shared(x: Column, y: Column, threshold: float) -> Column:
     return F.ceil((x + y) * F.lit(threshold / (1 + threshold)) - F.lit(_EPS)).cast("int")
 
 
+def _wide(x: Column, threshold: float) -> Column:
+    """Whether sets of this size have partners for which hot words have too many combinations. These
+    sets meet under single words, hot ones too."""
+    if threshold < 0.5:  # partner sizes would be many, and sets would share few words
+        return F.lit(True)
+    largest = F.floor(x / threshold + _EPS).cast("int")
+    return largest - least_shared(x, largest, threshold) > _most_excess(2)
+
+
+def _meetings(x: Column, threshold: float) -> Column:
+    """Of how many words in its prefix a set of this size must share with a similar one, if that one asks
+    for as many and they share so many at all."""
+    several = 1 + F.floor(x / WORDS_A_MEETING)
+    return F.when(_wide(x, threshold), several).otherwise(F.lit(1)).cast("int")
+
+
 def _parity(places: Column, words: int) -> Column:
     """``64 * words`` parity bits of a set as longs: a word turns over the bit at its place."""
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
@@ -151,16 +171,15 @@ def _postings(sets: DataFrame, threshold: float) -> DataFrame:
     the other ``meets``. That is one word (then ``meets`` is null: the same) or, for hot words, several
     with the own and the partner's size, so that sets of one size never meet for the sake of another."""
     of = ["rid", "ord", "size", "s0", "s1"]
-    prefix = F.slice("words", F.lit(1), prefix_size(F.col("size"), threshold))
-    if threshold < 0.5:  # partner sizes would be many, and sets would share few words
+    looked_at = prefix_size(F.col("size"), threshold) + _meetings(F.col("size"), threshold) - 1
+    prefix = F.slice("words", F.lit(1), looked_at)
+    if threshold < 0.5:
         return sets.select(*of, F.posexplode(prefix).alias("pos", "word")).withColumn("meets", F.lit(None).cast("string"))
     x, y, hot = F.col("size"), F.col("y"), F.col("size") - F.col("cold")
     largest = F.floor(x / threshold + _EPS).cast("int")
     three, two = _most_excess(3), _most_excess(2)
-    # Where a partner would have too many combinations, single words serve.
-    wide = largest - least_shared(x, largest, threshold) > two
     single = sets.select(*of, "cold", F.posexplode(prefix).alias("pos", "word"))
-    single = single.where((F.col("pos") < F.col("cold")) | wide).drop("cold")
+    single = single.where((F.col("pos") < F.col("cold")) | _wide(x, threshold)).drop("cold")
     single = single.withColumn("meets", F.lit(None).cast("string"))
     smallest = F.greatest(F.ceil(x * threshold - _EPS), F.lit(1)).cast("int")
     met = sets.where(hot >= least_shared(x, smallest, threshold)).select(
@@ -235,11 +254,15 @@ def _leaders(postings: DataFrame, k: int, small: int) -> tuple[DataFrame, DataFr
 
 
 def candidate_pairs(postings: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
-    """``a, b`` with ``a`` a leader before ``b``, that sizes, places and parity bits cannot exclude."""
+    """``a, b`` with ``a`` a leader before ``b``, that sizes, places, parity bits and the number of words they
+    meet under cannot exclude. A pair of two waiting records may be left out, as not all of its words have
+    ``a`` for a leader; it decides nothing in this round."""
     t = F.lit(threshold)
     a, b = leaders.alias("a"), postings.alias("b")
     sizes = F.col("a.size") + F.col("b.size")
     most_shared = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
+    asked = F.least(_meetings(F.col("a.size"), threshold), _meetings(F.col("b.size"), threshold))
+    asked = F.greatest(F.least(asked, least_shared(F.col("a.size"), F.col("b.size"), threshold)), F.lit(1))
     differ = F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0")))
     differ = differ + F.bit_count(F.col("a.s1").bitwiseXOR(F.col("b.s1")))
     return (
@@ -249,12 +272,21 @@ def candidate_pairs(postings: DataFrame, leaders: DataFrame, threshold: float) -
             & (
                 F.least("a.size", "b.size") >= t * F.greatest("a.size", "b.size") - _EPS
             )
-            # Holds for the first word the two share, if they are similar at all.
-            & (most_shared * (t + 1.0) >= t * sizes - _EPS)
+            # Holds for the first words the two share, if they are similar at all.
+            & ((most_shared + asked - 1) * (t + 1.0) >= t * sizes - _EPS)
             & ~_too_different(sizes, differ, threshold)
         )
-        .select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b"))
-        .distinct()
+        .select(
+            F.col("a.rid").alias("a"),
+            F.col("b.rid").alias("b"),
+            asked.alias("asked"),
+            # Several words at once are enough.
+            F.when(F.col("b.meets").isNull(), F.lit(1)).otherwise(asked).alias("met"),
+        )
+        .groupBy("a", "b")
+        .agg(F.sum("met").alias("met"), F.first("asked").alias("asked"))
+        .where("met >= asked")
+        .select("a", "b")
     )
 
 
@@ -270,17 +302,17 @@ def similar_pairs(
     differ = _differing(F.col("a_sign"), F.col("b_sign"))
     possible = candidates.where(~_too_different(F.col("a_size") + F.col("b_size"), differ, threshold))
     candidates = materialize(possible.select("a", "b"), "candidates")
-    left = sets.select(
-        F.col("rid").alias("a"), F.col("ord").alias("a_ord"), F.col("words").alias("a_words")
-    )
-    right = sets.select(
-        F.col("rid").alias("b"), F.col("ord").alias("b_ord"), F.col("words").alias("b_words")
-    )
+
+    def fetched(side: str) -> DataFrame:
+        # Words of sets in no pair are not moved.
+        words = sets.select(F.col("rid").alias(side), F.col("ord").alias(f"{side}_ord"), F.col("words").alias(f"{side}_words"))
+        return words.join(candidates.select(side).distinct(), side, "left_semi")
+
     shared = F.size(F.array_intersect("a_words", "b_words"))
     union = F.size("a_words") + F.size("b_words") - shared
     return (
-        candidates.join(left, "a")
-        .join(right, "b")
+        candidates.join(fetched("a"), "a")
+        .join(fetched("b"), "b")
         .where(shared.cast("double") / union > F.lit(threshold))
         .select("a", "b", "a_ord", "b_ord")
     )

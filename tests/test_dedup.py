@@ -171,3 +171,33 @@ def test_counts_and_thresholds(spark):
     assert dedup.remove_near_duplicates(df, 1.0).count() == 3
     with pytest.raises(ValueError):
         dedup.duplicate_status(df, -0.1)
+
+
+def large_sets(n, size=1500):
+    """Dissimilar sets that parity bits are too few for; any two share three rare words, under which they meet."""
+    return [(i, " ".join([*(f"s{j}" for j in range(3)), *(f"w{i}_{j}" for j in range(size))])) for i in range(n)]
+
+
+def test_large_sets_that_share_few_words_are_not_fetched(spark):
+    df = spark.createDataFrame(large_sets(12) + [(99, large_sets(12)[3][1] + " more")], "ord long, title string")
+    sets = dedup.word_sets(df, "title", "ord")
+    postings = dedup._postings(sets, 0.7)
+    met = dedup.candidate_pairs(postings, postings, 0.7)
+    names = {r.rid: r.ord for r in sets.select("rid", "ord").collect()}
+    assert [(names[r.a], names[r.b]) for r in met.collect()] == [(3, 99)]
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.7, 0.9])
+@pytest.mark.parametrize("tuning", [{}, TIGHT])
+def test_sets_that_meet_under_several_words(spark, monkeypatch, threshold, tuning):
+    monkeypatch.setattr(dedup, "WORDS_A_MEETING", 3)
+    rnd = random.Random(11)
+    bases = [[f"b{rnd.randrange(300)}" for _ in range(120)] for _ in range(4)]
+    rows = []
+    for i in range(120):
+        words = set(bases[i % 4])
+        for word in rnd.sample(sorted(words), rnd.randrange(0, 40)):
+            words.remove(word)
+            words.add(f"x{rnd.randrange(60)}" if rnd.random() < 0.5 else f"y{i}_{rnd.randrange(9)}")
+        rows.append((i, " ".join(words)))
+    assert kept(spark, rows, threshold, **tuning) == greedy(rows, threshold)
