@@ -22,19 +22,18 @@ def write_lines(df: DataFrame, key: str, line: Column, label: str) -> str:
 def land(files: DataFrame, folder: str) -> None:
     """Write rows ``name, content`` as files of these names below ``folder``."""
 
-    def put(batches):
+    def put(rows):
         from pyarrow import fs
 
         target, base = fs.FileSystem.from_uri(folder.replace("file:/", "/", 1))
-        for batch in batches:
-            for name, content in zip(batch["name"], batch["content"]):
-                path = f"{base}/{name}"
-                target.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                with target.open_output_stream(path) as out:
-                    out.write(content)
-            yield batch[["name"]]
-
-    files.mapInPandas(put, "name string").count()
+        for name, content in rows:
+            path = f"{base}/{name}"
+            target.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with target.open_output_stream(path) as out:
+                out.write(content)
+
+    # An Arrow batch would hold thousands of whole files; rows come in pieces of a few MB.
+    files.select("name", "content").foreachPartition(put)
 
 
 def zip_parts(df: DataFrame, key: str, rows_per_part: int) -> DataFrame:
