@@ -7,7 +7,7 @@
 3.  A word's symbols form a doubly linked list. A heap holds the adjacent pairs that merge, by rank,
     leftmost of ties; an entry whose pair has changed since is stale and skipped. The ids of common
     words are kept in a cache of bounded size.
-4.  Decoding joins the vocabulary strings of the ids, by a space, as such a vocabulary without a
+4.  Decoding takes and joins the vocabulary strings of the ids, by a space, as such a vocabulary without a
     decoder prescribes: ``hello</w> world</w>``.
 
 Defined results: null text is empty; an empty text, or one of white space only, has no ids. Bytes that
@@ -29,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -231,6 +232,12 @@ def decode(ids: list[int], tokens: list[str]) -> str:
     return " ".join(map(tokens.__getitem__, ids))
 
 
+def _decoded(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    """``decode`` of every row; an id outside the vocabulary is an error."""
+    strings = tokens.take(ids.values)
+    return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, strings), " ")
+
+
 def _texts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
     """The rows of a batch in bounded pieces: begin, end and texts."""
     for piece in pieces(column):
@@ -278,13 +285,12 @@ def _run(docs, vocabulary_file, doc_id, text, most_words, decoded) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(key, held, most_words)
-        tokens = encoder.cache.words.tokens
+        tokens = pa.array(encoder.cache.words.tokens, pa.string())
         for batch in batches:
             for begin, end, texts in _texts(batch.column(1)):
                 columns = _coded(batch.column(0).slice(begin, end - begin), list(map(encoder.encode, texts)))
                 if decoded:
-                    ids, at = columns[1].values.to_pylist(), columns[1].offsets.to_pylist()
-                    columns.append(pa.array([decode(ids[a:b], tokens) for a, b in zip(at, at[1:])], pa.string()))
+                    columns.append(_decoded(columns[1], tokens))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "packed", "decoded"][: len(columns)])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

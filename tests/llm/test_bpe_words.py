@@ -4,7 +4,9 @@ import hashlib
 import random
 import struct
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -94,3 +96,14 @@ def test_bytes_that_are_not_utf8(spark, library):
 
 def test_empty_table(none):
     assert B.round_trip(none, FILE).collect() == []
+
+
+def test_decoding_takes_strings_for_all_ids_at_once(vocabulary):
+    rng = random.Random(5)
+    ids = [[rng.randrange(len(vocabulary.tokens)) for _ in range(rng.choice([0, 1, 3, 2_000]))] for _ in range(400)]
+    packed = [np.array(i, "<i4").tobytes() for i in ids]
+    lists = B._coded(pa.array(range(len(ids))), packed)[1]
+    tokens = pa.array(vocabulary.tokens, pa.string())
+    assert B._decoded(lists, tokens).to_pylist() == [B.decode(i, vocabulary.tokens) for i in ids]
+    with pytest.raises(pa.ArrowIndexError):
+        B._decoded(pa.array([[len(vocabulary.tokens)]], pa.list_(pa.int32())), tokens)
