@@ -6,15 +6,19 @@
 2.  *Bounds.* Two rows that link share at least ``ceil(0.85 n)`` n-grams of the larger, so they
     share one among the ``n - ceil(0.85 n) + 1`` first of either, in any fixed order. The order is
     rare first by the sketch, so what many documents share is rarely looked at. Only these entries
-    are shuffled, by column. A column with few entries gives pairs that the size and position
-    bounds cannot exclude; one with many gives only its members.
-3.  *Blocks.* Documents that such pairs or columns connect form a family, and only they are read
+    are shuffled, by column, under the set's fingerprint, so equal sets count once. A column with few
+    entries gives pairs that the size and position bounds cannot exclude, unless both rows have the
+    same entry before this one too and so meet in its column; one with many gives only its members.
+3.  *Parity.* In a corpus of any size most rows share some n-gram by chance. Sets whose parity bits
+    differ in ``d`` places differ in ``d`` n-grams at least, so pairs and the members of a column are
+    connected only where the bits of the two sets cannot exclude that they link.
+4.  *Blocks.* Documents that are still connected form a family, and only they are read
     again. A family is cut into blocks by size, and a task multiplies the incidence of a block by
     its transpose, adding up overlap counts over slices of columns. A family of one block is done.
     In a larger one every block also meets an anchor block; afterwards only the documents outside
     the family's largest component meet all blocks of sizes that they can link with. So a large
     group of near copies costs its blocks, not its pairs, and no link between components is missed.
-4.  A task returns what its links connect, as links to the smallest. Components come from these.
+5.  A task returns what its links connect, as links to the smallest. Components come from these.
 
 Defined results: null texts and texts without words have an empty set and link with nothing. Rows
 without an id get their size and no component. Rows that repeat an id are one document, linked by
@@ -42,7 +46,9 @@ _SALTS = 64
 COLUMN_PAIRS = 64  # columns with more entries go to the blocks without pairs
 SALTED_ENTRIES = 100_000  # columns that may have more are dealt out over several tasks
 BLOCK_ROWS = 1024
+VERIFIED_MEMBERS = 20_000  # columns with more make a family without a look at their parity bits
 NODE_BUCKETS = 1 << 20
+LEAST_BITS, MOST_BITS = 1 << 8, 1 << 16
 _SLICE = 4096
 
 
@@ -52,6 +58,46 @@ def _fingerprint(hashes: np.ndarray) -> tuple[int, int]:
     return int(spread.sum(dtype=np.uint64).view(np.int64)), int(low.view(np.int64))
 
 
+def _parity(hashes: np.ndarray) -> bytes:
+    """Parity bits of a set, about as many as it has members: a hash turns over the bit at its lowest
+    digits, so the upper half folded on the lower one is the set's parity in half as many bits."""
+    bits = min(max(LEAST_BITS, 1 << (len(hashes) - 1).bit_length()), MOST_BITS)
+    count = np.bincount((hashes & np.uint64(bits - 1)).view(np.int64), minlength=bits)
+    return np.packbits((count & 1).astype(bool), bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Rows of parity words in ``width`` words."""
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def _parity_words(bits: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By number of words: the rows with so many, and their parity words."""
+    if isinstance(bits, pa.ChunkedArray):
+        bits = bits.combine_chunks()
+    wide = pa.types.is_large_binary(bits.type)
+    _, place, content = bits.buffers()
+    offsets = np.frombuffer(place, np.int64 if wide else np.int32)
+    offsets = offsets[bits.offset : bits.offset + len(bits) + 1].astype(np.int64)
+    data = np.frombuffer(content, np.uint8)
+    size = np.diff(offsets)
+    out = {}
+    for n in np.unique(size).tolist():
+        rows = np.flatnonzero(size == n)
+        out[n // 8] = rows, data[offsets[rows][:, None] + np.arange(n)].view(np.uint64)
+    return out
+
+
+def _most_differing(n: np.ndarray, m: np.ndarray, least: int) -> np.ndarray:
+    """In how many members sets of these sizes that link differ at most; -1 where no such sets do."""
+    shared = -(-least * (n + m) // (100 + least))
+    fits = 100 * np.minimum(n, m) >= least * np.maximum(n, m)
+    return np.where(fits, n + m - 2 * shared, -1)
+
+
 def _long(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64) if values.dtype == np.uint64 else values, pa.int64())
 
@@ -63,42 +109,44 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def signatures(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH
 ) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id, n, hi, lo`` per row, and the sketch: how many n-grams fall in each cell."""
+    """``doc_id, n, hi, lo, bits`` per row, and the sketch: how many n-grams fall in each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         cells = np.zeros(1 << SKETCH_BITS, np.int64)
-        names = ["doc_id", "n", "hi", "lo", "chunk", "counts"]
+        names = ["doc_id", "n", "hi", "lo", "bits", "chunk", "counts"]
         for batch in batches:
             for piece in pieces(batch.column(1)):
-                n, hi, lo = [], [], []
+                n, hi, lo, bits = [], [], [], []
                 for own in hasher.shingle_sets(piece, width):
                     n.append(len(own))
                     a, b = _fingerprint(own) if len(own) else (0, 0)
                     hi.append(a)
                     lo.append(b)
+                    bits.append(_parity(own) if len(own) else None)
                     cell = (own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
                     np.add.at(cells, cell, 1)
                 k = len(n)
                 ids = batch.column(0).slice(piece.begin, k)
-                columns = [ids, *(pa.array(x, pa.int64()) for x in (n, hi, lo))]
+                columns = [ids, *(pa.array(x, pa.int64()) for x in (n, hi, lo)), pa.array(bits, pa.binary())]
                 nothing = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns + nothing, names)
         if cells.any():
             parts = [x.tobytes() for x in np.split(cells.astype(np.uint32), _CHUNKS)]
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(_CHUNKS, pa.int64())] * 4
+                + [pa.nulls(_CHUNKS, pa.binary())]
                 + [pa.array(range(_CHUNKS), pa.int64()), pa.array(parts, pa.binary())],
                 names,
             )
 
-    schema = "doc_id long, n long, hi long, lo long, chunk long, counts binary"
+    schema = "doc_id long, n long, hi long, lo long, bits binary, chunk long, counts binary"
     found = materialize(_rows(docs, doc_id, text).mapInArrow(run, schema), "signatures")
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
     size = len(sketch) // _CHUNKS
     for row in _sum_chunks(found.where("chunk IS NOT NULL").select("chunk", "counts")).collect():
         sketch[row.chunk * size : (row.chunk + 1) * size] = np.frombuffer(row.counts, np.int64)
-    return found.where("chunk IS NULL").select("doc_id", "n", "hi", "lo"), sketch
+    return found.where("chunk IS NULL").select("doc_id", "n", "hi", "lo", "bits"), sketch
 
 
 def _sum_chunks(parts: DataFrame) -> DataFrame:
@@ -120,8 +168,9 @@ def _sum_chunks(parts: DataFrame) -> DataFrame:
 def _entries(
     docs: DataFrame, doc_id: str, text: str, width: int, least: int, sketch: np.ndarray
 ) -> DataFrame:
-    """``g, node, place, salt``: the entries of the first columns of every row; ``place`` holds
-    size and position, ``salt`` is not 0 where the sketch cannot exclude that the column is huge."""
+    """``g, node, place, more``: the entries of the first columns of every row; ``node`` is half of the
+    set's fingerprint, ``place`` holds size and position, ``more`` a salt, which is not 0 where the
+    sketch cannot exclude that the column is huge, and digits of the row's entry before this one."""
     cells = docs.sparkSession.sparkContext.broadcast(sketch)
     hot = float(sketch.mean()) + SALTED_ENTRIES
 
@@ -130,7 +179,7 @@ def _entries(
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for piece in pieces(batch.column(1)):
-                g, node, place, salt = [], [], [], []
+                g, node, place, more = [], [], [], []
                 for i, own in enumerate(hasher.shingle_sets(piece, width), piece.begin):
                     n = len(own)
                     if not n or ids[i] is None or (mark := _fingerprint(own)) in seen:
@@ -141,42 +190,34 @@ def _entries(
                     key = np.left_shift(count, 32) | np.arange(n)
                     key = np.sort(np.partition(key, first - 1)[:first] if first < n else key)
                     g.append(own[key & 0xFFFFFFFF])
-                    node.append(np.full(first, ids[i]))
+                    node.append(np.full(first, mark[0]))
                     place.append(n << 32 | np.arange(first))
-                    salt.append(np.where(key >> 32 >= hot, 1 + ids[i] % _SALTS, 0))
+                    salt = np.where(key >> 32 >= hot, 1 + mark[0] % _SALTS, 0)
+                    salt[1:] = salt[1:] << 32 | (g[-1][:-1] & np.uint64(0xFFFFFFFF)).view(np.int64)
+                    salt[0] <<= 32
+                    more.append(salt)
                 if g:
-                    columns = [_long(np.concatenate(x)) for x in (g, node, place, salt)]
-                    yield pa.RecordBatch.from_arrays(columns, ["g", "node", "place", "salt"])
+                    columns = [_long(np.concatenate(x)) for x in (g, node, place, more)]
+                    yield pa.RecordBatch.from_arrays(columns, ["g", "node", "place", "more"])
 
-    schema = "g long, node long, place long, salt long"
+    schema = "g long, node long, place long, more long"
     return _rows(docs, doc_id, text).mapInArrow(run, schema)
 
 
 def _candidates(entries: DataFrame, least: int) -> DataFrame:
-    """``a, b, g``: per task, what the pairs connect that the bounds cannot exclude (``g`` null), or
+    """``a, b, g``: pairs that sizes and positions cannot exclude (``g`` null), or
     members ``a`` of a column ``g`` with too many entries for pairs (``b`` null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "g"]
         kept = np.zeros((0, 4), np.int64)
         crowded: int | None = None  # the last column, if it is known to have many entries
-        parent: dict[int, int] = {}
-
-        def top(x: int) -> int:
-            while (up := parent.setdefault(x, x)) != x:
-                parent[x] = x = parent[up]
-            return x
 
-        def join(a: int, b: int) -> None:
-            a, b = sorted((top(a), top(b)))
-            parent[b] = a
-
-        def stars() -> Iterator[pa.RecordBatch]:
-            """All that the task's pairs connect, as links to the smallest."""
-            nodes = [x for x in parent if top(x) != x]
-            if nodes:
-                sides = [pa.array([top(x) for x in nodes]), pa.array(nodes)]
-                yield pa.RecordBatch.from_arrays([*sides, pa.nulls(len(nodes), pa.int64())], names)
+        def once(rows: np.ndarray) -> np.ndarray:
+            """Equal sets of different tasks are one entry."""
+            rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+            new = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+            return rows[np.concatenate(([True], new))]
 
         def members(rows: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -185,11 +226,12 @@ def _candidates(entries: DataFrame, least: int) -> DataFrame:
             )
 
         def finish(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            """All entries of some columns, sorted by column."""
+            """All entries of some columns."""
+            rows = once(rows)
             change = np.flatnonzero(np.concatenate(([True], rows[1:, 0] != rows[:-1, 0])))
             sizes = np.diff(np.concatenate((change, [len(rows)])))
             size = np.repeat(sizes, sizes)
-            many = (size > COLUMN_PAIRS) | (rows[:, 3] > 0)
+            many = (size > COLUMN_PAIRS) | (rows[:, 3] >> 32 > 0)
             if many.any():
                 yield members(rows[many])
             rows = rows[~many & (size > 1)]
@@ -200,13 +242,15 @@ def _candidates(entries: DataFrame, least: int) -> DataFrame:
                     break
                 x, y = rows[same], rows[same + step]
                 n, m = x[:, 2] >> 32, y[:, 2] >> 32
-                most = np.minimum(n - (x[:, 2] & 0xFFFFFFFF), m - (y[:, 2] & 0xFFFFFFFF))
-                fits = (100 * np.minimum(n, m) >= least * np.maximum(n, m)) & (
-                    (100 + least) * most >= least * (n + m)
-                )
+                i, j = x[:, 2] & 0xFFFFFFFF, y[:, 2] & 0xFFFFFFFF
+                # Where the entries before are one n-gram, this is not the first that the two share.
+                later = (i > 0) & (j > 0) & (x[:, 3] == y[:, 3])
+                # What comes before the first n-gram they share is in one of them only.
+                fits = ~later & (i + j <= _most_differing(n, m, least))
                 found.append(np.sort(np.column_stack((x[fits, 1], y[fits, 1])), axis=1))
-            for a, b in np.unique(np.concatenate(found), axis=0).tolist() if found else ():
-                join(a, b)
+            if found and len(pairs := np.concatenate(found)):
+                sides = [_long(pairs[:, k].copy()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*sides, pa.nulls(len(pairs), pa.int64())], names)
 
         for batch in batches:
             rows = np.column_stack([c.to_numpy() for c in batch.columns])
@@ -224,26 +268,116 @@ def _candidates(entries: DataFrame, least: int) -> DataFrame:
             start = int(np.argmax(rows[:, 0] == rows[-1, 0]))
             if start:
                 yield from finish(rows[:start])
-            kept = rows[start:]
+            kept = once(rows[start:])
             if len(kept) > COLUMN_PAIRS:
                 yield members(kept)
                 crowded, kept = int(kept[0, 0]), kept[:0]
         if len(kept):
             yield from finish(kept)
-        yield from stars()
 
-    sorted_rows = entries.repartition("g", "salt").sortWithinPartitions("g")
-    return sorted_rows.mapInArrow(run, "a long, b long, g long")
+    dealt = entries.repartition("g", F.shiftright("more", 32))
+    return dealt.sortWithinPartitions("g").mapInArrow(run, "a long, b long, g long")
 
 
-def families(candidates: DataFrame) -> DataFrame:
-    """``node, family``: documents that candidate pairs or crowded columns connect."""
-    pairs = candidates.where("g IS NULL").select("a", "b")
-    members = candidates.where("g IS NOT NULL").select("g", F.col("a").alias("node")).distinct()
-    centres = members.groupBy("g").agg(F.min("node").alias("centre"), F.count("*").alias("m"))
-    spokes = members.join(centres.where("m > 1"), "g").where(F.col("node") != F.col("centre"))
-    edges = pairs.unionByName(spokes.select(F.col("centre").alias("a"), F.col("node").alias("b")))
-    return components(edges).withColumnRenamed("component", "family")
+def _possible_pairs(least: int):
+    """Of pairs with sizes and parity bits those that these cannot exclude."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n, m = batch.column("a_n").to_numpy(), batch.column("b_n").to_numpy()
+            most = _most_differing(n, m, least)
+            possible = np.zeros(batch.num_rows, bool)
+            of_a, of_b = (_parity_words(batch.column(c)) for c in ("a_bits", "b_bits"))
+            for a_width, (a_rows, a_bits) in of_a.items():
+                for b_width, (b_rows, b_bits) in of_b.items():
+                    rows, x, y = np.intersect1d(a_rows, b_rows, assume_unique=True, return_indices=True)
+                    if len(rows):
+                        width = min(a_width, b_width)
+                        differ = _folded(a_bits[x], width) ^ _folded(b_bits[y], width)
+                        possible[rows] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= most[rows]
+            yield batch.select(["a", "b"]).filter(pa.array(possible))
+
+    return run
+
+
+def _possible_members(least: int):
+    """What the members of one column connect that parity bits cannot exclude."""
+
+    def run(table: pa.Table) -> pa.Table:
+        node, n = table.column("class").to_numpy(), table.column("n").to_numpy()
+        words = _parity_words(table.column("bits"))
+        # By width: rows of this width and, folded, of those above that fit in size.
+        widest = 1 << (-(-100 // max(least, 1)) - 1).bit_length()
+        levels = []
+        width_of = np.zeros(len(node), np.int64)
+        for width, (rows, _) in words.items():
+            width_of[rows] = width
+            held = [(r, _folded(bits, width)) for w, (r, bits) in words.items() if width <= w <= widest * width]
+            levels.append((width, *(np.concatenate(x) for x in zip(*held))))
+        at = {w: {int(r): k for k, r in enumerate(rows)} for w, rows, _ in levels}
+        left = np.ones(len(node), bool)
+        links = []
+        for root in np.argsort(node, kind="stable").tolist():
+            if not left[root]:
+                continue
+            left[root] = False
+            queue = [root]
+            for i in queue:
+                for width, rows, bits in levels:
+                    if not width <= width_of[i] <= widest * width:
+                        continue
+                    near = np.flatnonzero(left[rows])
+                    if width_of[i] > width:
+                        near = near[width_of[rows[near]] == width]
+                    most = _most_differing(n[i], n[rows[near]], least)
+                    near, most = near[most >= 0], most[most >= 0]
+                    if not len(near):
+                        continue
+                    differ = np.bitwise_count(bits[near] ^ bits[at[width][i]]).sum(axis=1, dtype=np.int64)
+                    found = rows[near[differ <= most]]
+                    left[found] = False
+                    queue += found.tolist()
+            links += [(int(node[root]), int(node[j])) for j in queue[1:]]
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _possible(candidates: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """``a, b``: classes that pairs or columns connect and that parity bits cannot exclude."""
+    schema = "a long, b long"
+    pairs = candidates.where("g IS NULL").select("a", "b").distinct()
+    for side in ("a", "b"):
+        own = classes.select(
+            F.col("hi").alias(side), F.col("class").alias(f"{side}_class"),
+            F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits"),
+        )
+        pairs = pairs.join(own, side).drop(side).withColumnRenamed(f"{side}_class", f"{side}")
+    near = materialize(pairs.mapInArrow(_possible_pairs(least), schema), "possible-pairs")
+    members = candidates.where("g IS NOT NULL").select("g", F.col("a").alias("hi")).distinct()
+    members = materialize(members, "column-members")
+    counts = materialize(members.groupBy("g").agg(F.count("*").alias("m")).where("m > 1"), "column-sizes")
+    fits = members.join(counts.where(F.col("m") <= VERIFIED_MEMBERS), "g", "left_semi")
+    fits = fits.join(classes, "hi").select("g", "class", "n", "bits")
+    near = near.unionByName(
+        materialize(fits.groupBy("g").applyInArrow(_possible_members(least), schema), "possible-members")
+    )
+    huge = counts.where(F.col("m") > VERIFIED_MEMBERS)
+    if huge.isEmpty():
+        return near
+    held = members.join(huge, "g", "left_semi").join(classes.select("hi", "class"), "hi")
+    held = materialize(held.select("g", "class"), "huge-columns")
+    centres = held.groupBy("g").agg(F.min("class").alias("a"))
+    spokes = held.join(centres, "g").select("a", F.col("class").alias("b")).where("a != b")
+    return near.unionByName(spokes)
+
+
+def families(possible: DataFrame) -> DataFrame:
+    """``node, family``: documents that may be linked, over any number of others."""
+    return components(possible).withColumnRenamed("component", "family")
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -477,21 +611,18 @@ def _classes(
     """``similarity_classes`` where every id has one set."""
     rows, sketch = signed
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    classes = known.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("class"))
+    classes = known.groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("class"), F.first("bits").alias("bits"))
     # A written table on one side and an exchange above let Spark split a hot class in the join.
     classes = materialize(classes, "set-classes")
-    of_class = known.join(classes, ["n", "hi", "lo"]).select("doc_id", "class")
+    of_class = known.join(classes.drop("bits"), ["n", "hi", "lo"]).select("doc_id", "class")
     of_class = materialize(of_class.repartition("doc_id", "class").distinct(), "classes")
     found = materialize(
         _candidates(_entries(docs, doc_id, text, width, least, sketch), least), "candidates"
     )
-    family = materialize(families(found), "families")
+    family = materialize(families(_possible(found, classes, least)), "families")
     placed = materialize(_placed(family, rows, least, block_rows), "family-places")
+    # Only the first document of each class is in a family.
     links = _block_links(docs, placed, doc_id, text, width, least, block_rows)
-    for side in ("a", "b"):
-        of = of_class.select(F.col("doc_id").alias(side), F.col("class").alias(f"{side}_class"))
-        links = links.join(of, side)
-    links = links.select(F.col("a_class").alias("a"), F.col("b_class").alias("b"))
     component = components(links).withColumnRenamed("node", "class")
     labels = of_class.join(component, "class", "left").select(
         "doc_id", F.coalesce("component", "class").alias("found")

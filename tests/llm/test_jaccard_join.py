@@ -109,3 +109,36 @@ def test_ids_on_several_texts(spark):
         assert all(r.component_id is None for r in got if r.doc_id is None)
         sizes = sorted((r.doc_id - low, r.n_shingles) for r in got if r.doc_id is not None)
         assert sizes.count((2, 57)) == 4 and (7, 0) in sizes and (8, 0) in sizes
+
+
+@pytest.mark.parametrize("pairs_a_column", [64, 3])
+def test_chance_ngrams_make_no_family(spark, monkeypatch, pairs_a_column):
+    """Texts of one size that share a rare passage each with the next, or all with all, but are unlike."""
+    monkeypatch.setattr(op, "COLUMN_PAIRS", pairs_a_column)
+    sizes, placed = [], op._placed
+    monkeypatch.setattr(op, "_placed", lambda family, *how: sizes.append(family.count()) or placed(family, *how))
+    rng = random.Random(21)
+    passages = [words(rng, 4, 10**9) for _ in range(121)]
+    hot = words(rng, 4, 10**9)
+    texts = [" ".join([*passages[i], *words(rng, 60, 10**9), *passages[i + 1], *hot]) for i in range(120)]
+    texts += [texts[7] + " more", texts[9], texts[9]]
+    rows = list(enumerate(texts))
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows)
+    assert sizes == [2]
+
+
+def test_members_of_a_column_of_many_sizes(spark, monkeypatch):
+    """Sets whose parity has different widths, in crowded columns and in one too large to be looked at."""
+    rng = random.Random(22)
+    texts = []
+    for n in (30, 250, 262, 500, 530, 1_050):
+        base = words(rng, n, 10**6)
+        texts += near_copies(rng, base, 8, 3) + [" ".join(base[: int(0.9 * n)])]
+    hot = " ".join(words(rng, 5, 10**6))
+    rows = list(enumerate(f"{hot} {t}" for t in texts))
+    monkeypatch.setattr(op, "COLUMN_PAIRS", 2)
+    for least in (85, 40):
+        check_least = [tuple(r) for r in op.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string"), least=least).collect()]
+        assert sorted(check_least) == sorted(brute(rows, least))
+    monkeypatch.setattr(op, "VERIFIED_MEMBERS", 10)
+    check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
