@@ -47,7 +47,7 @@ COLUMN_PAIRS = 64  # columns with more entries go to the blocks without pairs
 SALTED_ENTRIES = 100_000  # columns that may have more are dealt out over several tasks
 BLOCK_ROWS = 1024
 VERIFIED_MEMBERS = 20_000  # columns with more make a family without a look at their parity bits
-NODE_BUCKETS = 1 << 20
+NODE_BITS = 23
 LEAST_BITS, MOST_BITS = 1 << 8, 1 << 16
 _SLICE = 4096
 
@@ -455,10 +455,33 @@ def _placed(family: DataFrame, rows: DataFrame, least: int, block_rows: int) ->
     )
 
 
+def _in_table(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (``doc_id, text``) whose id may be among ``ids``, by a table of bits of fixed size."""
+    x = F.col("doc_id")
+    cell = x.bitwiseXOR(F.shiftright(x, NODE_BITS)).bitwiseXOR(F.shiftright(x, 2 * NODE_BITS))
+    cell = F.pmod(cell, F.lit(1 << NODE_BITS)) + 1  # Spark's bitmaps begin at 1
+    parts = ids.select(cell.alias("cell")).groupBy(F.bitmap_bucket_number("cell").alias("part"))
+    parts = parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits")).collect()
+    bits = np.zeros((1 << NODE_BITS) // 8, np.uint8)
+    for row in parts:
+        own = np.frombuffer(row.bits, np.uint8)
+        bits[(row.part - 1) * len(own) : row.part * len(own)] = own
+    table = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = batch.filter(batch.column(0).is_valid())
+            x = known.column(0).to_numpy()
+            at = (x ^ x >> NODE_BITS ^ x >> 2 * NODE_BITS) & ((1 << NODE_BITS) - 1)
+            yield known.filter(pa.array((table.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     """``node, family, band, block, hashes`` of the given nodes.
 
-    Texts are first thinned out by a table of at most ``NODE_BUCKETS`` numbers, which is small
+    Texts are first thinned out by a table of ``2 ** NODE_BITS`` bits, which is small
     enough to broadcast whatever the corpus; the exact join then shuffles what is left.
     """
 
@@ -475,11 +498,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, width: int)
                 columns.append(pa.array([s.tobytes() for s in sets], pa.binary()))
                 yield pa.RecordBatch.from_arrays([c.filter(own) for c in columns], names)
 
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(NODE_BUCKETS))
     places = nodes.withColumnRenamed("node", "doc_id").select("doc_id", "n", "family", "band", "block")
-    buckets = places.select(bucket.alias("bucket")).distinct()
-    thin = _rows(docs, doc_id, text).withColumn("bucket", bucket)
-    thin = thin.join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket")
+    thin = _in_table(_rows(docs, doc_id, text), places.select("doc_id"))
     rows = thin.hint("merge").join(places, "doc_id").select(*places.columns, "text")
     return rows.mapInArrow(
         run, "node long, family long, band long, block long, hashes binary"

@@ -142,3 +142,13 @@ def test_members_of_a_column_of_many_sizes(spark, monkeypatch):
         assert sorted(check_least) == sorted(brute(rows, least))
     monkeypatch.setattr(op, "VERIFIED_MEMBERS", 10)
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
+def test_family_texts_are_found_without_a_broadcast_of_rows(spark):
+    rows = [(i * 2**20 - 5_000, f"w{i} a b c d") for i in range(400)] + [(None, "a b c d"), (2**63 - 1, "a b c d e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = [i for i, _ in rows[::7] if i is not None] + [2**63 - 1]
+    nodes = spark.createDataFrame([(i, 2, i, 0, 0) for i in ids], "node long, n long, family long, band long, block long")
+    sets = op._sets(docs, nodes, "doc_id", "text", 4)
+    assert "Broadcast" not in sets._jdf.queryExecution().toString().replace("BroadcastMode", "")
+    assert sorted(r.node for r in sets.collect()) == sorted(ids)
