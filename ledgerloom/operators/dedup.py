@@ -26,6 +26,9 @@ Similarity is the Jaccard ratio of lower-cased word sets. The steps, each a join
     neighbour: keep; a kept earlier neighbour: drop". Paths of records with one earlier neighbour each
     are decided together, by pointer doubling: along them kept and dropped alternate.
 
+Texts, whose sets are large, are paired at once by ``large_sets``, and 6. resolves what is left of the pairs; with
+small sets, large groups of near copies or orders that are not unique, the steps above are taken.
+
 Every round ends in a table in the shared checkpoint folder.
 """
 
@@ -38,6 +41,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.text import non_blank, word_set
+from ledgerloom.operators import large_sets
 from ledgerloom.session import materialize
 
 _EPS = 1e-9
@@ -364,6 +368,25 @@ def resolve(edges: DataFrame, plain_rounds: int = PLAIN_ROUNDS) -> tuple[list[Da
         edges = materialize(edges, "edges")
 
 
+def _kept_at_once(df: DataFrame, threshold: float, text: str, order: str) -> DataFrame | None:
+    """The same for large sets without large groups of near copies: all similar pairs, resolved at once."""
+    if threshold < 0.5 or dict(df.dtypes)[order] not in ("tinyint", "smallint", "int", "bigint"):
+        return None
+    found = large_sets.possible_pairs(df, text, order, threshold)
+    if found is None:
+        return None
+    sets, possible = found
+    held = large_sets.words_of(df, text, order, possible)
+    by_heads, pairs = large_sets.drop_by_heads(possible, held, threshold)
+    edges = pairs.select(
+        "a", "b", F.col("a").alias("a_ord"), F.col("b").alias("b_ord"), F.lit(False).alias("a_waits"), F.lit(False).alias("b_waits")
+    )
+    dropped, _ = resolve(materialize(edges, "edges"))
+    gone = [d.withColumnRenamed("rid", "ord") for d in by_heads + dropped]
+    rest = reduce(lambda s, d: s.join(d, "ord", "left_anti"), gone, sets)
+    return materialize(rest, "kept")
+
+
 def kept_orders(
     df: DataFrame,
     threshold: float,
@@ -376,6 +399,9 @@ def kept_orders(
     hot: int = HOT_HOLDERS,
 ) -> DataFrame:
     """``ord`` of the records with a non-empty word set that stay."""
+    at_once = _kept_at_once(df, threshold, text, order)
+    if at_once is not None:
+        return at_once
     open_sets = word_sets(df, text, order, hot)
     kept: list[DataFrame] = []
     k = first_leaders
